@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from . import topk_search
 from .hilbert_sharding import op3_hilbert_sharding
+from .packing import op5_packing
+from .topk_search import op7_topk_search
 
 QUERIES = {
     "op3_hilbert_sharding": op3_hilbert_sharding,
+    "op5_packing": op5_packing,
+    "op7_topk_search": op7_topk_search,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_topk_search": topk_search.ORACLE_SQL,
+}
