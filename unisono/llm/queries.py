@@ -6,11 +6,13 @@ from . import topk_search
 from .hilbert_sharding import op3_hilbert_sharding
 from .packing import op5_packing
 from .topk_search import op7_topk_search
+from .toxicity import op9_toxicity
 
 QUERIES = {
     "op3_hilbert_sharding": op3_hilbert_sharding,
     "op5_packing": op5_packing,
     "op7_topk_search": op7_topk_search,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
