@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from . import topk_search
 from .hilbert_sharding import op3_hilbert_sharding
+from .language_id import op2_language_id
 from .packing import op5_packing
 from .topk_search import op7_topk_search
 from .toxicity import op9_toxicity
 
 QUERIES = {
+    "op2_language_id": op2_language_id,
     "op3_hilbert_sharding": op3_hilbert_sharding,
     "op5_packing": op5_packing,
     "op7_topk_search": op7_topk_search,
