@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import topk_search
+from . import line_dedup, topk_search
 from .hilbert_sharding import op3_hilbert_sharding
 from .language_id import op2_language_id
+from .line_dedup import op6_line_dedup
 from .packing import op5_packing
 from .topk_search import op7_topk_search
 from .toxicity import op9_toxicity
@@ -13,10 +14,12 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_hilbert_sharding": op3_hilbert_sharding,
     "op5_packing": op5_packing,
+    "op6_line_dedup": op6_line_dedup,
     "op7_topk_search": op7_topk_search,
     "op9_toxicity": op9_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_line_dedup": line_dedup.ORACLE_SQL,
     "op7_topk_search": topk_search.ORACLE_SQL,
 }
