@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import line_dedup, topk_search
 from .hilbert_sharding import op3_hilbert_sharding
 from .html_extraction import op10_html_extraction
+from .jaccard_join import op8_jaccard_join
 from .language_id import op2_language_id
 from .line_dedup import op6_line_dedup
 from .packing import op5_packing
@@ -17,6 +18,7 @@ QUERIES = {
     "op5_packing": op5_packing,
     "op6_line_dedup": op6_line_dedup,
     "op7_topk_search": op7_topk_search,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_toxicity": op9_toxicity,
     "op10_html_extraction": op10_html_extraction,
 }
