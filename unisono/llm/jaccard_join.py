@@ -76,9 +76,12 @@ def allocation(band: int, percent: int) -> Allocation:
             slack = segments + deletions - most - 1
             if rate < 1 and low > 1:
                 continue
-            # tokens are runs of several words and rarely shared by chance, but in passages that many texts quote; each such meeting costs
+            # tokens are runs of several words and rarely shared by chance, but in phrases that many texts have, and short
+            # texts may consist of these; a meeting by a short signature costs a verification, some dozens of signatures' worth
+            chance = 24 if low < 48 else 1
             one, two = rate * math.exp(-rate), rate**2 / 2 * math.exp(-rate)
-            cost = segments + deletions * (1 + rate) + segments * ((weak_size < 1) * one + 0.25 * two)
+            meet = (segments - deletions) * ((weak_size < 1) * one + 0.25 * two) + deletions * ((weak_size < 1) * (one + 2 * two) + 0.25 * (two + two * rate))
+            cost = segments + deletions * (1 + rate) + chance * meet
             if best is None or cost < best[0]:
                 best = (cost, Allocation(low, high, segments, deletions, slack, weak_size))
     return best[1] if best else Allocation(low, high, 1, 1, max(0, 1 - most), 0)
