@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import line_dedup, topk_search
+from .decontamination import op1_decontamination
 from .hilbert_sharding import op3_hilbert_sharding
 from .html_extraction import op10_html_extraction
 from .jaccard_join import op8_jaccard_join
@@ -13,6 +14,7 @@ from .topk_search import op7_topk_search
 from .toxicity import op9_toxicity
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_language_id": op2_language_id,
     "op3_hilbert_sharding": op3_hilbert_sharding,
     "op5_packing": op5_packing,
