@@ -24,6 +24,8 @@ OVERLAP = 0.8
 SHINGLE = 5
 MIN_WORDS = 5  # shorter items would be found everywhere
 BLOCK = 32  # postings in a block
+COMMON = 0.3  # share of an item's score that may come from terms by which no passage is looked up
+MAX_BLOCKS = 256
 ITEMS_PER_INDEX = 20_000
 _WORD = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
@@ -48,6 +50,12 @@ def runs(words: np.ndarray, size: int) -> np.ndarray:
     return acc
 
 
+def _windows(half: np.ndarray, term: np.ndarray, size: int) -> np.ndarray:
+    """Distinct window * size + term; a window is two halves, and each half belongs to the one that begins with it and to the one before."""
+    half = half.astype(np.int64)
+    return np.unique(np.concatenate([half * size + term, np.maximum(half - 1, 0) * size + term]))
+
+
 def question_and_answer(text: str) -> tuple[str, str]:
     """An item's last line, or else its last sentence, is its answer; a single sentence is both."""
     lines = [x for x in text.split("\n") if x.strip()]
@@ -69,7 +77,7 @@ class Part:
 
 
 class Index:
-    """Postings by term: items in ascending order, impacts as shares of the item's own score, maxima by block and by term."""
+    """Postings by term: items in ascending order, impacts as shares of the item's own score, maxima by block of postings, by block of items and by term."""
 
     def __init__(self, items: list[tuple[int, str]]) -> None:
         kept = [(i, t, hashed_words(t)) for i, t in sorted(items)]
@@ -97,6 +105,31 @@ class Index:
         self.impacts = [[s for _, s in postings[x]] for x in self.vocabulary.tolist()]
         self.block_max = [[max(s[i : i + BLOCK]) for i in range(0, len(s), BLOCK)] for s in self.impacts]
         self.term_max = np.array([max(s) for s in self.impacts], np.float64)
+        # essential terms: the others, taken from the most frequent, make up COMMON of any item's score at most
+        share = np.zeros(len(kept))
+        self.essential, common = np.ones(len(self.vocabulary), bool), share
+        for t in sorted(range(len(self.vocabulary)), key=lambda t: (-len(self.docs[t]), t)):
+            share[self.docs[t]] += self.impacts[t]
+            if share[self.docs[t]].max() > COMMON:
+                break
+            self.essential[t] = False
+            common = share.copy()
+        # maxima of essential terms by block of items, and the most that common terms add to an item of the block
+        self.blocks = min(MAX_BLOCKS, max(1, len(kept)))
+        of = np.arange(len(kept)) * self.blocks // max(1, len(kept))
+        self.slack = np.zeros(self.blocks)
+        np.maximum.at(self.slack, of, common)
+        self.start = np.zeros(len(self.vocabulary) + 1, np.int64)
+        block, top = [], []
+        for t in range(len(self.vocabulary)):
+            if self.essential[t]:
+                most: dict[int, float] = {}
+                for d, x in zip(self.docs[t], self.impacts[t], strict=True):
+                    most[int(of[d])] = max(x, most.get(int(of[d]), 0.0))
+                block += most
+                top += most.values()
+            self.start[t + 1] = len(block)
+        self.block_of, self.block_top = np.array(block, np.int64), np.array(top, np.float64)
 
     def search(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
         """All items whose impacts over distinct `terms` sum to `threshold` or more: block-max WAND without a heap, as the limit is fixed."""
@@ -161,21 +194,34 @@ class Index:
         if not len(where):
             return {}
         half = max(32, self.longest)
-        term, chunk = at[where], where // half
-        # each half belongs to the passage that begins with it and to the one before
-        size = np.int64(len(self.vocabulary))
-        pairs = np.unique(np.concatenate([chunk * size + term, np.maximum(chunk - 1, 0) * size + term]))
-        window, term = pairs // size, pairs % size
-        first = np.flatnonzero(np.concatenate([[True], window[1:] != window[:-1]]))
-        bound = np.add.reduceat(self.term_max[term], first)
-        ends = np.append(first[1:], len(window))
+        term = at[where]
+        # a passage can reach the limit only where, in some block of items, the maxima of its essential terms bring what common terms leave open
+        key = self.essential[term]
+        pairs = _windows(where[key] // half, term[key], len(self.vocabulary))
         best: dict[int, float] = {}
-        for k in np.flatnonzero(bound >= threshold - 1e-9):
-            for d, s in self.search(term[first[k] : ends[k]].tolist(), threshold):
+        for w in self._open(pairs // len(self.vocabulary), pairs % len(self.vocabulary), threshold):
+            lo, hi = np.searchsorted(where, [w * half, (w + 2) * half])
+            terms = np.unique(term[lo:hi])
+            if self.term_max[terms].sum() < threshold - 1e-9:
+                continue
+            for d, s in self.search(terms.tolist(), threshold):
                 if s > best.get(d, 0.0):
                     best[d] = s
         return best
 
+    def _open(self, window: np.ndarray, term: np.ndarray, threshold: float) -> list[int]:
+        out: list[int] = []
+        cuts = np.flatnonzero(np.diff(window // 2048)) + 1  # bounds the table of sums
+        for w, t in zip(np.split(window, cuts), np.split(term, cuts), strict=True):
+            if not len(w):
+                continue
+            n = self.start[t + 1] - self.start[t]
+            at = np.repeat(self.start[t] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+            low = w[0]
+            sums = np.bincount(np.repeat(w - low, n) * self.blocks + self.block_of[at], self.block_top[at], minlength=int(w[-1] - low + 1) * self.blocks)
+            out += (np.flatnonzero((sums.reshape(-1, self.blocks) + self.slack >= threshold - 1e-9).any(axis=1)) + low).tolist()
+        return out
+
     def leaks(self, text: str | None, threshold: float = THRESHOLD, overlap: float = OVERLAP) -> list[tuple[int, float, float, float, float]]:
         """(item_id, score, overlap, question_overlap, answer_overlap) of the items that a text holds."""
         if not text:
