@@ -10,6 +10,7 @@ from .jaccard_join import op8_jaccard_join
 from .language_id import op2_language_id
 from .line_dedup import op6_line_dedup
 from .packing import op5_packing
+from .suffix_dedup import op4_suffix_dedup
 from .topk_search import op7_topk_search
 from .toxicity import op9_toxicity
 
@@ -17,6 +18,7 @@ QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_language_id": op2_language_id,
     "op3_hilbert_sharding": op3_hilbert_sharding,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_packing": op5_packing,
     "op6_line_dedup": op6_line_dedup,
     "op7_topk_search": op7_topk_search,
