@@ -1,2 +1,629 @@
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+"""Every registered query: (spark, sf_dir) -> DataFrame over the driver's tables."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from unisono.functions import text as X
+from unisono.operators import claims as C
+from unisono.operators import goldset as G
+from unisono.operators import health as H
+from unisono.operators import identity as I
+from unisono.operators import ledger as L
+from unisono.operators import measures as M
+from unisono.operators import ranking as R
+from unisono.operators import research as S
+from unisono.operators import spans as N
+from unisono.operators import surge as U
+from unisono.plans.oracle import ORACLE_SQL  # noqa: F401
+from unisono.sources import tables as T
+from unisono.streaming import incremental as A
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+FOCUS = "2024-01-15"
+
+
+def query(f: Query) -> Query:
+    QUERIES[f.__name__] = f
+    return f
+
+
+def _stm(spark, d) -> DataFrame:
+    return I.with_joint_groups(T.statements(spark, d))
+
+
+def _ledger(spark, d):
+    stm = _stm(spark, d)
+    phrases, daily = L.ledger(stm)
+    return stm, phrases, daily
+
+
+def _occ(stm: DataFrame) -> DataFrame:
+    return L.occurrences(L.eligible(stm))
+
+
+def _events(spark, d) -> DataFrame:
+    return T.table(spark, d, "events").select(
+        F.col("event_type").alias("phrase"), F.col("user_id").cast("string").alias("unit"), F.when(F.col("user_id") % 2 == 0, "D").otherwise("R").alias("party"), F.to_date("ts").alias("day"), "ts", "value", "event_id", "user_id"
+    )
+
+
+def _surge_tables(spark, d):
+    ev = _events(spark, d)
+    den = ev.groupBy("party", "day").agg(F.count_distinct("unit").alias("trials"))
+    return ev.where("value > 50").groupBy("phrase", "party", "day").agg(F.count_distinct("unit").alias("successes")), den
+
+
+def top_synchronized_entry(spark, d) -> DataFrame:
+    """The best phrases of all days at a quorum of two, for small tables."""
+    phrases, daily = L.ledger(_stm(spark, d), quorum=2, df_max=0.5)
+    return L.summary(daily).join(phrases.select("ngram", "distinct_units", "df_weight"), "ngram").orderBy(F.desc("peak"), F.desc("distinct_units"), "ngram").limit(50)
+
+
+# ---- identity and text ----
+
+
+@query
+def normalize_dedupe(spark, d):
+    docs = T.table(spark, d, "documents")
+    raw = docs.select("doc_id", F.concat(F.lit("https://example.test/"), "source").alias("url"), "text", F.lit("2024-01-01").alias("date"))
+    return I.normalize(raw, "doc_id").select("id", "doc_id")
+
+
+@query
+def exact_joint_groups(spark, d):
+    return _stm(spark, d).where("joint_group is not null").groupBy("joint_group").agg(F.first("day").alias("day"), F.count("*").alias("n"), F.count_distinct("bioguide").alias("offices"), F.min("doc_id").alias("first_doc")).drop("joint_group")
+
+
+@query
+def syndication_flag(spark, d):
+    return T.statements(spark, d).groupBy("syndicated").agg(F.count("*").alias("n"))
+
+
+@query
+def clean_text_lengths(spark, d):
+    return T.table(spark, d, "documents").select("doc_id", F.length(X.clean_text(F.col("text"))).alias("n"))
+
+
+@query
+def sentence_token_counts(spark, d):
+    s = T.table(spark, d, "documents").select("doc_id", F.explode(X.sentences(F.col("text"))).alias("t"))
+    return s.groupBy("doc_id").agg(F.count("*").cast("int").alias("sentences"), F.sum(F.size("t")).alias("tokens"))
+
+
+@query
+def text_features(spark, d):
+    f = X.text_features(F.col("text"))
+    return T.table(spark, d, "documents").select("doc_id", *(c.alias(k) for k, c in f.items())).where("words >= 20")
+
+
+@query
+def doc_ngrams_counts(spark, d):
+    return T.table(spark, d, "documents").select("doc_id", F.size(X.doc_ngrams(F.col("text"), 3, 6)).cast("long").alias("grams")).where("grams > 0")
+
+
+@query
+def lowcontent_filter(spark, d):
+    g = T.table(spark, d, "documents").select("doc_id", F.explode(X.doc_ngrams(F.col("text"), 3, 6)).alias("g"))
+    return g.where(~X.is_template(F.col("g")) & ~X.is_low_content(F.col("g"))).groupBy("doc_id").agg(F.count("*").alias("grams"))
+
+
+@query
+def quotes_numbers(spark, d):
+    t = F.col("text")
+    n = F.regexp_extract_all(t, F.lit(r"\d+(?:[.,]\d+)*"), F.lit(0))
+    return T.table(spark, d, "documents").where(t.rlike(r"\d")).select("doc_id", F.array_join(X.numbers(t), "|").alias("numbers"), F.size(n).alias("n"))
+
+
+@query
+def redact_spans(spark, d):
+    return T.table(spark, d, "documents").select("doc_id", F.sha2(N.redact(F.col("text")), 256).alias("sha"))
+
+
+@query
+def html_strip_lengths(spark, d):
+    return T.table(spark, d, "pages").select("page_id", F.length(X.strip_furniture(F.col("html"))).alias("n"))
+
+
+@query
+def envelope_hashes(spark, d):
+    n = T.table(spark, d, "nation").select("n_name", "n_nationkey", "n_regionkey")
+    e = T.envelope(n, "nation")
+    return e.select("resource", F.get_json_object("body", "$.n_nationkey").cast("int").alias("n_nationkey"), "sha256")
+
+
+# ---- ledger and rankings ----
+
+
+@query
+def sync_candidates(spark, d):
+    return L.cell_units(_occ(_stm(spark, d))).where("units >= 3")
+
+
+@query
+def ledger_phrases(spark, d):
+    return _ledger(spark, d)[1].withColumn("ties", F.array_join("ties", ","))
+
+
+@query
+def ledger_daily(spark, d):
+    return _ledger(spark, d)[2]
+
+
+@query
+def phrase_summary(spark, d):
+    return L.summary(_ledger(spark, d)[2])
+
+
+@query
+def discipline_index(spark, d):
+    stm, phrases, _ = _ledger(spark, d)
+    return L.discipline(stm, phrases)
+
+
+@query
+def velocity(spark, d):
+    return R.velocity(_ledger(spark, d)[2])
+
+
+@query
+def top_synchronized_day(spark, d):
+    _, phrases, daily = _ledger(spark, d)
+    return R.top_k(R.ranked_day(daily, phrases, FOCUS), 50)
+
+
+@query
+def top_by_party(spark, d):
+    _, phrases, daily = _ledger(spark, d)
+    return R.top_by_party(R.ranked_day(daily, phrases, FOCUS), 10)
+
+
+@query
+def top_collapsed(spark, d):
+    _, phrases, daily = _ledger(spark, d)
+    return R.top_k(R.collapsed(R.ranked_day(daily, phrases, FOCUS)), 50)
+
+
+@query
+def adoption_curve(spark, d):
+    return R.adoption_curve(_ledger(spark, d)[2].where("party in ('D', 'R')"), "2024-01-08")
+
+
+@query
+def adoption_exemplars(spark, d):
+    return R.exemplars(_ledger(spark, d)[2], "2024-01-20")
+
+
+@query
+def coverage_by_year_party(spark, d):
+    o = T.table(spark, d, "orders").select(F.year("o_orderdate").alias("year"), F.when(F.col("o_orderpriority").startswith("1"), "urgent").otherwise("other").alias("side"))
+    return o.groupBy("year").pivot("side", ["urgent", "other"]).agg(F.count("*")).select("year", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("urgent", "other")))
+
+
+@query
+def ledger_merge(spark, d):
+    sh = T.statements(spark, d).groupBy("congress", (F.col("doc_id") % 3).alias("shard"), F.col("bioguide").alias("ngram")).agg(F.min("day").alias("first_day"), F.count("*").alias("peak_units"), F.round(1 / F.count("*"), 6).alias("df_weight"))
+    return L.merge_ledgers(sh)
+
+
+@query
+def lane_partition_check(spark, d):
+    return L.lane_check(T.statements(spark, d))
+
+
+@query
+def cross_party_days(spark, d):
+    return L.cross_party_days(L.cell_units(_occ(_stm(spark, d))), 2)
+
+
+@query
+def duet_candidates(spark, d):
+    return R.duet_candidates(L.cell_units(_occ(_stm(spark, d))), 50, 2)
+
+
+@query
+def log_odds_phrases(spark, d):
+    return L.log_odds(_ledger(spark, d)[2], "case when day < date '2024-01-16' then 'early' else 'late' end")
+
+
+@query
+def phrase_receipts(spark, d):
+    stm, phrases, daily = _ledger(spark, d)
+    peaks = R.adoption_curve(daily.where("party in ('D', 'R')"), "2000-01-01")
+    occ = _occ(stm).join(phrases.select("ngram"), "ngram", "left_semi")
+    return R.receipts(occ, peaks).where(~F.col("unit").startswith("joint:")).drop("unit")
+
+
+# ---- surges ----
+
+
+@query
+def surge_baseline(spark, d):
+    return U.baselines(*_surge_tables(spark, d)).withColumn("prior_share", F.round("prior_share", 6))
+
+
+@query
+def surge_binomial(spark, d):
+    m = U.measure(U.baselines(*_surge_tables(spark, d)))
+    return m.select("phrase", "party", "day", *(F.round(c, 6).alias(c) for c in ("share", "base", "ratio", "change", "p", "skew", "spread")))
+
+
+@query
+def surge_bh(spark, d):
+    return U.surges(*_surge_tables(spark, d)).select("phrase", "party", "day", F.round("q", 6).alias("q"), "surge")
+
+
+@query
+def surge_weekday_baseline(spark, d):
+    return U.baselines(*_surge_tables(spark, d), weekday=True).select("phrase", "party", "day", "k", "base_n", "base_k")
+
+
+@query
+def surge_rankings(spark, d):
+    return U.rankings(U.surges(*_surge_tables(spark, d)))
+
+
+@query
+def overdispersion(spark, d):
+    return U.overdispersion(*_surge_tables(spark, d))
+
+
+# ---- measures ----
+
+
+@query
+def eligible_offices_asof(spark, d):
+    o = T.table(spark, d, "orders").join(T.table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    iv = o.select(F.col("o_custkey").alias("bioguide"), F.to_date("o_orderdate").alias("start"), F.date_add(F.to_date("o_orderdate"), 90).alias("end_exclusive"), (F.col("c_nationkey") % 2).alias("party"), F.lit("voting").alias("voting_status"))
+    days = spark.sql("select explode(sequence(date '1996-01-01', date '1996-12-01', interval 1 month)) as day")
+    return M.eligible_offices(days, iv)
+
+
+@query
+def source_state_asof(spark, d):
+    o = T.table(spark, d, "orders").where("o_orderkey % 2 = 0")
+    iv = o.groupBy(F.col("o_custkey").alias("bioguide"), F.to_date("o_orderdate").alias("start")).agg(F.max("o_orderpriority").alias("state")).withColumn("end_exclusive", F.date_add("start", 365))
+    facts = T.table(spark, d, "customer").select(F.col("c_custkey").alias("bioguide"), F.lit("1997-06-01").cast("date").alias("day"))
+    return M.source_state(facts, iv).select(F.col("bioguide").alias("office"), "day", "state")
+
+
+@query
+def participation(spark, d):
+    stm, phrases, _ = _ledger(spark, d)
+    return M.participation(stm, _occ(stm).join(phrases, "ngram", "left_semi"))
+
+
+@query
+def concordance(spark, d):
+    stm, phrases, _ = _ledger(spark, d)
+    return M.concordance(stm, _occ(stm).join(phrases.where("peak_units >= 3"), "ngram", "left_semi"))
+
+
+@query
+def unison(spark, d):
+    stm = _stm(spark, d)
+    return M.unison(_occ(stm), stm, FOCUS, active_min=5)
+
+
+@query
+def silence_board(spark, d):
+    tax = spark.createDataFrame([("idiot", "insult"), ("license", "license"), ("anon", "person"), ("pathetic", "insult"), ("rights", "license"), ("zzzz", "nothing")], "seed string, topic string")
+    news = spark.createDataFrame([("insult", 0.005), ("license", None), ("person", 0.2), ("nothing", 0.4)], "topic string, volume double")
+    return M.silence_board(news, M.topic_counts(T.statements(spark, d), tax))
+
+
+@query
+def symmetry_report(spark, d):
+    return M.symmetry(T.statements(spark, d))
+
+
+@query
+def classify_phrase(spark, d):
+    stm, phrases, _ = _ledger(spark, d)
+    fam = _occ(stm).join(stm.select("doc_id", "joint_group", "id"), "doc_id").groupBy("ngram").agg(F.count_distinct(F.coalesce("joint_group", "id")).alias("families"))
+    return phrases.join(fam, "ngram").select("ngram", M.classify(F.col("ngram"), F.lit(False), F.lit(False), F.col("families")).alias("class"))
+
+
+@query
+def scaffold_reasons(spark, d):
+    g = F.col("ngram")
+    return _ledger(spark, d)[1].select("ngram", F.coalesce(X.scaffold_reason(g), F.lit("")).alias("reason"), X.is_weak_label(g).alias("weak"))
+
+
+# ---- families, clusters, claims ----
+
+
+def _keyed(spark, d):
+    return T.statements(spark, d).select(F.col("doc_id").alias("key"), "day", "bioguide", "text")
+
+
+@query
+def shingle_jaccard_pairs(spark, d):
+    docs = _keyed(spark, d)
+    pairs = I.similar_pairs(docs)
+    # copies of one set meet through representatives; here every pair of the sets is asked for, so links are spread to the members
+    sets = docs.where(F.size(I.word_tokens(F.col("text"))) >= 24).select("key", "day", F.xxhash64(F.array_sort(I.shingles(F.col("text")))).alias("s"))
+    rep = sets.groupBy("s", "day").agg(F.min("key").alias("rep"))
+    of = sets.join(rep, ["s", "day"]).select("key", "rep")
+    near = pairs.join(of.where("key = rep").select(F.col("key").alias("a")), "a", "left_semi").join(of.where("key = rep").select(F.col("key").alias("b")), "b", "left_semi")
+    far = near.join(of.select(F.col("key").alias("ka"), F.col("rep").alias("a")), "a").join(of.select(F.col("key").alias("kb"), F.col("rep").alias("b")), "b").select("ka", "kb", "jaccard")
+    own = of.alias("x").join(of.alias("y"), "rep").where("x.key < y.key").select(F.col("x.key").alias("ka"), F.col("y.key").alias("kb"), F.lit(1.0).alias("jaccard"))
+    return far.unionByName(own).select(F.least("ka", "kb").alias("a"), F.greatest("ka", "kb").alias("b"), F.round("jaccard", 6).alias("jaccard"))
+
+
+@query
+def document_families(spark, d):
+    return I.families(_keyed(spark, d))
+
+
+@query
+def fragment_components(spark, d):
+    grams = C.cluster_grams(_stm(spark, d), "doc_id")
+    return C.fragment_components(grams, "doc_id")
+
+
+@query
+def cluster_support_phrase(spark, d):
+    stm = _stm(spark, d)
+    grams = C.cluster_grams(stm, "doc_id")
+    return C.support_phrase(grams, C.fragment_components(grams, "doc_id"), stm, "doc_id", 2)
+
+
+@query
+def verify_reasons(spark, d):
+    stm = _stm(spark, d)
+    grams = C.cluster_grams(stm, "doc_id")
+    best = C.support_phrase(grams, C.fragment_components(grams, "doc_id"), stm, "doc_id", 2)
+    text = stm.select(F.col("doc_id").alias("component"), F.col("text").alias("source_text"))
+    claims = best.join(text, "component").select("component", "gram", F.col("units").alias("member_count"), "units", F.element_at(F.split("source_text", "\n"), 1).alias("fragment"), "source_text")
+    return C.verify(claims).select("component", "gram", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query
+def phrase_occurrences(spark, d):
+    docs = T.table(spark, d, "documents").where(F.lower("text").contains("licensed under"))
+    return docs.select("doc_id", F.explode(N.phrase_occurrences(F.col("text"), F.lit("licensed under"))).alias("o")).select("doc_id", "o.*")
+
+
+@query
+def name_verdicts(spark, d):
+    names = T.table(spark, d, "benchmark").select(F.lit(118).alias("congress"), F.element_at(F.split("text", r"[.\n]"), 1).alias("name"), F.col("item_id").cast("string").alias("cite"))
+    index = N.name_index(names, 118)
+    grams = spark.createDataFrame([(n,) for n in sorted({" ".join(t[:3]) for v in index.values() for t, _ in v})], "ngram string")
+    docs = T.table(spark, d, "documents")
+    hit = docs.select("doc_id", F.explode(X.doc_ngrams(F.col("text"), 3, 3)).alias("ngram")).join(F.broadcast(grams), "ngram")
+    return N.verdicts(docs, hit, index)
+
+
+@query
+def suppressed_forms(spark, d):
+    forms = {N.form_digest(f, "salt") for f in ("all rights reserved", "version 2.0", "idiot")}
+    s = N.suppressed_spans(F.col("text"), forms, "salt")
+    return T.table(spark, d, "documents").select("doc_id", F.size(s).alias("n")).where("n > 0")
+
+
+# ---- research ----
+
+
+@query
+def spearman_rho(spark, d):
+    return S.spearman(T.table(spark, d, "lineitem"), "l_quantity", "l_extendedprice", "l_returnflag").withColumn("rho", F.round("rho", 6))
+
+
+@query
+def mann_whitney(spark, d):
+    rows = T.table(spark, d, "customer").select((F.col("c_nationkey") % 2 == 0).alias("g"), F.round("c_acctbal").alias("v"))
+    return S.mann_whitney(rows, "g", "v").select("n1", "n2", "u", F.round("r", 6).alias("r"), F.round("z", 6).alias("z"))
+
+
+@query
+def gini_top_decile(spark, d):
+    s = T.table(spark, d, "orders").groupBy("o_custkey").agg(F.round(F.sum("o_totalprice"), 2).alias("v"))
+    return S.concentration(s, "v").select(F.round("gini", 4).alias("gini"), F.round("top_decile", 4).alias("top_decile"))
+
+
+@query
+def quintile_slices(spark, d):
+    return S.slices(T.table(spark, d, "customer").select("c_custkey", "c_acctbal"), ["c_acctbal", "c_custkey"]).groupBy("slice").agg(F.count("*").alias("n"))
+
+
+@query
+def split_half_trend(spark, d):
+    s = _events(spark, d).groupBy("day").agg(F.count("*").cast("double").alias("value"))
+    s = s.select(F.when(F.col("day") < F.lit("2024-01-16").cast("date"), "A").otherwise("B").alias("half"), F.datediff("day", F.lit("2024-01-01")).cast("double").alias("x"), "value", F.lit(1).alias("lane"))
+    return S.split_half(s, 1)
+
+
+@query
+def burst_sessions(spark, d):
+    s = _events(spark, d).groupBy("user_id", "day").agg(F.count("*").alias("count"))
+    return S.bursts(s, "user_id", 2)
+
+
+@query
+def weekday_excess(spark, d):
+    ev = _events(spark, d)
+    return S.weekday_excess(ev.where("phrase = 'purchase'").groupBy("day").agg(F.count("*").alias("n")), ev.groupBy("day").agg(F.count("*").alias("n")))
+
+
+@query
+def event_window_rates(spark, d):
+    a = spark.sql("select explode(array(date '1996-11-05', date '1998-11-03', date '2000-11-07')) as anchor")
+    return S.event_rates(T.table(spark, d, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("n")), a, 90)
+
+
+@query
+def before_after_did(spark, d):
+    o = T.table(spark, d, "orders").select((F.col("o_custkey") % 2 == 0).alias("treated"), (F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp")).alias("post"), F.col("o_totalprice").alias("value"))
+    return S.did(o).select(F.round("did", 4).alias("did"))
+
+
+@query
+def same_state_pairs(spark, d):
+    c = T.table(spark, d, "customer").join(F.broadcast(T.table(spark, d, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+    return S.same_state_pairs(c, "n_regionkey", "n_nationkey").withColumnRenamed("n_regionkey", "region")
+
+
+@query
+def permuted_state_pairs(spark, d):
+    c = T.table(spark, d, "customer").join(F.broadcast(T.table(spark, d, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
+    return S.permuted_pairs(c, "n_regionkey", "n_nationkey", "c_custkey", 10)
+
+
+@query
+def range_join_conversion(spark, d):
+    o = T.table(spark, d, "orders").select(F.col("o_custkey").alias("office"), F.col("o_orderkey").alias("key"), F.to_date("o_orderdate").alias("day"), F.array("o_orderpriority", "o_orderstatus").alias("tokens"))
+    return S.conversion(o.where("key % 2 = 0"), o.where("key % 2 = 1"))
+
+
+@query
+def pairwise_jaccard_weekly(spark, d):
+    s = _events(spark, d).where("value > 90").select(F.to_date(F.date_trunc("week", "ts")).alias("week"), (F.col("user_id") % 2).alias("party"), "user_id", "phrase")
+    return S.pairwise_jaccard(s, ["week", "party"], "user_id", "phrase")
+
+
+@query
+def density_matched(spark, d):
+    return S.density_matched(T.table(spark, d, "documents").select("doc_id", "lang"), "lang", "doc_id", "seed")
+
+
+@query
+def bootstrap_gap(spark, d):
+    rows = T.table(spark, d, "customer").select("c_custkey", (F.col("c_nationkey") % 2 == 0).alias("cell"), "c_acctbal")
+    return S.bootstrap_gap(rows, "cell", "c_acctbal", "c_custkey", 50)
+
+
+# ---- gold set ----
+
+
+@query
+def strat_sample_hash(spark, d):
+    return G.hash_sample(T.table(spark, d, "documents").select("doc_id", "lang"), ["lang"], "doc_id", 20, "seed")
+
+
+@query
+def gold_allocation(spark, d):
+    return G.allocate(T.table(spark, d, "documents"), ["lang", "source"], 300, whole=10)
+
+
+@query
+def date_split(spark, d):
+    return G.date_split(T.statements(spark, d), FOCUS, "2024-01-22").groupBy("split").agg(F.count("*").alias("n"))
+
+
+@query
+def kappa_alpha(spark, d):
+    return G.agreement(T.table(spark, d, "labels").select(F.col("quality").alias("a"), F.col("toxic").alias("b")))
+
+
+@query
+def confusion_precision(spark, d):
+    return G.confusion(T.table(spark, d, "labels").select(F.col("quality").alias("gold"), (1 - F.col("toxic")).alias("predicted")))
+
+
+@query
+def newcombe_gap(spark, d):
+    return G.error_gap(T.table(spark, d, "labels").select(F.when(F.col("doc_id") % 2 == 0, "D").otherwise("R").alias("party"), F.col("quality").alias("gold"), F.col("toxic").alias("predicted")))
+
+
+@query
+def family_pairs(spark, d):
+    return G.family_pairs(T.table(spark, d, "labels").select(F.floor(F.col("doc_id") / 100).alias("day"), F.lit("D").alias("party"), F.col("quality").alias("gold_family"), F.col("toxic").alias("predicted_family")))
+
+
+@query
+def gold_seal(spark, d):
+    return G.seal(T.table(spark, d, "documents"), ["doc_id", "lang", "source"], "seed")
+
+
+# ---- health ----
+
+
+@query
+def readiness_same_weekday(spark, d):
+    c = T.table(spark, d, "orders").where("o_orderdate < timestamp '1995-12-01'").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("n"))
+    return H.readiness(c)
+
+
+@query
+def streak_runs(spark, d):
+    return H.streaks(_events(spark, d), ["user_id"])
+
+
+@query
+def windowed_drop(spark, d):
+    c = _events(spark, d).groupBy(F.col("phrase").alias("event_type"), "day").agg(F.count_if(F.col("value") < 20).alias("dropped"), F.count("*").alias("offered"))
+    return H.drop_verdict(H.windowed_share(c, ["event_type"], "dropped", "offered", 7)).drop("dropped", "offered")
+
+
+@query
+def spend_projection(spark, d):
+    c = _events(spark, d).where("phrase = 'purchase'").groupBy("day").agg(F.round(F.sum("value"), 2).alias("usd"))
+    return H.spend(c).select("day", F.round("month_to_date", 2).alias("month_to_date"), F.round("projection", 2).alias("projection"))
+
+
+@query
+def status_worst(spark, d):
+    a = T.table(spark, d, "documents").groupBy("source", "lang").agg(F.avg("n_chars").alias("n"))
+    return H.worst(a.withColumn("status", F.when(F.col("n") > 8000, "red").when(F.col("n") > 4000, "amber").otherwise("green")), ["source"])
+
+
+@query
+def coverage_gate(spark, d):
+    u = T.statements(spark, d).join(T.table(spark, d, "documents").select("doc_id", "lang"), "doc_id").select(F.col("lang").alias("source"), "party", F.col("bioguide").alias("member_id"), F.col("id").alias("url"))
+    return H.coverage_gate(u)
+
+
+# ---- cells, joins, streams ----
+
+
+@query
+def grouping_sets_cells(spark, d):
+    ev = _events(spark, d).select(F.col("phrase").alias("event_type"), F.when(F.col("day") < F.lit("2024-01-16").cast("date"), "A").otherwise("B").alias("half"), "value")
+    g = ev.groupingSets([["event_type", "half"], ["event_type"], []], "event_type", "half").agg(F.count("*").alias("n"), F.round(F.avg("value"), 6).alias("mean"))
+    return g.select(F.coalesce("event_type", F.lit("all")).alias("event_type"), F.coalesce("half", F.lit("both")).alias("half"), "n", "mean")
+
+
+@query
+def contains_join_citations(spark, d):
+    t = spark.createDataFrame([("licensed under",), ("all rights reserved",), ("idiot",)], "phrase string")
+    return I.contains_citations(t, T.statements(spark, d).select("doc_id", "day", F.lower("text").alias("text")))
+
+
+@query
+def evidence_append_dedupe(spark, d):
+    docs = T.table(spark, d, "documents").select("source", "lang", "doc_id")
+    have = docs.where("doc_id % 2 = 0").groupBy("source", "lang").agg(F.min("doc_id").alias("doc_id"))
+    new = docs.groupBy("source", "lang").agg((F.min("doc_id") + 1000000).alias("doc_id"))
+    return A.append_new(have, new, ["source", "lang"])
+
+
+def _stream(spark, d, name):
+    src = T.table(spark, d, "events")
+    raw = A.event_stream(spark, f"{d}/events.parquet", src.schema)
+    return raw.select(F.col("event_type").alias("phrase"), F.col("user_id").cast("string").alias("unit"), "ts")
+
+
+@query
+def stream_daily_counts(spark, d):
+    return A.drain(A.daily_units(_stream(spark, d, "daily")), "unisono_daily")
+
+
+@query
+def stream_session_bursts(spark, d):
+    return A.drain(A.session_bursts(_stream(spark, d, "sessions")), "unisono_sessions")
+
+
+@query
+def vector_topk(spark, d):
+    e = T.table(spark, d, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    e = e.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)))
+    q = e.where("vec_id < 10").select(F.col("vec_id").alias("query_id"), F.col("v").alias("qv"), F.col("norm").alias("qn"))
+    dot = F.aggregate(F.zip_with("v", "qv", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
+    s = e.join(F.broadcast(q), F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", F.round(dot / (F.col("norm") * F.col("qn")), 6).alias("cosine"))
+    w = Window.partitionBy("query_id").orderBy(F.desc("cosine"), "vec_id")
+    return s.withColumn("rank", F.row_number().over(w)).where("rank <= 5")
