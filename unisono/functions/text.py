@@ -96,6 +96,19 @@ def doc_ngrams(text: Column, lo: int, hi: int) -> Column:
     return F.array_distinct(F.flatten(F.transform(sentences(text), lambda t: ngrams(t, lo, hi))))
 
 
+def kept_ngrams(sents: Column, lo: int, hi: int) -> Column:
+    """Distinct n-grams of `sentences` that are no templates.
+
+    A template within an n-gram is one within its sentence, so the patterns are tried on whole sentences first and then only
+    on the n-grams of those that have one.
+    """
+    join = lambda t: F.array_join(t, " ")
+    all_of = lambda a: F.array_distinct(F.flatten(F.transform(a, lambda t: ngrams(t, lo, hi))))
+    plain = all_of(F.filter(sents, lambda t: ~join(t).rlike(TEMPLATE)))
+    rest = F.filter(all_of(F.filter(sents, lambda t: join(t).rlike(TEMPLATE))), lambda g: ~g.rlike(TEMPLATE))
+    return F.array_union(plain, rest)
+
+
 def content_words(ngram: Column) -> Column:
     return F.size(F.filter(F.split(ngram, " "), lambda t: ~t.isin(*STOPWORDS)))
 

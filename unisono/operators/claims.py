@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from unisono.functions.text import contains_gram, content_words, doc_ngrams, is_template, is_verbatim, is_weak_label, scaffold_reason
+from unisono.functions.text import contains_gram, content_words, is_verbatim, is_weak_label, kept_ngrams, scaffold_reason, sentences
 from unisono.operators.identity import components
 from unisono.params import P
 
 
 def cluster_grams(rows: DataFrame, key: str, text: str = "text") -> DataFrame:
     """Content 4- and 5-grams of each fragment."""
-    g = rows.select(key, "party", "day", F.explode(doc_ngrams(F.col(text), 4, 5)).alias("gram"))
-    return g.where(~is_template(F.col("gram")) & (content_words(F.col("gram")) >= 2))
+    g = rows.select(key, "party", "day", sentences(F.col(text)).alias("_s")).select(key, "party", "day", F.explode(kept_ngrams(F.col("_s"), 4, 5)).alias("gram"))
+    return g.where(content_words(F.col("gram")) >= 2)
 
 
 def fragment_components(grams: DataFrame, key: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from unisono.functions.text import doc_ngrams, is_low_content, is_template
+from unisono.functions.text import is_low_content, kept_ngrams, sentences
 from unisono.params import P
 
 
@@ -16,8 +16,9 @@ def eligible(stm: DataFrame, lane: int = 1) -> DataFrame:
 
 def occurrences(stm: DataFrame, lo: int = P.ngram_min, hi: int = P.ngram_max) -> DataFrame:
     """A row for each statement and n-gram in it that is neither template nor low in content."""
-    rows = stm.select("doc_id", "day", "party", "congress", "unit", "bioguide", F.explode(doc_ngrams(F.col("text"), lo, hi)).alias("ngram"))
-    return rows.where(~is_template(F.col("ngram")) & ~is_low_content(F.col("ngram")))
+    keys = ["doc_id", "day", "party", "congress", "unit", "bioguide"]
+    rows = stm.select(*keys, sentences(F.col("text")).alias("_s")).select(*keys, F.explode(kept_ngrams(F.col("_s"), lo, hi)).alias("ngram"))
+    return rows.where(~is_low_content(F.col("ngram")))
 
 
 def cell_units(occ: DataFrame) -> DataFrame:
@@ -43,7 +44,7 @@ def ledger(stm: DataFrame, quorum: int = P.quorum, df_max: float = P.df_share_ma
     """
     stm = eligible(stm)
     occ = occurrences(stm)
-    occ = occ.join(candidates(occ, quorum), "ngram", "left_semi")
+    occ = occ.join(candidates(occ, quorum), "ngram", "left_semi").persist()  # a small part of all; used by six aggregates
     cells = cell_units(occ)
     totals = cells.groupBy("ngram").agg(F.max("units").alias("peak_units"), F.sum("units").alias("total_uses"))
     units = occ.select("ngram", "unit").distinct().groupBy("ngram").agg(F.count("*").alias("distinct_units"))

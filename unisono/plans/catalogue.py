@@ -103,13 +103,13 @@ def text_features(spark, d):
 
 @query
 def doc_ngrams_counts(spark, d):
-    return T.table(spark, d, "documents").select("doc_id", F.size(X.doc_ngrams(F.col("text"), 3, 6)).cast("long").alias("grams")).where("grams > 0")
+    return T.spread(T.table(spark, d, "documents")).select("doc_id", F.size(X.doc_ngrams(F.col("text"), 3, 6)).cast("long").alias("grams")).where("grams > 0")
 
 
 @query
 def lowcontent_filter(spark, d):
-    g = T.table(spark, d, "documents").select("doc_id", F.explode(X.doc_ngrams(F.col("text"), 3, 6)).alias("g"))
-    return g.where(~X.is_template(F.col("g")) & ~X.is_low_content(F.col("g"))).groupBy("doc_id").agg(F.count("*").alias("grams"))
+    g = T.spread(T.table(spark, d, "documents")).select("doc_id", X.sentences(F.col("text")).alias("s")).select("doc_id", F.explode(X.kept_ngrams(F.col("s"), 3, 6)).alias("g"))
+    return g.where(~X.is_low_content(F.col("g"))).groupBy("doc_id").agg(F.count("*").alias("grams"))
 
 
 @query
@@ -362,21 +362,21 @@ def document_families(spark, d):
 
 @query
 def fragment_components(spark, d):
-    grams = C.cluster_grams(_stm(spark, d), "doc_id")
+    grams = C.cluster_grams(_stm(spark, d), "doc_id").persist()
     return C.fragment_components(grams, "doc_id")
 
 
 @query
 def cluster_support_phrase(spark, d):
     stm = _stm(spark, d)
-    grams = C.cluster_grams(stm, "doc_id")
+    grams = C.cluster_grams(stm, "doc_id").persist()
     return C.support_phrase(grams, C.fragment_components(grams, "doc_id"), stm, "doc_id", 2)
 
 
 @query
 def verify_reasons(spark, d):
     stm = _stm(spark, d)
-    grams = C.cluster_grams(stm, "doc_id")
+    grams = C.cluster_grams(stm, "doc_id").persist()
     best = C.support_phrase(grams, C.fragment_components(grams, "doc_id"), stm, "doc_id", 2)
     text = stm.select(F.col("doc_id").alias("component"), F.col("text").alias("source_text"))
     claims = best.join(text, "component").select("component", "gram", F.col("units").alias("member_count"), "units", F.element_at(F.split("source_text", "\n"), 1).alias("fragment"), "source_text")

@@ -13,6 +13,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a scan of fewer splits than cores to all cores; larger inputs are left as they are read, without an exchange."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_jsonl(spark: SparkSession, path, schema=RAW_RECORD) -> DataFrame:
     """JSON lines, plain or gzip; lines that don't parse are left out (see `bad_lines`)."""
     rows = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
@@ -104,4 +110,4 @@ def joint_key(day: Column, text: Column) -> Column:
 
 
 def statements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return statements_from_documents(table(spark, sf_dir, "documents"))
+    return statements_from_documents(spread(table(spark, sf_dir, "documents")))
