@@ -20,10 +20,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch holds; texts may be very long. Never raises a smaller setting."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > _ROWS_PER_BATCH:
-        spark.conf.set(key, str(_ROWS_PER_BATCH))
+    """Bound what one Arrow batch holds; texts may be very long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(_ROWS_PER_BATCH))
 
 
 def shared_dir(spark: SparkSession) -> str:

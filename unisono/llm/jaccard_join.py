@@ -6,9 +6,9 @@ content of a segment and, where the cost-based allocation of the band says so, i
 Sets that share a signature are candidates and are verified on their full sets.
 
 Only what decides components is verified: equal sets collapse to one representative; in each bucket members are compared
-with its leader, the set with the most popular signatures, and in later rounds only sets of different components meet.
-The last round compares all that are left, so no link between different components is lost, and no round makes all
-pairs of a group of copies.
+with its leader, the set that shares the most signatures, and in later rounds only sets of different components meet.
+The last round decides all that are left, block against block, so no link between different components is lost, and no
+round makes rows of all pairs of a group.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ PERCENT = 90
 BAND_GROWTH = 1.25
 LEADER_ROUNDS = 2
 BROADCAST_IDS = 500_000  # eight bytes each
+BLOCK_SETS, BLOCK_TOKENS = 512, 500_000  # of a block: sets, and tokens of eight bytes
 _SEED = np.uint64(0x9FB21C651E98DF25)
 
 
@@ -242,7 +243,7 @@ def _verify(percent: int):
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(id, component) for the ends of `edges` (a, b): the smallest id that they reach.
+    """(id, component) for the ends of `edges` (a, b) that reach a smaller id: the smallest. Components' smallest ids have no row.
 
     Alternating large-star and small-star steps (Kiveris and others, "Connected Components in MapReduce and Beyond",
     2014): the number of edges never grows beyond the input's, and rounds grow with the logarithm of the longest path.
@@ -312,7 +313,7 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     sets = materialize(arrow_map(_only(narrow, ids).dropDuplicates(["doc_id"]) if _repeats(facts) else _only(narrow, ids), _sets(shingle), "doc_id long, tokens binary"))
 
     cur = members.withColumn("component", F.col("doc_id"))
-    links = tested = label = None
+    links = label = None
     for step in range(LEADER_ROUNDS + 1):
         if label is not None:
             cur = members.join(label, "doc_id")
@@ -320,20 +321,15 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
             cur = materialize(cur.join(mixed, "sig", "left_semi"))
             if not cur.take(1):
                 break
-        if step < LEADER_ROUNDS:
+        if step == LEADER_ROUNDS:
+            new = _blocks(cur, sets, percent)
+        else:
             by = Window.partitionBy("sig")
             first = cur.withColumn("lead", F.max(F.struct("order", "doc_id", "component")).over(by))
             if step:  # the next leader: the best member that the first leader's component doesn't have
                 first = first.withColumn("lead", F.max(F.when(F.col("component") != F.col("lead.component"), F.struct("order", "doc_id", "component"))).over(by))
             pairs = first.where("component <> lead.component").select(F.col("lead.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct()
-        else:
-            pairs = _rest(cur, percent)
-        if tested is not None:
-            pairs = pairs.select("a", "b", F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).join(tested, ["x", "y"], "left_anti").select("a", "b")
-        found = materialize(_linked(pairs, sets, percent))
-        done = found.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
-        tested = done if tested is None else tested.unionByName(done)
-        new = found.where("linked").select("a", "b")
+            new = materialize(_linked(pairs, sets, percent)).where("linked").select("a", "b")
         links = new if links is None else links.unionByName(new)
         comp = connected_components(links)
         label = materialize(ids.join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("component")))
@@ -343,26 +339,101 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     return facts.join(named, "set", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def _rest(cur: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a bucket that are still in different components and may link.
+_PACKED = "a_ids binary, a_components binary, a_sizes binary, a_tokens binary, b_ids binary, b_components binary, b_sizes binary, b_tokens binary"
+
+
+def _pack(batches):
+    """Rows sorted by block, as one row for each block."""
+    held: dict | None = None
+
+    def put(h):
+        cols = {k: pa.array([v], pa.int64()) for k, v in zip(("candidate", "block", "blocks"), h["key"], strict=True)}
+        cols |= {k: pa.array([np.array(h[k], np.int64).tobytes()], pa.binary()) for k in ("ids", "components", "sizes")}
+        return pa.RecordBatch.from_pydict(cols | {"tokens": pa.array([b"".join(h["tokens"])], pa.binary())})
+
+    for b in batches:
+        for r in b.to_pylist():
+            key = (r["candidate"], r["block"], r["blocks"])
+            if held is not None and held["key"] != key:
+                yield put(held)
+                held = None
+            if held is None:
+                held = {"key": key, "ids": [], "components": [], "sizes": [], "tokens": []}
+            held["ids"].append(r["doc_id"])
+            held["components"].append(r["component"])
+            held["sizes"].append(len(r["tokens"]) // 8)
+            held["tokens"].append(r["tokens"])
+    if held is not None:
+        yield put(held)
+
+
+def _meet(percent: int):
+    """Links between two blocks that join components; of several that join the same two, the first."""
+
+    def unpack(r, side):
+        ids, comps, sizes = (np.frombuffer(r[f"{side}_{k}"], np.int64) for k in ("ids", "components", "sizes"))
+        return ids, comps, sizes, np.frombuffer(r[f"{side}_tokens"], np.uint64)
+
+    def run(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                ia, ca, na, ta = unpack(r, "a")
+                ib, cb, nb, tb = unpack(r, "b")
+                names, at = np.unique(np.concatenate([ta, tb]), return_inverse=True)
+                ra, rb = np.repeat(np.arange(len(na)), na), np.repeat(np.arange(len(nb)), nb)
+                va, vb = at[: len(ta)], at[len(ta) :]
+                both = np.zeros((len(na), len(nb)), np.float32)
+                for low in range(0, len(names), 4096):  # bounds the matrices
+                    x, y = np.zeros((len(na), 4096), np.float32), np.zeros((len(nb), 4096), np.float32)
+                    ka, kb = (va >= low) & (va < low + 4096), (vb >= low) & (vb < low + 4096)
+                    x[ra[ka], va[ka] - low] = 1
+                    y[rb[kb], vb[kb] - low] = 1
+                    both += x @ y.T
+                both = both.astype(np.int64)
+                linked = (100 * both >= percent * (na[:, None] + nb[None, :] - both)) & (ca[:, None] != cb[None, :])
+                root: dict[int, int] = {}
+
+                def find(c):
+                    while root.get(c, c) != c:
+                        c = root[c]
+                    return c
+
+                out = []
+                for i, j in zip(*np.nonzero(linked), strict=True):
+                    x, y = find(int(ca[i])), find(int(cb[j]))
+                    if x != y:
+                        root[max(x, y)] = min(x, y)
+                        out.append((int(ia[i]), int(ib[j])))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array([v[k] for v in out], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return run
+
+
+def _blocks(cur: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links among members of common buckets that leaders have left in different components.
 
-    Sets of sizes a and b differ in D(a, b) tokens at most, so of their band's units (most + 1, besides those that weak
-    segments may take) at least most + 1 - D(a, b) agree; pairs that share fewer signatures can't link.
+    Members that are connected by buckets are dealt into blocks of bounded size, and blocks meet in matrix products, so
+    every pair is decided and none is a row.
     """
-    left = cur.select("sig", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    other = cur.select("sig", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    met = left.join(other, "sig").where(f"a < b and ca <> cb and 100 * least(na, nb) >= {percent} * greatest(na, nb)")
-    top = max(_edges(percent)[:60])
-    rows = [(lo, (100 - percent) * 2 * (hi - 1) // (100 + percent) + 1, 2 if allocation_deletes(i, percent) else 1) for i, (lo, hi) in enumerate(zip(_edges(percent), _edges(percent)[1:], strict=False)) if lo <= top]
-    most = F.lit(1)
-    for lo, units, weight in rows:
-        most = F.when(F.greatest("na", "nb") >= lo, F.lit(units if weight == 1 else 0)).otherwise(most)
-    least = F.greatest(F.lit(1), most - F.floor((100 - percent) * (F.col("na") + F.col("nb")) / (100 + percent)))
-    return met.groupBy("a", "b", "na", "nb").count().where(F.col("count") >= least).select("a", "b")
-
-
-def allocation_deletes(band: int, percent: int) -> bool:
-    return allocation(band, percent).deletions > 0
+    spark = cur.sparkSession
+    star = cur.select("sig", "doc_id").join(cur.groupBy("sig").agg(F.min("doc_id").alias("a")), "sig").where("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct()
+    cand = connected_components(star).withColumnRenamed("id", "doc_id").withColumnRenamed("component", "candidate")
+    rows = cur.select("doc_id", "component", "n").distinct().join(cand, "doc_id", "left").withColumn("candidate", F.coalesce("candidate", "doc_id"))
+    size = rows.groupBy("candidate").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_TOKENS)).cast("long").alias("blocks"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.join(size, "candidate").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks"))).join(sets, "doc_id").select("candidate", "block", "blocks", "doc_id", "component", "tokens")
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(conf, "64")
+    kinds = "candidate long, block long, blocks long, ids binary, components binary, sizes binary, tokens binary"
+    packed = materialize(dealt.repartition(parts, "candidate", "block").sortWithinPartitions("candidate", "block", "doc_id").mapInArrow(_pack, kinds))
+    a = packed.select("candidate", F.col("block").alias("x"), *(F.col(k).alias(f"a_{k}") for k in ("ids", "components", "sizes", "tokens")))
+    # each block meets those from itself on: rows number the square of a group's blocks, not of its members
+    b = packed.select("candidate", F.col("block").alias("y"), *(F.col(k).alias(f"b_{k}") for k in ("ids", "components", "sizes", "tokens")), F.explode(F.sequence(F.lit(0), F.col("block"))).alias("x"))
+    spark.conf.set(conf, "1")
+    met = materialize(a.join(b, ["candidate", "x"]).select(*(c.split()[0] for c in _PACKED.split(", "))).repartition(parts).mapInArrow(_meet(percent), "a long, b long"))
+    small_batches(spark)
+    return met
 
 
 def _repeats(facts: DataFrame) -> bool:
