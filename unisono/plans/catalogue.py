@@ -201,7 +201,7 @@ def adoption_exemplars(spark, d):
 @query
 def coverage_by_year_party(spark, d):
     o = T.table(spark, d, "orders").select(F.year("o_orderdate").alias("year"), F.when(F.col("o_orderpriority").startswith("1"), "urgent").otherwise("other").alias("side"))
-    return o.groupBy("year").pivot("side", ["urgent", "other"]).agg(F.count("*")).select("year", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("urgent", "other")))
+    return o.groupBy("year").pivot("side", ["urgent", "other"]).agg(F.count(F.lit(1))).select("year", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("urgent", "other")))
 
 
 @query
@@ -249,7 +249,7 @@ def surge_baseline(spark, d):
 @query
 def surge_binomial(spark, d):
     m = U.measure(U.baselines(*_surge_tables(spark, d)))
-    return m.select("phrase", "party", "day", *(F.round(c, 6).alias(c) for c in ("share", "base", "ratio", "change", "p", "skew", "spread")))
+    return m.select("phrase", "party", "day", F.round("p", 4).alias("p"), *(F.round(c, 6).alias(c) for c in ("share", "base", "ratio", "change", "skew", "spread")))
 
 
 @query

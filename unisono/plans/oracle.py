@@ -119,7 +119,7 @@ ORACLE_SQL: dict[str, str] = {
       select party, day, docs, coalesce(u, 0) as units, round(least(coalesce(u, 0), docs) / docs, 6) as share from docs left join used using (party, day)""",
     "velocity": f"with {LEDGER}, {VELOCITY} select ngram, day, units, velocity from velo",
     "top_synchronized_day": f"with {RANKED} select * from ranked {_RORD} limit 50",
-    "top_by_party": f"with {RANKED} select *, rank::int as rank from (select *, row_number() over (partition by party {_RORD}) as rank from ranked) where rank <= 10",
+    "top_by_party": f"with {RANKED} select * replace (rank::int as rank) from (select *, row_number() over (partition by party {_RORD}) as rank from ranked) where rank <= 10",
     "adoption_curve": f"with {LEDGER}, c as (select ngram, day, max(units) as units from daily where day >= date '2024-01-08' group by all) select ngram, count(*) as days, sum(units)::bigint as uses, max(units) as peak, arg_max(day, struct_pack(u := units, d := -(day - date '1970-01-01'))) as peak_day from c group by 1",
     "adoption_exemplars": f"with {LEDGER} select ngram, day, party, units from (select *, row_number() over (partition by party order by units desc, day, ngram) as r from daily where day <= date '2024-01-20' and day > date '2024-01-13' and units >= 3) where r = 1",
     "coverage_by_year_party": "select year(o_orderdate)::int as year, count(*) filter (o_orderpriority like '1%') as urgent, count(*) filter (o_orderpriority not like '1%') as other from orders group by 1",
@@ -128,17 +128,17 @@ ORACLE_SQL: dict[str, str] = {
     "lane_partition_check": f"with {STM}, i as (select congress, id, count(distinct lane) as lanes, count(*) as n from stm group by all) select congress::int as congress, sum(n)::bigint as statements, count(*) as ids, count(*) filter (lanes > 1) as shared_ids from i group by 1",
     "cross_party_days": f"with {OCC}, w as (select ngram, day, max(units) filter (party = 'D') as d, max(units) filter (party = 'R') as r from cells_all group by all) select day, count(*) as phrases from w where d >= 2 and r >= 2 group by 1",
     "duet_candidates": f"""with {OCC}, w as (select ngram, day, max(units) filter (party = 'D') as d, max(units) filter (party = 'R') as r from cells_all group by all),
-      x as (select ngram, day, least(d, r) as both, greatest(d, r) as either from w where d >= 2 and r >= 2)
-      select *, rank::int as rank from (select *, row_number() over (partition by day order by both desc, either desc, ngram) as rank from x) where rank <= 50""",
+      x as (select ngram, day, least(d, r) as "both", greatest(d, r) as "either" from w where d >= 2 and r >= 2)
+      select * replace (rank::int as rank) from (select *, row_number() over (partition by day order by "both" desc, "either" desc, ngram) as rank from x) where rank <= 50""",
     "log_odds_phrases": f"""with {LEDGER}, h as (select case when day < date '2024-01-16' then 'early' else 'late' end as era, party, ngram, sum(units)::bigint as n from daily group by all),
       t as (select *, sum(n) over (partition by party, ngram) - n as rest, sum(n) over (partition by party, era) as te, sum(n) over (partition by party) as ta from h),
       s as (select era, party, ngram, n, round(ln((n + 0.5) / (te - n + 0.5)) - ln((rest + 0.5) / (ta - te - rest + 0.5)), 6) as log_odds from t)
-      select *, rank::int as rank from (select *, row_number() over (partition by era, party order by log_odds desc, n desc, ngram) as rank from s) where rank <= 10""",
+      select * replace (rank::int as rank) from (select *, row_number() over (partition by era, party order by log_odds desc, n desc, ngram) as rank from s) where rank <= 10""",
     "phrase_receipts": f"""with {LEDGER}, {VELOCITY}, pk as (select ngram, arg_max(day, struct_pack(u := units, d := -(day - date '1970-01-01'))) as day from ser group by 1),
       o1 as (select o.ngram, o.day, o.party, o.unit, min(o.doc_id) as doc_id from occ o join pk using (ngram, day) group by all)
       select ngram, day, party, doc_id, rank::int as rank from (select *, row_number() over (partition by ngram, party order by unit, doc_id) as rank from o1) where rank <= 3 and unit not like 'joint:%'""",
     "surge_baseline": f"with {SURGE} select phrase, party, day, k, n, base_k, base_n, round(prior_share, 6) as prior_share from bas",
-    "surge_binomial": f"with {SURGE} select phrase, party, day, round(share, 6) as share, round(base, 6) as base, round(ratio, 6) as ratio, round(change, 6) as change, round(p, 6) as p, round(skew, 6) as skew, round(spread, 6) as spread from bh",
+    "surge_binomial": f"with {SURGE} select phrase, party, day, round(share, 6) as share, round(base, 6) as base, round(ratio, 6) as ratio, round(change, 6) as change, round(p, 4) as p, round(skew, 6) as skew, round(spread, 6) as spread from bh",
     "surge_bh": f"with {SURGE} select phrase, party, day, round(q, 6) as q, change >= {P.surge_change} and ratio >= {P.surge_ratio} and q <= {P.surge_q} as surge from bh",
     "surge_weekday_baseline": f"""with {EV}, c as (select party, day, trials, coalesce(sum(trials) over (partition by party, isodow(day) order by day rows between 28 preceding and 1 preceding), 0)::bigint as base_n from den)
       select d.phrase, d.party, d.day, d.successes as k, c.base_n, coalesce((select sum(x.successes) from dly x where x.phrase = d.phrase and x.party = d.party and x.day < d.day and isodow(x.day) = isodow(d.day)), 0)::bigint as base_k from dly d join c using (party, day)""",
@@ -176,8 +176,8 @@ ORACLE_SQL: dict[str, str] = {
       j as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.sh = b.sh and a.doc_id < b.doc_id and abs(a.day - b.day) <= 1 group by all)
       select a, b, round(c / (x.n + y.n - c), 6) as jaccard from j join n x on x.doc_id = a join n y on y.doc_id = b where c / (x.n + y.n - c) >= 0.72""",
     "fragment_components": f"""with {STM}, {SENT}, {grams(4, 5)}, f as (select doc_id, party, day, ngram as gram from grams join stm using (doc_id)), l as (select party, day, gram, min(doc_id) as a from f group by all having count(*) > 1),
-      e as (select distinct a, doc_id as b from f join l using (party, day, gram) where doc_id <> a), both as (select a, b from e union select b, a from e),
-      reach as (with recursive r as (select a as id, a as c from both union select r.id, both.b as c from r join both on both.a = r.c) select id, min(c) as component from r group by 1)
+      e as (select distinct a, doc_id as b from f join l using (party, day, gram) where doc_id <> a), bidi as (select a, b from e union select b, a from e),
+      reach as (with recursive r as (select a as id, a as c from bidi union select r.id, bidi.b as c from r join bidi on bidi.a = r.c) select id, min(c) as component from r group by 1)
       select id, component from reach""",
     "spearman_rho": """with r as (select l_returnflag as g, rank() over (partition by l_returnflag order by l_quantity) + (count(*) over (partition by l_returnflag, l_quantity) - 1) / 2 as x, rank() over (partition by l_returnflag order by l_extendedprice) + (count(*) over (partition by l_returnflag, l_extendedprice) - 1) / 2 as y from lineitem)
       select g as l_returnflag, count(*) as n, round(corr(x, y), 6) as rho from r group by 1""",
@@ -218,7 +218,7 @@ ORACLE_SQL: dict[str, str] = {
       w as (select *, (p1 + 3.8416 / (2 * n1)) / (1 + 3.8416 / n1) as m1, 1.96 * sqrt(p1 * (1 - p1) / n1 + 3.8416 / (4 * n1 * n1)) / (1 + 3.8416 / n1) as h1, (p2 + 3.8416 / (2 * n2)) / (1 + 3.8416 / n2) as m2, 1.96 * sqrt(p2 * (1 - p2) / n2 + 3.8416 / (4 * n2 * n2)) / (1 + 3.8416 / n2) as h2 from p)
       select round(p1, 6) as error_d, round(p2, 6) as error_r, round(p1 - p2 - sqrt((p1 - greatest(0, m1 - h1)) ** 2 + (least(1, m2 + h2) - p2) ** 2), 6) as gap_low, round(p1 - p2 + sqrt((least(1, m1 + h1) - p1) ** 2 + (p2 - greatest(0, m2 - h2)) ** 2), 6) as gap_high from w""",
     "family_pairs": """with r as (select cast(doc_id // 100 as int) as day, 'D' as party, quality as g, toxic as p from labels), b as (select sum(n * (n - 1) / 2) as x from (select count(*) as n from r group by day, party, g, p)), g as (select sum(n * (n - 1) / 2) as y from (select count(*) as n from r group by day, party, g)), p as (select sum(n * (n - 1) / 2) as z from (select count(*) as n from r group by day, party, p))
-      select x::bigint as both, y::bigint as gold, z::bigint as predicted, round(x / z, 6) as precision, round(x / y, 6) as recall from b, g, p""",
+      select x::bigint as "both", y::bigint as gold, z::bigint as predicted, round(x / z, 6) as precision, round(x / y, 6) as recall from b, g, p""",
     "readiness_same_weekday": """with c as (select cast(o_orderdate as date) as day, count(*) as n from orders where o_orderdate < timestamp '1995-12-01' group by 1),
       h as (select c.day, c.n, count(p.n) as observations, median(p.n) as lg, count(case when c.day - p.day <= 21 then p.n end) as k, median(case when c.day - p.day <= 21 then p.n end) as sh from c left join c p on c.day - p.day > 0 and c.day - p.day <= 42 and (c.day - p.day) % 7 = 0 group by 1, 2),
       e as (select day, n, observations, case when k = 3 and sh < lg then sh else lg end as expected from h)
