@@ -60,7 +60,12 @@ def shingles(text: Column, size: int = P.family_shingle) -> Column:
 
 def minhash(values: Column, hashes: int = P.family_hashes) -> Column:
     """Minima of affine hashes of the values; coefficients are odd numbers and checksums."""
-    return F.array(*(F.array_min(F.transform(values, lambda v, i=i: (v * (2 * i + 1) + zlib.crc32(f"document-family-{i}".encode())) % PRIME)) for i in range(hashes)))
+
+    def least(i: int) -> Column:
+        a, b = 2 * i + 1, zlib.crc32(f"document-family-{i}".encode())
+        return F.array_min(F.transform(values, lambda v: (v * a + b) % PRIME))
+
+    return F.array(*map(least, range(hashes)))
 
 
 def similar_pairs(docs: DataFrame, threshold: float = P.family_jaccard, bands: int = P.family_bands, hours: int = P.family_hours) -> DataFrame:
@@ -73,7 +78,7 @@ def similar_pairs(docs: DataFrame, threshold: float = P.family_jaccard, bands: i
     usable = usable.withColumn("set", F.xxhash64("sh"))
     reps = usable.groupBy("set", "day").agg(F.min("key").alias("key"), F.first("sh").alias("sh"))
     copies = usable.join(reps.select("set", "day", F.col("key").alias("rep")), ["set", "day"]).where("key <> rep").select(F.least("key", "rep").alias("a"), F.greatest("key", "rep").alias("b"), F.lit(1.0).alias("jaccard"))
-    sig = reps.withColumn("mh", minhash(F.col("sh")))
+    sig = reps.select("key", "day", F.explode(F.array(minhash(F.col("sh")))).alias("mh"))  # evaluated once, not in every band
     rows = P.family_hashes // bands
     banded = sig.select("key", "day", F.posexplode(F.array(*(F.xxhash64(F.lit(b), *(F.get("mh", F.lit(b * rows + r)) for r in range(rows))) for b in range(bands)))).alias("band", "h"))
     near = (F.abs(F.datediff("l.day", "r.day")) * 24) <= hours
