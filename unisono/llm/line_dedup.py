@@ -73,7 +73,9 @@ def dedup_lines(docs: DataFrame, site: str = "source", text: str = "text", key:
     t = F.col("_in").getField(text)
     parts = _lines(t)
     left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_cut"))  # keeps the order
-    cleaned = F.when(F.col("_cut").isNull(), t).otherwise(F.array_join(F.transform(left, lambda i: F.element_at(parts, i + 1)), "\n"))
+    # the parts are bound once; named within the inner function they would be split again for every line
+    joined_up = F.element_at(F.transform(F.array(parts), lambda p: F.array_join(F.transform(left, lambda i: F.element_at(p, i + 1)), "\n")), 1)
+    cleaned = F.when(F.col("_cut").isNull(), t).otherwise(joined_up)
     out = [cleaned.alias(c) if c == text else F.col("_in").getField(c).alias(c) for c in kept]
     n = F.when(t.isNull(), 0).otherwise(F.size(parts)).cast("long")
     return joined.select(*out, n.alias("n_lines"), F.coalesce(F.size("_cut"), F.lit(0)).cast("long").alias("n_removed"))
