@@ -53,9 +53,12 @@ def word_tokens(text: Column) -> Column:
 
 def shingles(text: Column, size: int = P.family_shingle) -> Column:
     """Distinct crc32 of the runs of `size` tokens."""
-    toks = word_tokens(text)
-    runs = F.transform(F.sequence(F.lit(0), F.size(toks) - size), lambda i: F.crc32(F.array_join(F.slice(toks, i + 1, size), " ").cast("binary")))
-    return F.when(F.size(toks) >= size, F.array_distinct(runs)).otherwise(F.array().cast("array<bigint>"))
+
+    def of(toks: Column) -> Column:  # bound once, so that the text isn't split again for every run
+        runs = F.transform(F.sequence(F.lit(0), F.size(toks) - size), lambda i: F.crc32(F.array_join(F.slice(toks, i + 1, size), " ").cast("binary")))
+        return F.when(F.size(toks) >= size, F.array_distinct(runs)).otherwise(F.array().cast("array<bigint>"))
+
+    return F.element_at(F.transform(F.array(word_tokens(text)), of), 1)
 
 
 def minhash(values: Column, hashes: int = P.family_hashes) -> Column:
