@@ -22,8 +22,8 @@ from .common import arrow_map, materialize, mix64, prefix_hash, read_table, remo
 
 LENGTH = 400
 GRAM = 32
-GROUP = 2048  # suffixes of one anchor in one task; larger groups are dealt to several and settled by a second exchange
-BROADCAST_ROWS = 500_000
+GROUP = 20_000  # suffixes of one anchor in one task; larger groups are dealt to several and settled by a second exchange
+BROADCAST_ROWS = 20_000  # entries of a side table; beyond, both sides are exchanged
 RUN_BYTES = 24 << 20
 _SEGMENT = 1 << 20
 _LOW = np.uint64((1 << 24) - 1)
@@ -273,8 +273,12 @@ def _settle(members: list[tuple], length: int, spread: bool) -> tuple[list, list
     h, o, s = np.concatenate(hashes), np.concatenate(owner), np.concatenate(starts)
     u, where, n = np.unique(h, return_inverse=True, return_counts=True)
     again = n[where] > 1
-    for k in np.unique(o[again]).tolist():
-        x = s[again & (o == k)] if len(members) < 8 else s[(o == k) & again]
+    ho, hs = o[again], s[again]  # owners ascend
+    cut = np.flatnonzero(np.diff(ho)) + 1
+    for at, x in zip([0, *cut.tolist()], np.split(hs, cut), strict=True):
+        if not len(x):
+            continue
+        k = int(ho[at])
         a, b = merge_spans(x, x + length)
         spans += [(members[k][0], i, j) for i, j in zip(a.tolist(), b.tolist(), strict=True)]
     if spread:
