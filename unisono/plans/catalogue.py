@@ -563,7 +563,7 @@ def windowed_drop(spark, d):
 @query
 def spend_projection(spark, d):
     c = _events(spark, d).where("phrase = 'purchase'").groupBy("day").agg(F.round(F.sum("value"), 2).alias("usd"))
-    return H.spend(c).select("day", F.round("month_to_date", 2).alias("month_to_date"), F.round("projection", 2).alias("projection"))
+    return H.spend(c).select("day", F.round("month_to_date", 2).alias("month_to_date"), F.round("projection", 0).alias("projection"))
 
 
 @query
@@ -604,8 +604,8 @@ def evidence_append_dedupe(spark, d):
 
 def _stream(spark, d, name):
     src = T.table(spark, d, "events")
-    raw = A.event_stream(spark, f"{d}/events.parquet", src.schema)
-    return raw.select(F.col("event_type").alias("phrase"), F.col("user_id").cast("string").alias("unit"), "ts")
+    raw = A.event_stream(spark, d, src.schema, "events.parquet")
+    return raw.select(F.col("event_type").alias("phrase"), F.col("user_id").cast("string").alias("unit"), F.col("ts").cast("timestamp").alias("ts"))
 
 
 @query

@@ -228,7 +228,7 @@ ORACLE_SQL: dict[str, str] = {
       w as (select *, sum(dropped) over x as ps, sum(offered) over x as ws from d window x as (partition by event_type order by day range between interval 6 days preceding and current row))
       select event_type, day, ps::bigint as part_sum, ws::bigint as whole_sum, round(ps / ws, 6) as share, case when ws < 30 then 'unknown' when round(ps / ws, 6) >= 0.25 then 'red' else 'green' end as verdict from w""",
     "spend_projection": """with d as (select cast(ts as date) as day, round(sum(value), 2) as usd from events where event_type = 'purchase' group by 1), m as (select day, sum(usd) over w as mtd, count(*) over w as seen from d window w as (partition by date_trunc('month', day) order by day rows unbounded preceding))
-      select day, round(mtd, 2) as month_to_date, round(mtd + mtd / seen * (last_day(day) - day), 2) as projection from m""",
+      select day, round(mtd, 2) as month_to_date, round(mtd + mtd / seen * (last_day(day) - day), 0) as projection from m""",
     "status_worst": "select source, case max(case when avg_len is null then 1 when avg_len > 8000 then 5 when avg_len > 4000 then 4 else 3 end) when 1 then 'unknown' when 5 then 'red' when 4 then 'amber' else 'green' end as status from (select source, lang, avg(n_chars) as avg_len from documents group by all) group by 1",
     "coverage_gate": """with u as (select lang as source, case when cast(substr(source, 4) as int) % 2 = 0 then 'D' else 'R' end as party, source as member_id from documents),
       a as (select source, count(distinct case when party = 'D' then member_id end) as d, count(distinct case when party = 'R' then member_id end) as r from u group by 1)

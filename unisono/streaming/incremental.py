@@ -21,9 +21,9 @@ def unscanned(rows: DataFrame, memo: DataFrame, version: str) -> DataFrame:
     return rows.withColumn("text_hash", F.sha2("text", 256)).join(clean, "text_hash", "left_anti")
 
 
-def event_stream(spark: SparkSession, path: str, schema) -> DataFrame:
+def event_stream(spark: SparkSession, path: str, schema, names: str = "*.parquet") -> DataFrame:
     """Files of a folder as a stream of events with an event time `ts`."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(path)
+    return spark.readStream.schema(schema).option("pathGlobFilter", names).parquet(path)
 
 
 def daily_units(events: DataFrame, late: str = "2 days") -> DataFrame:
