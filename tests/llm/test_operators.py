@@ -122,6 +122,35 @@ def test_jaccard_signatures_find_all_links():
                 assert len(np.intersect1d(jaccard_join.signatures(a, percent), jaccard_join.signatures(b, percent)))
 
 
+def test_jaccard_signatures_find_all_small_links():
+    rng = np.random.default_rng(2)
+    for percent in (80, 90):
+        for small in range(4, 31):
+            for large in range(small, 100 * small // percent + 1):
+                for gone in range(3):  # tokens of the smaller set that the larger one lacks
+                    if gone + large - small == 0 or 100 * (small - gone) < percent * (large + gone):
+                        continue
+                    for _ in range(20):
+                        t = np.unique(rng.integers(0, 2**63, 2 * large + 8).astype(np.uint64))
+                        rng.shuffle(t)
+                        a, b = np.sort(t[:small]), np.sort(t[gone : gone + large])
+                        assert len(np.intersect1d(jaccard_join.signatures(a, percent), jaccard_join.signatures(b, percent))), (percent, small, large, gone)
+
+
+def test_jaccard_allocation_has_enough_units():
+    for percent in (50, 70, 80, 90):
+        for band in range(24):
+            plan = jaccard_join.allocation(band, percent)
+            most = (100 - percent) * 2 * (plan.high - 1) // (100 + percent)
+            assert plan.slack >= 0 and plan.segments + plan.deletions - plan.slack >= most + 1, (percent, plan)
+
+
+def test_near_copies_of_eight_and_ten_shingles(spark):
+    text = "a b c d e f g h i j k l"
+    df = spark.createDataFrame([(1, text), (2, text + " m n")], "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(df, 5, 80).collect()} == {1: (8, 1), 2: (10, 1)}
+
+
 def _repeats(texts, length):
     count = {}
     for t in texts.values():

@@ -85,7 +85,10 @@ def allocation(band: int, percent: int) -> Allocation:
             cost = segments + deletions * (1 + rate) + chance * meet
             if best is None or cost < best[0]:
                 best = (cost, Allocation(low, high, segments, deletions, slack, weak_size))
-    return best[1] if best else Allocation(low, high, 1, 1, max(0, 1 - most), 0)
+    # no candidate keeps a token a segment on average: one deletion, and a segment for every other unit that is needed
+    plan = best[1] if best else Allocation(low, high, max(1, most), 1, max(1, most) - most, 0)
+    assert plan.slack >= 0 and plan.segments + plan.deletions - plan.slack >= most + 1
+    return plan
 
 
 @lru_cache(maxsize=None)
