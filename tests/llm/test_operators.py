@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from unisono.llm import common, decontamination, hilbert_sharding, html_extraction, jaccard_join, language_id, line_dedup, packing, suffix_dedup, topk_search, toxicity
 
 EDGE = [(0, None, None, None), (1, "", "en", "s0"), (2, " \n\t", "en", "s0"), (3, "one two three four five six seven", "en", "s1"), (4, "one two three four five six seven", None, "s2"), (5, "x" * 5000, "en", "s0")]
@@ -197,6 +198,22 @@ def test_line_dedup(spark):
     assert got[7].text == line and got[9].text is None and got[9].n_lines == 0 and got[10].n_lines == 1
 
 
+def _line_queries(spark, tmp_path, rows):
+    """Texts after the pipeline's stage, and the hashes that op6 gives for the same table."""
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("n_chars", F.length("text"))
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    staged = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, df, str(tmp_path)).collect()}
+    hashes = {r.doc_id: r.kept_sha256 for r in line_dedup.op6_line_dedup(spark, str(tmp_path)).collect()}
+    assert hashes == {i: hashlib.sha256((t or "").encode()).hexdigest() for i, t in staged.items()}
+    return staged
+
+
+def test_spread_lines_go_whatever_their_share(spark, tmp_path):
+    line = "this line stands on many sites"
+    got = _line_queries(spark, tmp_path, [(i, f"own words {i}\n{line}" if i < 6 else line, f"s{i}") for i in range(8)] + [(9, None, "s1")])
+    assert got == {i: f"own words {i}" if i < 6 else "" for i in range(8)} | {9: None}
+
+
 def test_decontamination(spark):
     item = "The river of the north runs fast in spring.\nIt freezes late in the year."
     rows = [(1, "Before. " + item + " After."), (2, "Something else entirely about rivers."), (3, None), (4, ""), (5, item.upper() + " x" * 3000)]

@@ -41,13 +41,12 @@ def spread_lines(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     return sure.unionByName(exact)
 
 
-def dedup_lines(docs: DataFrame, site: str = "source", text: str = "text", key: str = "doc_id", min_sites: int = MIN_SITES, min_words: int = MIN_WORDS, max_share: float = MAX_SHARE) -> DataFrame:
+def dedup_lines(docs: DataFrame, site: str = "source", text: str = "text", key: str = "doc_id", min_sites: int = MIN_SITES, min_words: int = MIN_WORDS, max_share: float | None = MAX_SHARE) -> DataFrame:
     """`docs` with widely spread lines taken out of `text`, and two columns more: n_lines and n_removed.
 
     Lines end at newlines and are compared without spaces, tabs and returns at either end. Lines of fewer than `min_words`
-    words are left alone: they recur by chance. A document that would lose more than `max_share` of its characters is a
-    copy of others rather than a text with boilerplate; it keeps all its lines, for document-level deduplication to
-    judge. No row is dropped. Null text stays null (no lines), an empty one is one empty line. Rows are told apart by
+    words are left alone. A document that would lose more than `max_share` of its characters keeps all its lines; without
+    a `max_share` (None) every widely spread line goes. No row is dropped. Null text stays null (no lines), an empty one is one empty line. Rows are told apart by
     key and text, so repeated rows fare alike. Columns of other names pass through; `n_lines` and `n_removed` of the input are replaced.
     """
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
@@ -65,9 +64,10 @@ def dedup_lines(docs: DataFrame, site: str = "source", text: str = "text", key:
         lines.join(found, _HASH, "left_semi")
         .groupBy("_row", "_key")
         .agg(F.collect_set("_at").alias("_cut"), F.max("_all").alias("_all"), F.sum(F.col("_len") + 1).alias("_lost"), F.count("*").alias("_n"))
-        .where(F.col("_lost") * (F.size("_cut") / F.col("_n")) <= max_share * F.col("_all"))  # repeated rows count each line again
-        .select("_row", "_key", "_cut")
     )
+    if max_share is not None:
+        cut = cut.where(F.col("_lost") * (F.size("_cut") / F.col("_n")) <= max_share * F.col("_all"))  # repeated rows count each line again
+    cut = cut.select("_row", "_key", "_cut")
     base = docs.select(F.struct(*(F.col(f"`{c}`") for c in kept)).alias("_in"), row_id.alias("_row"), F.col(key).cast("string").alias("_key"))
     joined = base.join(cut, ["_row", "_key"], "left")
     t = F.col("_in").getField(text)
@@ -82,7 +82,7 @@ def dedup_lines(docs: DataFrame, site: str = "source", text: str = "text", key:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = dedup_lines(read_table(spark, sf_dir, "documents"))
+    out = dedup_lines(read_table(spark, sf_dir, "documents"), max_share=None)
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
