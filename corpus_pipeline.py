@@ -27,7 +27,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take widely spread lines out of the texts; n_chars follows the text. No document goes."""
-    out = dedup_lines(docs, max_share=None)
+    out = dedup_lines(docs, min_words=1, max_share=None)
     return out.select(*(F.length("text").cast(docs.schema["n_chars"].dataType).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns))
 
 

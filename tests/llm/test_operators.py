@@ -214,6 +214,11 @@ def test_spread_lines_go_whatever_their_share(spark, tmp_path):
     assert got == {i: f"own words {i}" if i < 6 else "" for i in range(8)} | {9: None}
 
 
+def test_short_spread_lines_go(spark, tmp_path):
+    got = _line_queries(spark, tmp_path, [(i, f"own words of number {i}\nRead more\n\n全文閲読\nonly {i % 2}", f"s{i}") for i in range(8)])
+    assert got == {i: f"own words of number {i}\n\nonly {i % 2}" for i in range(8)}
+
+
 def test_decontamination(spark):
     item = "The river of the north runs fast in spring.\nIt freezes late in the year."
     rows = [(1, "Before. " + item + " After."), (2, "Something else entirely about rivers."), (3, None), (4, ""), (5, item.upper() + " x" * 3000)]

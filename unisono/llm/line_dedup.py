@@ -44,8 +44,8 @@ def spread_lines(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
 def dedup_lines(docs: DataFrame, site: str = "source", text: str = "text", key: str = "doc_id", min_sites: int = MIN_SITES, min_words: int = MIN_WORDS, max_share: float | None = MAX_SHARE) -> DataFrame:
     """`docs` with widely spread lines taken out of `text`, and two columns more: n_lines and n_removed.
 
-    Lines end at newlines and are compared without spaces, tabs and returns at either end. Lines of fewer than `min_words`
-    words are left alone. A document that would lose more than `max_share` of its characters keeps all its lines; without
+    Lines end at newlines and are compared without spaces, tabs and returns at either end. Blank lines and lines of
+    fewer than `min_words` words are left alone. A document that would lose more than `max_share` of its characters keeps all its lines; without
     a `max_share` (None) every widely spread line goes. No row is dropped. Null text stays null (no lines), an empty one is one empty line. Rows are told apart by
     key and text, so repeated rows fare alike. Columns of other names pass through; `n_lines` and `n_removed` of the input are replaced.
     """
@@ -55,7 +55,7 @@ def dedup_lines(docs: DataFrame, site: str = "source", text: str = "text", key:
     lines = (
         docs.where(F.col(text).isNotNull())
         .select(row_id.alias("_row"), F.col(key).cast("string").alias("_key"), F.col(site).cast("string").alias("_site"), F.length(text).alias("_all"), F.posexplode(_lines(F.col(text))).alias("_at", "_line"))
-        .where(F.regexp_count(F.regexp_replace(line, r"[ \t\r]+", " "), F.lit(" ")) >= min_words - 1)
+        .where((line != "") & (F.regexp_count(F.regexp_replace(line, r"[ \t\r]+", " "), F.lit(" ")) >= min_words - 1))
         .select("_row", "_key", "_site", "_all", "_at", F.length("_line").alias("_len"), F.xxhash64(line).alias("_h1"), F.hash(line).alias("_h2"))
     )
     lines = materialize(lines)  # narrow; the texts are split once
@@ -82,7 +82,7 @@ def dedup_lines(docs: DataFrame, site: str = "source", text: str = "text", key:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = dedup_lines(read_table(spark, sf_dir, "documents"), max_share=None)
+    out = dedup_lines(read_table(spark, sf_dir, "documents"), min_words=1, max_share=None)
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
