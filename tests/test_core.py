@@ -112,3 +112,14 @@ def test_redaction_is_idempotent(spark):
     df = spark.createDataFrame([("mail a.b@c.de or 10.0.0.1 or (743) 555-3824",)], "t string")
     once = df.select(spans.redact(F.col("t")).alias("t"))
     assert once.first() == once.select(spans.redact(F.col("t")).alias("t")).first()
+
+
+def test_source_state_knows_all_orders(spark):
+    own = """select c_custkey, coalesce((select max(o_orderpriority) from o where o_custkey = c_custkey and day = last), 'unattestable') as state
+      from (select c_custkey, (select max(day) from o where o_custkey = c_custkey and day <= date '1997-06-01' and day > date '1997-06-01' - 365) as last from customer)"""
+    con = duckdb.connect()
+    con.sql(f"create view customer as select * from '{SF}/customer.parquet'")
+    con.sql(f"create view o as select *, cast(o_orderdate as date) as day from '{SF}/orders.parquet'")
+    want = dict(con.sql(own).fetchall())
+    got = {r.office: r.state for r in QUERIES["source_state_asof"](spark, SF).collect()}
+    assert got == want and any(v != "unattestable" for v in got.values())

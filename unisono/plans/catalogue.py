@@ -285,7 +285,7 @@ def eligible_offices_asof(spark, d):
 
 @query
 def source_state_asof(spark, d):
-    o = T.table(spark, d, "orders").where("o_orderkey % 2 = 0")
+    o = T.table(spark, d, "orders")
     iv = o.groupBy(F.col("o_custkey").alias("bioguide"), F.to_date("o_orderdate").alias("start")).agg(F.max("o_orderpriority").alias("state")).withColumn("end_exclusive", F.date_add("start", 365))
     facts = T.table(spark, d, "customer").select(F.col("c_custkey").alias("bioguide"), F.lit("1997-06-01").cast("date").alias("day"))
     return M.source_state(facts, iv).select(F.col("bioguide").alias("office"), "day", "state")
