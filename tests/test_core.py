@@ -123,3 +123,12 @@ def test_source_state_knows_all_orders(spark):
     want = dict(con.sql(own).fetchall())
     got = {r.office: r.state for r in QUERIES["source_state_asof"](spark, SF).collect()}
     assert got == want and any(v != "unattestable" for v in got.values())
+
+
+def test_resamples_are_the_references(spark):
+    customer, nation = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("customer", "nation"))
+    states = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
+    cells = customer.select("c_custkey", (F.col("c_nationkey") % 2 == 0).alias("cell"), "c_acctbal")
+    want = research.permuted_pairs(states, "n_regionkey", "n_nationkey", "c_custkey", 50), research.bootstrap_gap(cells, "cell", "c_acctbal", "c_custkey", 500)
+    for name, df in zip(("permuted_state_pairs", "bootstrap_gap"), want, strict=True):
+        assert tuple(QUERIES[name](spark, SF).first()) == pytest.approx(tuple(df.first()))

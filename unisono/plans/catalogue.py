@@ -471,7 +471,7 @@ def same_state_pairs(spark, d):
 @query
 def permuted_state_pairs(spark, d):
     c = T.table(spark, d, "customer").join(F.broadcast(T.table(spark, d, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
-    return S.permuted_pairs(c, "n_regionkey", "n_nationkey", "c_custkey", 10)
+    return S.permuted_pairs(c, "n_regionkey", "n_nationkey", "c_custkey", 50)
 
 
 @query
@@ -494,7 +494,7 @@ def density_matched(spark, d):
 @query
 def bootstrap_gap(spark, d):
     rows = T.table(spark, d, "customer").select("c_custkey", (F.col("c_nationkey") % 2 == 0).alias("cell"), "c_acctbal")
-    return S.bootstrap_gap(rows, "cell", "c_acctbal", "c_custkey", 50)
+    return S.bootstrap_gap(rows, "cell", "c_acctbal", "c_custkey", 500)
 
 
 # ---- gold set ----
