@@ -132,3 +132,17 @@ def test_resamples_are_the_references(spark):
     want = research.permuted_pairs(states, "n_regionkey", "n_nationkey", "c_custkey", 50), research.bootstrap_gap(cells, "cell", "c_acctbal", "c_custkey", 500)
     for name, df in zip(("permuted_state_pairs", "bootstrap_gap"), want, strict=True):
         assert tuple(QUERIES[name](spark, SF).first()) == pytest.approx(tuple(df.first()))
+
+
+def test_weekly_jaccard_takes_all_events(spark):
+    rows = spark.read.parquet(f"{SF}/events.parquet").select(F.to_date(F.date_trunc("week", "ts")), F.col("user_id") % 2, "user_id", "event_type").collect()
+    sets = {}
+    for week, party, user, kind in rows:
+        sets.setdefault((week, party), {}).setdefault(user, set()).add(kind)
+    want = {}
+    for cell, of in sets.items():
+        pairs = [(a, b) for i, a in of.items() for j, b in of.items() if i < j]
+        if pairs:
+            want[cell] = (len(pairs), pytest.approx(sum(len(a & b) / len(a | b) for a, b in pairs) / len(pairs), abs=2e-6))
+    got = {(r.week, r.party): (r.pairs, r.mean_jaccard) for r in QUERIES["pairwise_jaccard_weekly"](spark, SF).collect()}
+    assert got == want

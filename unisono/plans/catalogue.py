@@ -482,7 +482,7 @@ def range_join_conversion(spark, d):
 
 @query
 def pairwise_jaccard_weekly(spark, d):
-    s = _events(spark, d).where("value > 90").select(F.to_date(F.date_trunc("week", "ts")).alias("week"), (F.col("user_id") % 2).alias("party"), "user_id", "phrase")
+    s = _events(spark, d).select(F.to_date(F.date_trunc("week", "ts")).alias("week"), (F.col("user_id") % 2).alias("party"), "user_id", "phrase")
     return S.pairwise_jaccard(s, ["week", "party"], "user_id", "phrase")
 
 
