@@ -229,6 +229,14 @@ def test_decontamination(spark):
     assert decontamination.find_leaks(docs, items.where("false")).count() == 0
 
 
+def test_decontamination_by_short_items(spark):
+    items = spark.createDataFrame([(1, "Who wrote Ulysses?"), (2, "水の化学式は何か"), (3, "全文閲"), (4, "?!"), (5, "ulysses")], "item_id long, text string")
+    rows = [(1, "They asked: who wrote ULYSSES, then left."), (2, "who wrote it? Ulysses did"), (3, "問題。水の化学式は何か、答えよ"), (4, "これは全文閲読です"), (5, "水の式"), (6, "nothing")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontamination.find_leaks(docs, items).collect()} == {(1, 1), (1, 5), (2, 5), (3, 2), (4, 3)}
+    assert {r.doc_id for r in decontamination.drop_leaking(docs, items).collect()} == {5, 6}
+
+
 def test_wand_is_exact():
     rng = random.Random(3)
     vocab = [f"w{i}" for i in range(60)]

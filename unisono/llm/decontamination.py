@@ -22,18 +22,21 @@ K1, B = 1.2, 0.75
 THRESHOLD = 0.5  # of the item's score for itself
 OVERLAP = 0.8
 SHINGLE = 5
-MIN_WORDS = 5  # shorter items would be found everywhere
+MIN_WORDS = 5  # shorter items are sought as a whole
 BLOCK = 32  # postings in a block
 COMMON = 0.3  # share of an item's score that may come from terms by which no passage is looked up
 MAX_BLOCKS = 256
 ITEMS_PER_INDEX = 20_000
 _WORD = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")  # scripts without spaces
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
 def hashed_words(text: str) -> np.ndarray:
-    """Hashes of a text's words: runs of letters and digits, lower-cased (ASCII punctuation separates)."""
+    """Hashes of a text's words: runs of letters and digits, lower-cased (ASCII punctuation separates); in scripts without spaces each character is a word."""
+    if not text.isascii() and _UNSPACED.search(text):
+        text = _UNSPACED.sub(r" \g<0> ", text)
     data = np.frombuffer(text.lower().encode("utf-8", "surrogatepass").translate(_WORD), np.uint8)
     start, end = word_spans(data)
     return span_hash(prefix_hash(data), start, end)
@@ -81,6 +84,12 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]]) -> None:
         kept = [(i, t, hashed_words(t)) for i, t in sorted(items)]
+        whole: dict[int, list[tuple[int, int]]] = {}
+        for i, _, w in kept:
+            if 0 < len(w) < MIN_WORDS:
+                whole.setdefault(len(w), []).append((int(runs(w, len(w))[0]), i))
+        # by number of words: hashes of whole short items, ascending, and their ids
+        self.short = {n: (np.array([h for h, _ in sorted(v)], np.uint64), [i for _, i in sorted(v)]) for n, v in whole.items()}
         kept = [x for x in kept if len(x[2]) >= MIN_WORDS]
         self.ids = [i for i, _, _ in kept]
         self.parts = [tuple(Part.of(p) for p in (t, *question_and_answer(t))) for _, t, _ in kept]
@@ -244,6 +253,8 @@ class Index:
             whole, q, a = (share(p) for p in self.parts[d])
             if whole >= overlap or (q >= overlap and a >= overlap):
                 out.append((self.ids[d], found[d], whole, q, a))
+        for n, (hashes, ids) in self.short.items():
+            out += [(ids[k], 1.0, 1.0, 1.0, 1.0) for k in np.flatnonzero(np.isin(hashes, runs(words, n)))]
         return out
 
 
@@ -262,7 +273,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
     """A row for each document and test item that it holds.
 
     An item is held when `overlap` of its shingles of five words are in the document, or `overlap` of its question's and
-    of its answer's. Null and empty texts hold none; items of fewer than five words, or null ones, aren't sought.
+    of its answer's. One of fewer than five words is held when all its words are there in a row. In scripts without
+    spaces each character is a word. Null and empty texts hold none; items without words, or null ones, aren't sought.
     Repeated rows and items give repeated rows. Empty tables give an empty result. Only doc_id and text are read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null")
