@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _ROWS_PER_BATCH = 256
+_BYTES_PER_BATCH = 8 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,8 +21,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Bound what one Arrow batch holds; texts may be very long."""
+    """Bound what one Arrow batch holds, in rows and in bytes; texts may be very long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(_ROWS_PER_BATCH))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(_BYTES_PER_BATCH))
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -1,22 +1,21 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on ordinary and one on toxic text. A document is cut into windows; each is
-compressed with either dictionary, and the difference in length tells which text the window resembles. Toxic wording
-is a small part of a toxic document, so the toxic dictionary is trained on those passages of toxic documents whose words
-recur in them and hardly elsewhere. Both dictionaries begin with the same ordinary part and have the same size, so that
-other windows differ by next to nothing. What a difference is worth, and what a document's differences are worth together,
-is calibrated on labelled documents that no dictionary has seen.
-
-A window is one word by default: longer windows were measured to separate less well (at a difference of four bytes, one
-word finds 89 % of toxic windows and 0.1 % of others; four words find 78 % and 1.6 %). Within a document each distinct
-window counts once.
+Two zstandard dictionaries are trained on text of either class. A document is cut into windows of some hundred bytes, each
+is compressed with either dictionary, and the difference in length tells which text it resembles; windows that the toxic
+dictionary serves better are measured again in short windows of a word or two, so that the difference isn't lost among
+ordinary words. What a difference is worth, and what a document's differences are worth together, is calibrated on
+labelled documents that the dictionaries in use have not seen (three folds); the final dictionaries read all.
+
+Toxic wording is a small part of a toxic document. The toxic dictionary is therefore trained on those passages of toxic
+documents, of any length, whose substrings stand in more different surroundings there than ordinary documents explain.
+Counting surroundings, not documents, keeps copies of one toxic text from passing off the rest of it as toxic. Both
+dictionaries end with the same ordinary part and have the same size, so that ordinary wording differs by next to nothing.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -26,39 +25,113 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, crc_mod, read_table
+from .common import arrow_map, crc_mod, mix64, read_table
 
-WINDOW_WORDS = 1
-MAX_BYTES = 256  # of a window; longer ones are cut
-MAX_PER_CLASS = 1500  # labelled documents of either class that training reads at most
-MAX_WORDS = 4000  # words that training reads of one document at most, in 16 evenly spread runs
-BASE_BYTES, OWN_BYTES = 24_576, 1_024
+WINDOW_BYTES, FINE_BYTES = 128, 12  # windows end at the first space from there on
+MAX_TOXIC, MAX_ORDINARY = 1500, 6000  # labelled documents that training reads at most, whole
+BASE_BYTES, OWN_BYTES = 24_576, 4_096
 THRESHOLD = 0.7
+GRAM = 8  # bytes of a substring that is counted
+SURPRISE = 25.0  # least log-likelihood ratio of a toxic substring
+FOLDS = 3
+SHARES = (0.3, 0.1, 0.02, 0.002)  # of toxic windows in a toxic document
 #: Known to both dictionaries: the coder looks for no match in the last bytes of its input.
 PAD = b" " * 16
-SHARES = (0.02, 0.002)  # of toxic windows in a toxic document
 _SPREAD = 24  # differences beyond this count as this
+_COUNTED = 4 << 20  # bytes counted at once
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+_TO_SPACE = bytes(c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
 
 
-_EDGES = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+def plain(text: str | None) -> bytes:
+    """Lower-cased words with one space before, between and after; ASCII signs and digits count as spaces."""
+    return b" " + b" ".join((text or "").lower().encode("utf-8", "surrogatepass").translate(_TO_SPACE).split()) + b" "
 
 
-def words(text: str | None) -> list[bytes]:
-    """Lower-cased words without the ASCII punctuation at their ends."""
-    return [w for w in (x.strip(_EDGES) for x in (text or "").lower().encode("utf-8", "surrogatepass").split()) if w]
+def windows(data: bytes, size: int) -> list[bytes]:
+    """Consecutive windows, each from a space to the first space `size` bytes on or later; longer ones than four times that are cut. Nothing is left out."""
+    out, at, end = [], 0, len(data) - 1
+    while at < end:
+        stop = data.find(b" ", at + size)
+        stop = min(end if stop < 0 else stop, at + 4 * size)
+        out.append(data[at : stop + 1])
+        at = stop
+    return out
 
 
-def windows(parts: list[bytes], size: int = WINDOW_WORDS) -> list[bytes]:
-    """All words as consecutive windows with a space before and after; over-long ones are cut, nothing is left out."""
-    out = []
-    for i in range(0, len(parts), size):
-        w = b" " + b" ".join(parts[i : i + size]) + b" "
-        out += [w] if len(w) <= MAX_BYTES else [w[j : j + MAX_BYTES] for j in range(0, len(w), MAX_BYTES)]
-    return out
+def _grams(data: bytes) -> np.ndarray:
+    a = np.frombuffer(data, np.uint8)
+    if len(a) < GRAM:
+        return np.zeros(0, np.uint64)
+    return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(a, GRAM)).view(np.uint64).ravel()
 
 
-def distinct(parts: list[bytes]) -> list[bytes]:
-    return list(dict.fromkeys(parts))
+def _counts(docs: list[bytes], deal: int, of: int, only: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Substrings of one deal, and in how many different surroundings (as many bytes before and after) they stand."""
+    found, around = [], []
+    for d in docs:
+        g = _grams(b" " * GRAM + d + b" " * GRAM)
+        mid = g[GRAM:-GRAM]
+        keep = np.ones(len(mid), bool) if of == 1 else mix64(mid) % np.uint64(of) == deal
+        if only is not None and len(only):
+            keep &= only[np.minimum(np.searchsorted(only, mid), len(only) - 1)] == mid
+        at = np.flatnonzero(keep)
+        names, first = np.unique(mid[at], return_index=True)  # once a document
+        at = at[first]
+        found.append(names)
+        around.append(mix64(g[at] * _MIX + mix64(g[at + 2 * GRAM]) + names * np.uint64(3)))
+    if not found:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    g, first = np.concatenate(found), np.unique(np.concatenate(around), return_index=True)[1]
+    return np.unique(g[first], return_counts=True)
+
+
+def marks(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> list[np.ndarray]:
+    """For the documents outside each fold in turn, and for all, the sorted substrings that stand in toxic documents four times as often as ordinary ones explain, beyond chance."""
+    of = max(1, math.ceil(sum(len(d) for f in toxic for d in f) / _COUNTED))
+    out: list[list[np.ndarray]] = [[] for _ in range(len(toxic) + 1)]
+    for deal in range(of):
+        parts = [_counts(f, deal, of) for f in toxic]
+        g, place = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+        if not len(g):
+            continue
+        a = np.zeros((len(parts), len(g)))
+        a[np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts]), place] = np.concatenate([p[1] for p in parts])
+        often = a.sum(0) >= 3
+        g, a = g[often], a[:, often]
+        b = np.zeros_like(a)
+        for k, f in enumerate(ordinary):
+            h, n = _counts(f, deal, of, g)
+            if len(g):
+                b[k, np.searchsorted(g, h)] = n
+        for k in range(len(parts) + 1):
+            use = [i for i in range(len(parts)) if i != k]
+            here, there = (sum(len(x[i]) for i in use) for x in (toxic, ordinary))
+            if not here or not there:
+                continue
+            x, y = a[use].sum(0), b[use].sum(0)
+            both = np.maximum(x + y, 1e-9) / (here + there)
+            surprise = 2 * (x * np.log(np.maximum(x, 1e-9) / (both * here)) + y * np.log(np.maximum(y, 1e-9) / (both * there)))
+            out[k].append(g[(x >= 3) & (x * there >= 4 * (y + 0.5) * here) & (surprise >= SURPRISE)])
+    return [np.sort(np.concatenate(x)) if x else np.zeros(0, np.uint64) for x in out]
+
+
+def passages(docs: list[bytes], marked: np.ndarray) -> list[bytes]:
+    """The runs of bytes that marked substrings cover."""
+    out = []
+    if not len(marked):
+        return out
+    for d in docs:
+        g = _grams(d)
+        if not len(g):
+            continue
+        hit = np.flatnonzero(marked[np.minimum(np.searchsorted(marked, g), len(marked) - 1)] == g)
+        if not len(hit):
+            continue
+        cut = np.flatnonzero(np.diff(hit) > GRAM)
+        first, last = hit[np.append(0, cut + 1)], hit[np.append(cut, len(hit) - 1)]
+        out += [d[i : j + GRAM] for i, j in zip(first.tolist(), last.tolist(), strict=True)]
+    return out
 
 
 def _dictionary(samples: Iterable[bytes], size: int) -> bytes:
@@ -73,17 +146,6 @@ def _dictionary(samples: Iterable[bytes], size: int) -> bytes:
     return (data * (size // len(data) + 1))[-size:]
 
 
-def distinctive(docs: list[list[bytes]], others: list[list[bytes]], ratio: float = 4.0) -> set[bytes]:
-    """Words in at least a hundredth (and three) of `docs`, `ratio` times as often as in `others`, and at least a fifth as often as the most frequent of these."""
-    here, there = Counter(), Counter()
-    for d in docs:
-        here.update(set(d))
-    for d in others:
-        there.update(set(d))
-    found = {w: n for w, n in here.items() if n >= max(3, len(docs) / 100) and n * (len(others) + 1) >= ratio * (there[w] + 0.5) * len(docs)}
-    return {w for w, n in found.items() if n * 5 >= max(found.values())}
-
-
 @dataclass
 class ToxicityModel:
     base: bytes
@@ -94,45 +156,47 @@ class ToxicityModel:
     level: int = 3
 
     def __post_init__(self) -> None:
-        self._pair, self._known = None, {}
+        self._pair = None
 
     def __getstate__(self):
-        return self.__dict__ | {"_pair": None, "_known": {}}
+        return self.__dict__ | {"_pair": None}
 
     def _compressors(self):
         made = []
         for own in (self.ordinary, self.toxic):
-            d = zstandard.ZstdCompressionDict(self.base + own, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            p = zstandard.ZstdCompressionParameters.from_level(self.level, source_size=MAX_BYTES, dict_size=len(d), min_match=4, write_content_size=0, write_checksum=0, write_dict_id=0)
+            # the common part comes last: of two equally good matches the coder takes the nearer one
+            d = zstandard.ZstdCompressionDict(own + self.base, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            p = zstandard.ZstdCompressionParameters.from_level(self.level, source_size=1024, dict_size=len(d), min_match=4, write_content_size=0, write_checksum=0, write_dict_id=0)
             d.precompute_compress(compression_params=p)
             made.append(zstandard.ZstdCompressor(dict_data=d, compression_params=p).compress)
         return tuple(made)
 
-    def distances(self, parts: list[bytes]) -> np.ndarray:
-        """For each window, bytes that it takes more with the ordinary than with the toxic dictionary."""
+    def distance(self, window: bytes) -> int:
+        """Bytes that a window takes more with the ordinary than with the toxic dictionary."""
         if self._pair is None:
             self._pair = self._compressors()
-        known, (ordinary, toxic) = self._known, self._pair
-        if len(known) > 400_000:  # only saves repeated work
-            known.clear()
-        out = np.empty(len(parts), np.int64)
-        for i, w in enumerate(parts):
-            d = known.get(w)
-            if d is None:
-                x = w + PAD
-                d = known[w] = len(ordinary(x)) - len(toxic(x))
-            out[i] = d
-        return out
+        x = window + PAD
+        return len(self._pair[0](x)) - len(self._pair[1](x))
+
+    def distances(self, text: bytes) -> np.ndarray:
+        """Differences of the distinct short windows in those windows that the toxic dictionary serves better."""
+        out: dict[bytes, int] = {}
+        for w in dict.fromkeys(windows(text, WINDOW_BYTES)):
+            if self.distance(w) > 0:
+                for v in windows(w, FINE_BYTES):
+                    if v not in out:
+                        out[v] = self.distance(v)
+        return np.fromiter(out.values(), np.int64, len(out))
 
     def features(self, d: np.ndarray) -> np.ndarray:
-        """For each assumed share of toxic windows, by how much the differences are likelier in a toxic document (log, 0 to 6); and whether they are at all."""
-        at = np.clip(d, -_SPREAD, _SPREAD) + _SPREAD  # of distinct windows: junk repeats itself
-        odds = [min(max(float(np.asarray(g)[at].sum()), 0.0), 6.0) for g in self.gains]
+        """For each assumed share of toxic windows, by how much the differences are likelier in a toxic document (log, 0 to 8); and whether they are at all."""
+        at = np.clip(d, -_SPREAD, _SPREAD) + _SPREAD
+        odds = [min(max(float(np.asarray(g)[at].sum()), 0.0), 8.0) for g in self.gains]
         return np.array([1.0, *odds, float(max(odds) > 0)])
 
     def score(self, text: str | None) -> tuple[float, int]:
-        """Probability of label 1, and the number of distinct windows."""
-        d = self.distances(distinct(windows(words(text))))
+        """Probability of label 1, and the number of short windows that were measured."""
+        d = self.distances(plain(text))
         z = float(np.dot(self.weights, self.features(d)))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))), len(d)
 
@@ -152,63 +216,61 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, steps: int = 50)
 
 
 def _share(d: list[np.ndarray]) -> np.ndarray:
-    """Smoothed share of each difference, never rising away from zero on the right."""
+    """Smoothed share of each difference."""
     n = np.bincount(np.clip(np.concatenate([*d, np.zeros(1, np.int64)]), -_SPREAD, _SPREAD) + _SPREAD, minlength=2 * _SPREAD + 1) + 0.02
-    n[_SPREAD:] = np.minimum.accumulate(n[_SPREAD:])
     return n / n.sum()
 
 
-def train(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> ToxicityModel:
-    """Fit on documents given as lists of words; every third document of each class is kept for calibration.
+def _dictionaries(toxic: list[bytes], ordinary: list[bytes], marked: np.ndarray) -> ToxicityModel | None:
+    """Without passages that set toxic documents apart, None."""
+    own = passages(toxic, marked)
+    if not own:
+        return None
+    usual = [w for d in ordinary[:MAX_TOXIC] for w in windows(d, 512)]  # of as many documents as the toxic ones may be
+    return ToxicityModel(_dictionary(usual[::2], BASE_BYTES), _dictionary(usual[1::2], OWN_BYTES), _dictionary(own, OWN_BYTES))
 
-    Without labelled documents of both classes, or without distinctive toxic words, every score is the share of label 1 or 0.5.
-    """
-    t, o = ([d for i, d in enumerate(ds) if i % 3] for ds in (toxic, ordinary))
-    marks = distinctive(t, o)
-    runs = [w for d in t for w in windows(d) if marks & set(w.split())]
-    usual = distinctive(o, t)
-    own = [w for d in o for w in windows(d) if usual & set(w.split())]
-    plain = [w for d in o for w in windows(d, 4)]
-    model = ToxicityModel(_dictionary(plain[:100_000], BASE_BYTES), _dictionary(own[:100_000], OWN_BYTES), _dictionary(runs, OWN_BYTES))
-    if not toxic or not ordinary:
-        return model
-    kept = [(distinct(windows(d)), y) for ds, y in ((toxic[::3], 1.0), (ordinary[::3], 0.0)) for d in ds]
-    if marks:
-        hot = _share([model.distances([w for w in d if marks & set(w.split())]) for d, y in kept if y])
-        cold = _share([model.distances(d) for d, y in kept if not y])
-        model.gains = [np.log1p(s * (hot / cold - 1)).tolist() for s in SHARES]
-    x = np.array([model.features(model.distances(d)) for d, _ in kept])
-    model.weights = _logistic(x, np.array([y for _, y in kept])).tolist()
-    return model
 
+def train(toxic: list[bytes], ordinary: list[bytes]) -> ToxicityModel:
+    """Fit on plain texts of both classes.
 
-def _training_words(batches):
-    for b in batches:
-        parts = []
-        for t in b.column("text"):
-            w = words(t.as_py())
-            if len(w) > MAX_WORDS:
-                size, gap = MAX_WORDS // 16, len(w) // 16
-                w = [x for k in range(16) for x in w[k * gap : k * gap + size]]
-            parts.append(w)
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("label"), pa.array(parts, pa.list_(pa.binary()))], ["doc_id", "label", "parts"])
+    Without labelled documents of both classes every score is 0.5; without passages that set toxic ones apart, the share of label 1.
+    """
+    folds = [[ds[f::FOLDS] for f in range(FOLDS)] for ds in (toxic, ordinary)]
+    marked = marks(*folds)
+    model = _dictionaries(toxic, ordinary, marked[FOLDS])
+    kept: list[tuple[np.ndarray, float]] = []
+    for f in range(FOLDS):
+        part = _dictionaries(*([d for i, d in enumerate(ds) if i % FOLDS != f] for ds in (toxic, ordinary)), marked[f])
+        kept += [(part.distances(d) if part else np.zeros(0, np.int64), float(y)) for y in (0, 1) for d in folds[1 - y][f]]
+    if model:
+        hot, cold = (_share([d for d, y in kept if y == c]) for c in (1.0, 0.0))
+        more = np.maximum(hot - cold, 1e-7)  # windows of a toxic document are a mixture; this is its toxic part
+        model.gains = [np.log1p(s * (more / more.sum() / cold - 1)).tolist() for s in SHARES]
+    else:
+        model = ToxicityModel(b" ", b" ", b" ")
+    if toxic and ordinary:
+        x = np.array([model.features(d) for d, _ in kept])
+        model.weights = _logistic(x, np.array([y for _, y in kept])).tolist()
+    return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS) -> ToxicityModel:
-    """Train on labelled documents: `max_per_class` of each class at most, the first by a hash of doc_id.
+def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_ordinary: int = MAX_ORDINARY) -> ToxicityModel:
+    """Train on labelled documents, whole: at most `max_toxic` and `max_ordinary` of them, the first by a hash of doc_id.
 
-    `labels` has doc_id and toxic (0 or 1; rows with null are left out); of repeated labels the greatest counts.
+    `labels` has doc_id and toxic (0 or 1; rows with null are left out); of repeated labels the greatest counts, of texts
+    with one doc_id the greatest.
     """
     y = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("toxic") > 0).cast("int").alias("label"))
-    some = [y.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_per_class) for c in (0, 1)]
-    picked = [tuple(r) for s in some for r in s.collect()]  # pairs of numbers, 2 * max_per_class at most
+    some = [y.where(F.col("label") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for c, n in ((0, max_ordinary), (1, max_toxic))]
+    picked = [tuple(r) for s in some for r in s.collect()]  # pairs of numbers, max_toxic + max_ordinary at most
     if not picked:
         return train([], [])
     small = docs.sparkSession.createDataFrame(picked, "doc_id long, label int")
     wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("text is not null").join(F.broadcast(small), "doc_id")
-    rows = arrow_map(wanted, _training_words, "doc_id long, label int, parts array<binary>").collect()
-    rows.sort(key=lambda r: r.doc_id)
-    return train(*([[bytes(w) for w in r.parts] for r in rows if r.label == c] for c in (1, 0)))
+    found: tuple[list[bytes], list[bytes]] = ([], [])
+    for r in sorted(wanted.groupBy("doc_id", "label").agg(F.max("text").alias("text")).collect()):
+        found[r.label].append(plain(r.text))
+    return train(found[1], found[0])
 
 
 def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
