@@ -90,9 +90,9 @@ def test_top_k(spark):
         assert [got[q, k + 1] for k in range(5)] == [(i, -s) for s, i in best]
 
 
-def test_jaccard_components(docs):
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(docs, 3, 80).collect()}
-    sets = {i: set(jaccard_join.tokens_of(t, 3).tolist()) for i, t in _texts(docs).items()}
+def _components(docs, shingle, percent):
+    """Every pair compared."""
+    sets = {i: set(jaccard_join.tokens_of(t, shingle).tolist()) for i, t in _texts(docs).items()}
     root = {i: i for i in sets}
 
     def find(x):
@@ -102,10 +102,41 @@ def test_jaccard_components(docs):
 
     for a in sorted(sets):
         for b in sorted(sets):
-            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
                 x, y = sorted((find(a), find(b)))
                 root[y] = x
-    assert got == {i: (len(s), find(i)) for i, s in sets.items()}
+    return {i: (len(s), find(i)) for i, s in sets.items()}
+
+
+def test_jaccard_components(docs):
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(docs, 3, 80).collect()}
+    assert got == _components(docs, 3, 80)
+
+
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_jaccard_components_of_texts_with_common_passages(spark, rounds, monkeypatch):
+    """Near copies among texts that share a passage of all lengths; frequent signatures, several parts of a leader, and blocks."""
+    monkeypatch.setattr(jaccard_join, "FREQUENT", 2)
+    monkeypatch.setattr(jaccard_join, "MEMBERS", 3)
+    monkeypatch.setattr(jaccard_join, "BROADCAST_IDS", 5)
+    monkeypatch.setattr(jaccard_join, "LEADER_ROUNDS", rounds)
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 7)
+    rng = random.Random(8)
+    common = [f"c{i}" for i in range(60)]
+    rows = []
+    for i in range(120):
+        own = [f"w{rng.randrange(10**6)}" for _ in range(rng.choice([4, 10, 30]))]
+        at = rng.randrange(len(own))
+        rows.append((i, " ".join(own[:at] + common[: rng.choice([10, 30, 60])] + own[at:])))
+    for i in range(120, 200):
+        words = rng.choice(rows)[1].split()
+        for _ in range(rng.randrange(4)):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = _components(df, 3, 80)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(df, 3, 80).collect()} == want
+    assert len({c for _, c in want.values()}) < 150
 
 
 def test_jaccard_signatures_find_all_links():

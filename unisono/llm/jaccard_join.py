@@ -5,10 +5,11 @@ pigeonhole principle two sets over the threshold agree in a segment, or differ i
 content of a segment and, where the cost-based allocation of the band says so, its one-deletion neighbourhood.
 Sets that share a signature are candidates and are verified on their full sets.
 
-Only what decides components is verified: equal sets collapse to one representative; in each bucket members are compared
-with its leader, the set that shares the most signatures, and in later rounds only sets of different components meet.
-The last round decides all that are left, block against block, so no link between different components is lost, and no
-round makes rows of all pairs of a group.
+Signatures that very many sets have (a passage that fills a segment of each) are left out for sets that meet their partners
+by others. Only what decides components is verified: equal sets collapse to one representative; in each bucket members
+are compared with its leader, the set that shares the most signatures, which then leaves the bucket, and in later rounds
+only sets of different components meet. The last round decides all that are left, block against block, so no link
+between different components is lost, and no round makes rows of all pairs of a group.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import arrow_map, materialize, mix64, read_table, remove, shingle_hashes, small_batches, word_hashes
@@ -27,9 +28,13 @@ from .common import arrow_map, materialize, mix64, read_table, remove, shingle_h
 SHINGLE = 3
 PERCENT = 90
 BAND_GROWTH = 1.25
-LEADER_ROUNDS = 2
-BROADCAST_IDS = 500_000  # eight bytes each
-BLOCK_SETS, BLOCK_TOKENS = 512, 500_000  # of a block: sets, and tokens of eight bytes
+LEADER_ROUNDS = 3
+BROADCAST_IDS = 500_000  # numbers or pairs of numbers, eight bytes each
+SPARE = 0.15  # units beyond those that the pigeonhole needs, as a share of these
+FREQUENT = 4  # sets of a signature beyond which sets do without it where they can
+MEMBERS = 256  # of a leader that one copy of its set serves
+BLOCK_SETS, BLOCK_TOKENS = 1024, 1_000_000  # of a block: sets, and tokens of eight bytes
+PARTNERS = 16  # blocks that one copy of a block meets
 _SEED = np.uint64(0x9FB21C651E98DF25)
 
 
@@ -62,15 +67,17 @@ def allocation(band: int, percent: int) -> Allocation:
     low, high = band_edges(band, percent)
     most = (100 - percent) * 2 * (high - 1) // (100 + percent)
     best = None
-    for weak_size in (0, 1):
-        for share in (0, 0.05, 0.25, 0.5, 1):
-            units = most + 1
+    # units to spare let sets do without frequent signatures; the smallest sets have no room for them
+    for spare, weak_size, share in ((s, w, r) for s in (math.ceil(SPARE * (most + 1)), 0) for w in (0, 1) for r in (0, 0.05, 0.25, 0.5, 1)):
+        if spare or best is None or best[2] == 0:
+            least = most + 1 + spare
+            units = least
             for _ in range(200):  # segments that deletions strengthen are a share of all; units grow until they cover the weak ones
                 segments = max(1, math.ceil(units / (1 + share)))
                 deletions = min(segments, max(0, units - segments))
                 rate = low / segments
                 weak = (segments - deletions) * _poisson_at_most(weak_size, rate) + 2 * deletions * _poisson_at_most(weak_size + 1, rate)
-                need = most + 1 + (math.ceil(weak + 2 * math.sqrt(weak)) if weak > 1e-4 else 0)
+                need = least + (math.ceil(weak + 2 * math.sqrt(weak)) if weak > 1e-4 else 0)
                 if need <= segments + deletions or rate < 1:
                     break
                 units = max(units + 1, need)
@@ -84,7 +91,7 @@ def allocation(band: int, percent: int) -> Allocation:
             meet = (segments - deletions) * ((weak_size < 1) * one + 0.25 * two) + deletions * ((weak_size < 1) * (one + 2 * two) + 0.25 * (two + two * rate))
             cost = segments + deletions * (1 + rate) + chance * meet
             if best is None or cost < best[0]:
-                best = (cost, Allocation(low, high, segments, deletions, slack, weak_size))
+                best = (cost, Allocation(low, high, segments, deletions, slack, weak_size), spare)
     # no candidate keeps a token a segment on average: one deletion, and a segment for every other unit that is needed
     plan = best[1] if best else Allocation(low, high, max(1, most), 1, max(1, most) - most, 0)
     assert plan.slack >= 0 and plan.segments + plan.deletions - plan.slack >= most + 1
@@ -113,9 +120,9 @@ def bands_of(size: int, percent: int) -> list[int]:
     return [b, b + 1] if size * 100 // percent >= e[b + 1] else [b]
 
 
-def signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
-    """Distinct 64-bit signatures of a set of token hashes, over its bands."""
-    out = []
+def signature_rows(tokens: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit signatures of a set of token hashes over its bands, and with each its band, spare units and own units (see `_info`)."""
+    out, info = [], []
     for band in bands_of(len(tokens), percent):
         plan = allocation(band, percent)
         salt = mix64(np.array([band + 1], np.uint64) * _SEED)
@@ -127,14 +134,30 @@ def signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
         plain = np.arange(plan.segments) >= plan.deletions
         lost = int((plain & (size <= plan.weak_size)).sum() + 2 * (~plain & (size <= plan.weak_size + 1)).sum())
         least = 0 if lost > plan.slack else plan.weak_size + 1  # a set with many weak segments indexes these as well
+        spare = max(0, plan.slack - lost)  # a set that indexes weak segments spares none: the other set may lack these
         name = mix64(np.arange(plan.segments, dtype=np.uint64) + salt)
         whole = mix64(total + name) ^ mix64(size.astype(np.uint64) + name)
         out.append(whole[size >= least])
+        info.append(_info(band, spare, np.where(plain, 1, 2)[size >= least]))
         if plan.deletions:
             pick = (segment < plan.deletions) & (size[segment] - 1 >= least)
             s = segment[pick]
             out.append(mix64(total[s] - value[pick] + name[s]) ^ mix64((size[s] - 1).astype(np.uint64) + name[s]))
-    return np.unique(np.concatenate(out)).view(np.int64) if out else np.zeros(0, np.int64)
+            info.append(_info(band, spare, np.full(len(s), 2)))
+    if not out:
+        return np.zeros(0, np.int64), np.zeros(0, np.int32)
+    sig, first = np.unique(np.concatenate(out), return_index=True)
+    return sig.view(np.int64), np.concatenate(info)[first].astype(np.int32)
+
+
+def _info(band: int, spare: int, units: np.ndarray) -> np.ndarray:
+    """The band, the units that its set may do without there, and those that hiding one signature may cost, in one number."""
+    return (band << 20) | (min(spare, (1 << 17) - 1) << 2) | units
+
+
+def signatures(tokens: np.ndarray, percent: int) -> np.ndarray:
+    """Distinct 64-bit signatures of a set of token hashes, over its bands."""
+    return signature_rows(tokens, percent)[0]
 
 
 def tokens_of(text: str | None, shingle: int) -> np.ndarray:
@@ -172,7 +195,7 @@ def _index(shingle: int, percent: int):
     def run(batches):
         seen: set[int] = set()  # copies within a task are indexed once; only saves work
         for b in batches:
-            keys, made = [], []
+            keys, made, notes = [], [], []
             for t in b.column("text"):
                 s = tokens_of(t.as_py(), shingle)
                 if len(s) < least:
@@ -183,38 +206,59 @@ def _index(shingle: int, percent: int):
                 if len(seen) >= 1_000_000:
                     seen.clear()
                 seen.add(key)
-                sig = signatures(s, percent)
+                sig, info = signature_rows(s, percent)
                 keys.append(np.full(len(sig), key, np.int64))
                 made.append(sig)
+                notes.append(info)
             if made:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(made)), pa.array(np.concatenate(keys))], ["sig", "set"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (made, keys, notes)], _ENTRY_NAMES)
 
     return run
 
 
+_ENTRIES = "sig long, set long, info int"
+_ENTRY_NAMES = [x.split()[0] for x in _ENTRIES.split(", ")]
+
+
 def _shared(batches):
     """Of rows sorted by (sig, set), those whose signature another set has; constant memory."""
-    held: tuple[int, int] | None = None  # the last row, and whether it has been put out
+    held: tuple[int, int, int] | None = None  # the last row, and whether it has been put out
     out_held = False
     for b in batches:
-        sig, key = b.column("sig").to_numpy(zero_copy_only=False), b.column("set").to_numpy(zero_copy_only=False)
-        if not len(sig):
+        cols = [b.column(n).to_numpy(zero_copy_only=False) for n in _ENTRY_NAMES]
+        if not len(cols[0]):
             continue
         if held is not None:
-            sig, key = np.concatenate([[held[0]], sig]), np.concatenate([[held[1]], key])
+            cols = [np.concatenate([np.array([h], c.dtype), c]) for h, c in zip(held, cols, strict=True)]
+        sig, key, _ = cols
         new = np.ones(len(sig), bool)
         new[1:] = (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])
         flag = np.zeros(len(sig), bool)
         flag[0] = held is not None and out_held
-        sig, key, flag = sig[new], key[new], flag[new]
+        cols, flag = [c[new] for c in cols], flag[new]
+        sig = cols[0]
         same = np.zeros(len(sig), bool)
         same[1:] = sig[1:] == sig[:-1]
         both = same.copy()
         both[:-1] |= same[1:]
         put = both & ~flag
         if put.any():
-            yield pa.RecordBatch.from_arrays([pa.array(sig[put]), pa.array(key[put])], ["sig", "set"])
-        held, out_held = (int(sig[-1]), int(key[-1])), bool(both[-1] or flag[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(c[put]) for c in cols], _ENTRY_NAMES)
+        held, out_held = tuple(int(c[-1]) for c in cols), bool(both[-1] or flag[-1])
+
+
+def _needed(shared: DataFrame) -> DataFrame:
+    """(sig, set) without the rows of frequent signatures that a set can do without.
+
+    Of a pair that links, more units agree than either set may spare. Where the frequent signatures of one of the two cost
+    no more units than it may spare, the pair meets by another signature as well. So frequent ones are kept only
+    for sets that can't spare them, and what they share with others is found by those others.
+    """
+    frequent = shared.groupBy("sig").agg(F.count("*").alias("m")).where(F.col("m") > FREQUENT).select("sig")
+    hot = materialize(shared.join(frequent, "sig", "left_semi").withColumn("band", F.shiftright("info", 20)))
+    spent = hot.groupBy("set", "band").agg(F.sum(F.col("info").bitwiseAND(3)).alias("cost"), F.max(F.shiftright("info", 2).bitwiseAND((1 << 18) - 1)).alias("spare"))
+    bound = spent.where("cost > spare").select("set", "band")
+    return shared.join(frequent, "sig", "left_anti").select("sig", "set").unionByName(hot.join(bound, ["set", "band"], "left_semi").select("sig", "set"))
 
 
 def _sets(shingle: int):
@@ -226,21 +270,33 @@ def _sets(shingle: int):
     return run
 
 
+def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets link."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    both = int((y[at] == x).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _verify(percent: int):
+    """Of rows sorted by (a, part, b), where the row without b has the leader's set, the pairs that link; one leader's set is held at a time."""
+
     def run(batches):
-        for b in batches:
-            ok = []
-            for x, y in zip(b.column("ta"), b.column("tb"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                    ok.append(False)
-                    continue
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                both = int((y[at] == x).sum())
-                ok.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(ok, pa.bool_())], ["a", "b", "linked"])
+        held, leader = None, np.zeros(0, np.uint64)
+        for batch in batches:
+            out: tuple[list, list] = ([], [])
+            for a, part, b, tokens in zip(batch.column("a").to_pylist(), batch.column("part").to_pylist(), batch.column("b").to_pylist(), batch.column("tokens"), strict=True):
+                tokens = np.frombuffer(tokens.as_buffer(), np.uint64)
+                if b is None:
+                    held, leader = (a, part), tokens.copy()
+                elif held == (a, part) and linked(leader, tokens, percent):
+                    out[0].append(a)
+                    out[1].append(b)
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["a", "b"])
 
     return run
 
@@ -277,11 +333,26 @@ def _fingerprint(e: DataFrame) -> tuple:
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked) for candidate pairs; a is the side that may be in very many pairs."""
-    x = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("ta"))
-    y = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("tb"))
-    both = pairs.join(y, "b").join(x, "a").select("a", "b", "ta", "tb")
-    return arrow_map(both, _verify(percent), "a long, b long, linked boolean")
+    """(a, b) of the candidate pairs that link; a is the side that may be in very many pairs.
+
+    A leader's set is sent once for each MEMBERS of its pairs, not with every pair.
+    """
+    fan = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).cast("long").alias("parts"))
+    small = pairs.count() <= BROADCAST_IDS
+
+    def with_tokens(keyed: DataFrame, key: str) -> DataFrame:
+        return sets.select(F.col("doc_id").alias(key), "tokens").join(F.broadcast(keyed) if small else keyed, key)
+
+    members = with_tokens(pairs.join(fan, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).alias("part"), "b"), "b").select("a", "part", "b", "tokens")
+    leaders = with_tokens(fan.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")), "a").select("a", "part", F.lit(None).cast("long").alias("b"), "tokens")
+    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = members.unionByName(leaders).repartition(parts, "a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    return materialize(arrow_map(dealt, _verify(percent), "a long, b long"))
+
+
+def _leads(cur: DataFrame) -> DataFrame:
+    """(sig, lead) with the best member of each bucket, by aggregation: a bucket of any size burdens no task."""
+    return cur.groupBy("sig").agg(F.max(F.struct("order", "doc_id", "component", "n")).alias("lead"))
 
 
 def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -305,10 +376,12 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     reps = facts.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    entries = narrow.where("text is not null").mapInArrow(_index(shingle, percent), "sig long, set long")
+    entries = narrow.where("text is not null").mapInArrow(_index(shingle, percent), _ENTRIES)
     sorted_entries = entries.repartition(parts, "sig").sortWithinPartitions("sig", "set")
-    shared = materialize(_large_batches(sorted_entries).mapInArrow(_shared, "sig long, set long"))
+    shared = materialize(_large_batches(sorted_entries).mapInArrow(_shared, _ENTRIES))
     small_batches(docs.sparkSession)
+    shared, found = materialize(_needed(shared)), shared
+    remove(found)
     fame = shared.groupBy("set").agg(F.count("*").alias("fame")).join(reps, "set").select("set", "doc_id", "n", "fame")
     members = materialize(shared.join(fame, "set").select("sig", "doc_id", "n", F.struct("fame", (-F.col("doc_id")).alias("id")).alias("order")))
     remove(shared)
@@ -316,7 +389,7 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     sets = materialize(arrow_map(_only(narrow, ids).dropDuplicates(["doc_id"]) if _repeats(facts) else _only(narrow, ids), _sets(shingle), "doc_id long, tokens binary"))
 
     cur = members.withColumn("component", F.col("doc_id"))
-    links = label = None
+    links = label = seen = None
     for step in range(LEADER_ROUNDS + 1):
         if label is not None:
             cur = members.join(label, "doc_id")
@@ -327,12 +400,17 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
         if step == LEADER_ROUNDS:
             new = _blocks(cur, sets, percent)
         else:
-            by = Window.partitionBy("sig")
-            first = cur.withColumn("lead", F.max(F.struct("order", "doc_id", "component")).over(by))
-            if step:  # the next leader: the best member that the first leader's component doesn't have
-                first = first.withColumn("lead", F.max(F.when(F.col("component") != F.col("lead.component"), F.struct("order", "doc_id", "component"))).over(by))
-            pairs = first.where("component <> lead.component").select(F.col("lead.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct()
-            new = materialize(_linked(pairs, sets, percent)).where("linked").select("a", "b")
+            met = materialize(cur.join(_leads(cur), "sig").select("sig", F.col("lead.doc_id").alias("a"), F.col("doc_id").alias("b"), (F.expr(f"component <> lead.component and 100 * least(n, lead.n) >= {percent} * greatest(n, lead.n)")).alias("open")))
+            pairs = met.where("open").select("a", "b").distinct()
+            if seen is not None:
+                pairs = pairs.join(seen, (F.least("a", "b") == F.col("lo")) & (F.greatest("a", "b") == F.col("hi")), "left_anti")
+            pairs = materialize(pairs)
+            new = _linked(pairs, sets, percent)
+            done = pairs.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
+            seen = done if seen is None else seen.unionByName(done)
+            # a leader has met all of its bucket
+            members = materialize(members.join(met.where("a = b").select("sig", F.col("a").alias("doc_id")), ["sig", "doc_id"], "left_anti"))
+            remove(met)
         links = new if links is None else links.unionByName(new)
         comp = connected_components(links)
         label = materialize(ids.join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("component")))
@@ -342,9 +420,6 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     return facts.join(named, "set", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
 
 
-_PACKED = "a_ids binary, a_components binary, a_sizes binary, a_tokens binary, b_ids binary, b_components binary, b_sizes binary, b_tokens binary"
-
-
 def _pack(batches):
     """Rows sorted by block, as one row for each block."""
     held: dict | None = None
@@ -370,43 +445,63 @@ def _pack(batches):
         yield put(held)
 
 
-def _meet(percent: int):
-    """Links between two blocks that join components; of several that join the same two, the first."""
+class _Block:
+    """Sets of a block: ids, components, sizes, and the tokens of all with the set that each belongs to."""
+
+    def __init__(self, row: dict) -> None:
+        self.ids, self.components, self.sizes = (np.frombuffer(row[k], np.int64) for k in ("ids", "components", "sizes"))
+        self.tokens = np.frombuffer(row["tokens"], np.uint64)
+        self.owner = np.repeat(np.arange(len(self.sizes)), self.sizes)
+
+    def links(self, other: _Block, percent: int) -> list[tuple[int, int]]:
+        """Links that join components; of several that join the same two, the first."""
+        names = np.intersect1d(self.tokens, other.tokens)  # the others add to no intersection
+        both = np.zeros((len(self.sizes), len(other.sizes)), np.float32)
+        if len(names):
+            place = []
+            for b in (self, other):
+                at = np.minimum(np.searchsorted(names, b.tokens), len(names) - 1)
+                hit = names[at] == b.tokens
+                place.append((b.owner[hit], at[hit]))
+            for low in range(0, len(names), 4096):  # bounds the matrices
+                made = []
+                for b, (owner, at) in zip((self, other), place, strict=True):
+                    x = np.zeros((len(b.sizes), min(4096, len(names) - low)), np.float32)
+                    here = (at >= low) & (at < low + 4096)
+                    x[owner[here], at[here] - low] = 1
+                    made.append(x)
+                both += made[0] @ made[1].T
+        both = both.astype(np.int64)
+        fit = (100 * both >= percent * (self.sizes[:, None] + other.sizes[None, :] - both)) & (self.components[:, None] != other.components[None, :])
+        root: dict[int, int] = {}
+
+        def find(c):
+            while root.get(c, c) != c:
+                c = root[c]
+            return c
+
+        out = []
+        for i, j in zip(*np.nonzero(fit), strict=True):
+            x, y = find(int(self.components[i])), find(int(other.components[j]))
+            if x != y:
+                root[max(x, y)] = min(x, y)
+                out.append((int(self.ids[i]), int(other.ids[j])))
+        return out
+
 
-    def unpack(r, side):
-        ids, comps, sizes = (np.frombuffer(r[f"{side}_{k}"], np.int64) for k in ("ids", "components", "sizes"))
-        return ids, comps, sizes, np.frombuffer(r[f"{side}_tokens"], np.uint64)
+def _meet(percent: int):
+    """Rows sorted by (candidate, x, part, d): a block comes first (d = 0) and meets those after it, and in part 0 itself."""
 
     def run(batches):
+        key, held = None, None
         for batch in batches:
             for r in batch.to_pylist():
-                ia, ca, na, ta = unpack(r, "a")
-                ib, cb, nb, tb = unpack(r, "b")
-                names, at = np.unique(np.concatenate([ta, tb]), return_inverse=True)
-                ra, rb = np.repeat(np.arange(len(na)), na), np.repeat(np.arange(len(nb)), nb)
-                va, vb = at[: len(ta)], at[len(ta) :]
-                both = np.zeros((len(na), len(nb)), np.float32)
-                for low in range(0, len(names), 4096):  # bounds the matrices
-                    x, y = np.zeros((len(na), 4096), np.float32), np.zeros((len(nb), 4096), np.float32)
-                    ka, kb = (va >= low) & (va < low + 4096), (vb >= low) & (vb < low + 4096)
-                    x[ra[ka], va[ka] - low] = 1
-                    y[rb[kb], vb[kb] - low] = 1
-                    both += x @ y.T
-                both = both.astype(np.int64)
-                linked = (100 * both >= percent * (na[:, None] + nb[None, :] - both)) & (ca[:, None] != cb[None, :])
-                root: dict[int, int] = {}
-
-                def find(c):
-                    while root.get(c, c) != c:
-                        c = root[c]
-                    return c
-
-                out = []
-                for i, j in zip(*np.nonzero(linked), strict=True):
-                    x, y = find(int(ca[i])), find(int(cb[j]))
-                    if x != y:
-                        root[max(x, y)] = min(x, y)
-                        out.append((int(ia[i]), int(ib[j])))
+                block = _Block(r)
+                if r["d"] == 0:
+                    key, held = (r["candidate"], r["x"], r["part"]), block
+                    out = held.links(held, percent) if r["part"] == 0 else []
+                else:
+                    out = held.links(block, percent) if key == (r["candidate"], r["x"], r["part"]) else []
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array([v[k] for v in out], pa.int64()) for k in (0, 1)], ["a", "b"])
 
@@ -430,11 +525,17 @@ def _blocks(cur: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     spark.conf.set(conf, "64")
     kinds = "candidate long, block long, blocks long, ids binary, components binary, sizes binary, tokens binary"
     packed = materialize(dealt.repartition(parts, "candidate", "block").sortWithinPartitions("candidate", "block", "doc_id").mapInArrow(_pack, kinds))
-    a = packed.select("candidate", F.col("block").alias("x"), *(F.col(k).alias(f"a_{k}") for k in ("ids", "components", "sizes", "tokens")))
-    # each block meets those from itself on: rows number the square of a group's blocks, not of its members
-    b = packed.select("candidate", F.col("block").alias("y"), *(F.col(k).alias(f"b_{k}") for k in ("ids", "components", "sizes", "tokens")), F.explode(F.sequence(F.lit(0), F.col("block"))).alias("x"))
+    # of n blocks in a circle each meets the n / 2 next ones, PARTNERS of them in a task
+    held = packed.select("*", F.col("block").alias("x"), F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"blocks div 2 div {PARTNERS}"))).alias("part"), F.lit(0).cast("long").alias("d"))
+    others = (
+        packed.where("blocks > 1")
+        .select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.expr("blocks div 2"))).alias("d"))
+        .select("*", F.expr("pmod(block - d, blocks)").alias("x"), F.expr(f"d div {PARTNERS}").alias("part"))
+        .where("2 * d <> blocks or x < block")
+    )
     spark.conf.set(conf, "1")
-    met = materialize(a.join(b, ["candidate", "x"]).select(*(c.split()[0] for c in _PACKED.split(", "))).repartition(parts).mapInArrow(_meet(percent), "a long, b long"))
+    dealt = held.unionByName(others).repartition(parts, "candidate", "x", "part").sortWithinPartitions("candidate", "x", "part", "d")
+    met = materialize(dealt.mapInArrow(_meet(percent), "a long, b long"))
     small_batches(spark)
     return met
 
