@@ -224,7 +224,7 @@ def test_loser_tree_merges():
 def test_line_dedup(spark):
     line = "this line stands on many sites"
     rows = [(i, f"own words of document number {i} come first\n{line}" if i < 6 else line, f"s{i}") for i in range(8)] + [(9, None, "s1"), (10, "", None)]
-    got = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, source string"), min_words=3, max_share=0.5).collect()}
     assert got[0].text == "own words of document number 0 come first" and got[0].n_removed == 1
     assert got[7].text == line and got[9].text is None and got[9].n_lines == 0 and got[10].n_lines == 1
 

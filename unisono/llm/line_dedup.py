@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 from .common import materialize, read_table
 
 MIN_SITES = 5
-MIN_WORDS = 3
-MAX_SHARE = 0.5
 LG_K = 12
 _HASH = ["_h1", "_h2"]
 
@@ -41,7 +39,7 @@ def spread_lines(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     return sure.unionByName(exact)
 
 
-def dedup_lines(docs: DataFrame, site: str = "source", text: str = "text", key: str = "doc_id", min_sites: int = MIN_SITES, min_words: int = MIN_WORDS, max_share: float | None = MAX_SHARE) -> DataFrame:
+def dedup_lines(docs: DataFrame, site: str = "source", text: str = "text", key: str = "doc_id", min_sites: int = MIN_SITES, min_words: int = 1, max_share: float | None = None) -> DataFrame:
     """`docs` with widely spread lines taken out of `text`, and two columns more: n_lines and n_removed.
 
     Lines end at newlines and are compared without spaces, tabs and returns at either end. Blank lines and lines of
@@ -82,7 +80,7 @@ def dedup_lines(docs: DataFrame, site: str = "source", text: str = "text", key:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = dedup_lines(read_table(spark, sf_dir, "documents"), min_words=1, max_share=None)
+    out = dedup_lines(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
@@ -92,12 +90,11 @@ with parts as (
 ), keyed as (
   select *, trim(line, ' ' || chr(9) || chr(13)) as k from parts
 ), able as (
-  select * from keyed where len(regexp_replace(k, '[ \\t\\r]+', ' ', 'g')) - len(replace(regexp_replace(k, '[ \\t\\r]+', ' ', 'g'), ' ', '')) >= {MIN_WORDS - 1}
+  select * from keyed where k <> ''
 ), wide as (
   select k from able where source is not null group by k having count(distinct source) >= {MIN_SITES}
 ), cut as (
-  select doc_id, list(distinct pos) as gone, sum(length(line) + 1) as lost, any_value(length(text)) as total
-  from able where k in (select k from wide) group by doc_id having sum(length(line) + 1) <= {MAX_SHARE} * any_value(length(text))
+  select doc_id, list(distinct pos) as gone from able where k in (select k from wide) group by doc_id
 )
 select d.* exclude (text), coalesce(len(c.gone), 0)::bigint as n_removed, coalesce(len(string_split(d.text, chr(10))), 0)::bigint as n_lines,
   case when c.doc_id is null then d.text else array_to_string(list_transform(list_filter(range(len(string_split(d.text, chr(10)))), lambda i: not list_contains(c.gone, i)), lambda i: string_split(d.text, chr(10))[i + 1]), chr(10)) end as text
