@@ -92,6 +92,7 @@ def test_collapse():
 def test_apportionment():
     got = goldset.largest_remainder({"a": 5, "b": 3, "c": 2}, 7, {"a": 3, "b": 3, "c": 3})
     assert sum(got.values()) == 7 and got["a"] == 3
+    assert goldset.largest_remainder({"a": 0.7375, "b": 0.2, "c": 0.0625}, 8, {"a": 9, "b": 9, "c": 9}) == {"a": 6, "b": 2, "c": 0}
 
 
 def test_select_target_day():
@@ -105,7 +106,11 @@ def test_select_target_day():
 def test_name_runs():
     index = {"clean": [(["clean", "water", "act"], "c1")]}
     assert spans.name_runs("the clean water act of 1972 passed".split(), index) == [(1, 5, "c1")]
-    assert spans.covered(0, "the clean water act would".split(), [(1, 3, "c1")]) == "B"
+    toks = "the clean water act would".split()
+    assert spans.covered(0, toks, [(1, 3, "c1")]) is None  # begins with the run and goes beyond it
+    assert spans.covered(1, toks[1:4], [(1, 3, "c1")]) == "A" == spans.covered(0, toks[:4], [(1, 3, "c1")])
+    assert spans.covered(2, toks[2:], [(1, 3, "c1")]) == "B" == spans.covered(9, ["past", "clean"], [(10, 12, "c1")])
+    assert spans.covered(2, toks[2:4], [(0, 2, "x"), (1, 3, "c1")]) == "A"
 
 
 def test_redaction_is_idempotent(spark):

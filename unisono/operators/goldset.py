@@ -20,22 +20,20 @@ def date_split(rows: DataFrame, train_end: str, validation_end: str) -> DataFram
 
 
 def largest_remainder(weights: dict[str, float], total: int, caps: dict[str, int]) -> dict[str, int]:
-    """Seats in proportion to weights within caps; what is left goes to the largest remainders (ties by name). Strata are few."""
-    out = {k: 0 for k in weights}
-    left = min(total, sum(caps.values()))
-    open_ = {k for k in weights if caps[k] > 0 and weights[k] > 0}
-    while left and open_:
-        w = sum(weights[k] for k in open_)
-        quota = {k: left * weights[k] / w for k in open_}
-        give = {k: min(int(quota[k]), caps[k] - out[k]) for k in open_}
-        if not any(give.values()):
-            for k in sorted(open_, key=lambda k: (-(quota[k] - int(quota[k])), k))[:left]:
-                give[k] = 1
-        for k, g in give.items():
-            out[k] += g
-            left -= g
-        open_ = {k for k in open_ if out[k] < caps[k]}
-    return out
+    """Seats in proportion to weights within caps. In each pass all take the whole part of their quota, and what is left goes one by one to the largest remainders of that pass (ties by name); seats that caps refuse are dealt in a further pass. Strata are few."""
+    seats = dict.fromkeys(weights, 0)
+    total = min(total, sum(caps.values()))
+    while (left := total - sum(seats.values())) > 0:
+        room = [k for k, w in weights.items() if w > 0 and seats[k] < caps[k]]
+        if not room:
+            break
+        whole = sum(weights[k] for k in room)
+        quota = {k: weights[k] / whole * left for k in room}
+        seats |= {k: min(caps[k], seats[k] + int(quota[k])) for k in room}
+        after = total - sum(seats.values())
+        by_remainder = sorted((k for k in room if seats[k] < caps[k]), key=lambda k: (int(quota[k]) - quota[k], k))
+        seats |= {k: seats[k] + 1 for k in by_remainder[:after]}
+    return seats
 
 
 def allocate(universe: DataFrame, strata: list[str], total: int, whole: int = 200, floor: int = 5) -> DataFrame:

@@ -84,14 +84,19 @@ def rankings(rows: DataFrame, limit: int = 50) -> DataFrame:
     return out
 
 
-def overdispersion(daily: DataFrame, denominators: DataFrame) -> DataFrame:
-    """Pearson dispersion by phrase and party with at least three days."""
-    rows = daily.join(denominators.where("trials > 0"), ["party", "day"])
-    p = F.sum("successes").over(Window.partitionBy("phrase", "party")) / F.sum("trials").over(Window.partitionBy("phrase", "party"))
-    rows = rows.withColumn("p", p)
-    e = F.col("trials") * F.col("p")
-    out = rows.groupBy("phrase", "party").agg(F.count("*").alias("days"), F.sum(F.try_divide(F.pow(F.col("successes") - e, 2), e * (1 - F.col("p")))).alias("x2"))
-    return out.where("days >= 3").select("phrase", "party", "days", F.round(F.col("x2") / (F.col("days") - 1), 6).alias("dispersion"))
+def overdispersion(daily: DataFrame, denominators: DataFrame, days: int = P.surge_window) -> DataFrame:
+    """Pearson dispersion by phrase and party over the party's last `days` days with trials before the latest day, three at least.
+
+    Days without the phrase count as zero; phrases on none or all of the trials have no dispersion. With p the share over
+    all days, the sum of (s - t p)^2 / (t p (1 - p)) is (sum of s^2 / t - p * sum of s) / (p (1 - p)), so zero days need no rows.
+    """
+    rows = denominators.where("trials > 0").join(F.broadcast(denominators.agg(F.max("day").alias("_until"))), F.col("day") < F.col("_until"))
+    last = rows.withColumn("_r", F.row_number().over(Window.partitionBy("party").orderBy(F.desc("day")))).where(F.col("_r") <= days).select("party", "day", "trials")
+    whole = last.groupBy("party").agg(F.count("*").alias("days"), F.sum("trials").alias("all"))
+    sums = daily.join(last, ["party", "day"]).groupBy("phrase", "party").agg(F.sum("successes").alias("hits"), F.sum(F.col("successes") * F.col("successes") / F.col("trials")).alias("squares"))
+    p = F.col("hits") / F.col("all")
+    out = sums.join(whole, "party").where((F.col("days") >= 3) & (p > 0) & (p < 1))
+    return out.select("phrase", "party", "days", F.round((F.col("squares") - p * F.col("hits")) / (p * (1 - p)) / (F.col("days") - 1), 6).alias("dispersion"))
 
 
 def first_observed(phrases: DataFrame) -> DataFrame:

@@ -142,15 +142,17 @@ ORACLE_SQL: dict[str, str] = {
     "surge_bh": f"with {SURGE} select phrase, party, day, round(q, 6) as q, change >= {P.surge_change} and ratio >= {P.surge_ratio} and q <= {P.surge_q} as surge from bh",
     "surge_weekday_baseline": f"""with {EV}, c as (select party, day, trials, coalesce(sum(trials) over (partition by party, isodow(day) order by day rows between 28 preceding and 1 preceding), 0)::bigint as base_n from den)
       select d.phrase, d.party, d.day, d.successes as k, c.base_n, coalesce((select sum(x.successes) from dly x where x.phrase = d.phrase and x.party = d.party and x.day < d.day and isodow(x.day) = isodow(d.day)), 0)::bigint as base_k from dly d join c using (party, day)""",
-    "overdispersion": f"""with {EV}, j as (select phrase, party, successes as s, trials as t, sum(successes) over w / sum(trials) over w as p from dly join den using (party, day) window w as (partition by phrase, party))
-      select phrase, party, count(*) as days, round(sum((s - t * p) ** 2 / nullif(t * p * (1 - p), 0)) / (count(*) - 1), 6) as dispersion from j group by 1, 2 having count(*) >= 3""",
+    "overdispersion": f"""with {EV}, b as (select * from (select *, row_number() over (partition by party order by day desc) as r from den where trials > 0 and day < (select max(day) from den)) where r <= {P.surge_window}),
+      x as (select q.phrase, b.party, b.trials as t, coalesce(d.successes, 0) as s from (select distinct phrase, party from dly) q join b using (party) left join dly d on d.phrase = q.phrase and d.party = b.party and d.day = b.day),
+      j as (select *, sum(s) over (partition by phrase, party) / sum(t) over (partition by phrase, party) as p from x)
+      select phrase, party, count(*) as days, round(sum((s - t * p) ** 2 / (t * p * (1 - p))) / (count(*) - 1), 6) as dispersion from j where p > 0 and p < 1 group by 1, 2 having count(*) >= 3""",
     "burst_sessions": """with d as (select user_id, cast(ts as date) as day, count(*) as c from events group by all), g as (select *, case when day - lag(day) over (partition by user_id order by day) <= 2 then 0 else 1 end as new from d),
       b as (select *, sum(new) over (partition by user_id order by day) as burst from g)
       select user_id, burst::int as burst, min(day) as start, max(day) as stop, sum(c)::bigint as total, arg_max(day, struct_pack(c := c, d := -(day - date '1970-01-01'))) as peak_day, (arg_max(day, struct_pack(c := c, d := -(day - date '1970-01-01'))) - min(day))::int as width from b group by user_id, burst""",
     "eligible_offices_asof": """with iv as (select o_custkey as office, cast(o_orderdate as date) as s, cast(o_orderdate + interval 90 day as date) as e, c_nationkey % 2 as party from orders join customer on o_custkey = c_custkey),
       days as (select unnest(generate_series(date '1996-01-01', date '1996-12-01', interval 1 month))::date as day)
       select day, party::int as party, count(distinct office) as eligible from days join iv on day >= s and day < e group by all""",
-    "source_state_asof": """with iv as (select o_custkey as office, cast(o_orderdate as date) as s, cast(o_orderdate + interval 365 day as date) as e, o_orderpriority as st from orders where o_orderkey % 2 = 0),
+    "source_state_asof": """with iv as (select o_custkey as office, cast(o_orderdate as date) as s, cast(o_orderdate + interval 365 day as date) as e, o_orderpriority as st from orders),
       f as (select distinct c_custkey as office, date '1997-06-01' as day from customer), h as (select office, arg_max(st, struct_pack(s := s, st := st)) as state from f join iv using (office) where day >= s and day < e group by 1)
       select office, day, coalesce(state, 'unattestable') as state from f left join h using (office)""",
     "participation": f"""with {LEDGER}, n as (select distinct doc_id from occ where ngram in (select ngram from phrases)), s as (select s.*, n.doc_id is not null as hit from stm s left join n using (doc_id))
@@ -201,7 +203,7 @@ ORACLE_SQL: dict[str, str] = {
     "range_join_conversion": """with c as (select o_custkey as office, o_orderkey as key, cast(o_orderdate as date) as day, [o_orderpriority, o_orderstatus] as tokens from orders where o_orderkey % 2 = 0), a as (select o_custkey as office, cast(o_orderdate as date) as act_day, [o_orderpriority, o_orderstatus] as act from orders where o_orderkey % 2 = 1),
       j as (select c.office, key, day, bool_or(coalesce(act_day > day and act_day <= day + 180 and len(list_intersect(tokens, act)) >= 2, false)) as converted from c left join a using (office) group by all)
       select * from j where day + 180 <= (select max(act_day) from a)""",
-    "pairwise_jaccard_weekly": """with s as (select distinct date_trunc('week', ts)::date as week, user_id % 2 as party, user_id, event_type from events where value > 90), z as (select week, party, user_id, count(*) as n from s group by all),
+    "pairwise_jaccard_weekly": """with s as (select distinct date_trunc('week', ts)::date as week, user_id % 2 as party, user_id, event_type from events), z as (select week, party, user_id, count(*) as n from s group by all),
       p as (select week, party, (count(*) * (count(*) - 1) / 2)::bigint as pairs from z group by all having count(*) > 1),
       j as (select a.week, a.party, a.user_id as u, b.user_id as v, count(*) as c from s a join s b on a.week = b.week and a.party = b.party and a.event_type = b.event_type and a.user_id < b.user_id group by all),
       q as (select j.week, j.party, sum(c / (x.n + y.n - c)) as s from j join z x on x.week = j.week and x.party = j.party and x.user_id = u join z y on y.week = j.week and y.party = j.party and y.user_id = v group by all)
@@ -245,6 +247,6 @@ ORACLE_SQL: dict[str, str] = {
       select page_id, length(array_to_string(l, chr(10)))::int as n from l""",
     "envelope_hashes": "select 'nation' as resource, n_nationkey::int as n_nationkey, sha256('{\"n_name\":\"' || n_name || '\",\"n_nationkey\":' || n_nationkey || ',\"n_regionkey\":' || n_regionkey || '}') as sha256 from nation",
     "quotes_numbers": r"""select doc_id, array_to_string(list_sort(list_distinct(regexp_extract_all(text, '\d+(?:[.,]\d+)*'))), '|') as numbers, len(regexp_extract_all(text, '\d+(?:[.,]\d+)*'))::int as n from documents where regexp_matches(text, '\d')""",
-    "vector_topk": """with q as (select vec_id as query_id, embedding as e from embeddings where vec_id < 10), s as (select query_id, vec_id, round(list_cosine_similarity(q.e::double[], x.embedding::double[]), 6) as cosine from q join embeddings x on x.vec_id <> query_id)
+    "vector_topk": """with q as (select vec_id as query_id, embedding as e from embeddings where vec_id % 50 = 0), s as (select query_id, vec_id, round(list_cosine_similarity(q.e::double[], x.embedding::double[]), 6) as cosine from q join embeddings x on x.vec_id <> query_id)
       select query_id, vec_id, cosine, rank::int as rank from (select *, row_number() over (partition by query_id order by cosine desc, vec_id) as rank from s) where rank <= 5""",
 }
