@@ -8,6 +8,7 @@ blocks, keeps the blocks of the article.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 from html import unescape
 
@@ -32,12 +33,17 @@ OUTSIDE_WORDS = frozenset(
 )
 HEADER_WORDS = frozenset("header topbar".split())
 MAIN_WORDS = frozenset("article post entry content story main body".split())
+#: A name with one of these says what a page or its article has, not what the element is (has-sidebar, share-enabled).
+STATE_WORDS = frozenset("has no with without show hide enabled disabled".split())
 
-_TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S)
+_START = re.compile(r"<(?:!--|!\[CDATA\[|[!?]|/?[a-zA-Z])")
+_COMMENT_END = re.compile(r"--!?>")
+_TAG_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_EDGE = re.compile(r"[>\"']")
 _ATTR = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S)
 _SPLIT = re.compile(r"[^a-z]+")
 _HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
-_CLOSERS = {t: re.compile(rf"</{t}\s*>|</{t}(?=[\s/>])[^>]*>|\Z", re.I) for t in RAW}
+_CLOSERS = {t: re.compile(rf"</{t}\s*>|</{t}(?=[\s/>])[^>]*(?:>|\Z)|\Z", re.I) for t in RAW}
 #: An opening tag of the key ends open elements of the value that lie above the next container.
 _ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
@@ -65,7 +71,8 @@ def _place(tag: str, attrs: str, in_main: bool) -> tuple[bool, bool]:
         for name, a, b, c in _ATTR.findall(attrs):
             name, value = name.lower(), a or b or c
             if name in ("class", "id"):
-                found = set(_SPLIT.split(unescape(value).lower()))
+                names = (set(_SPLIT.split(n)) for n in unescape(value).lower().split())
+                found = set().union(*(n for n in names if not n & STATE_WORDS))
                 if found & OUTSIDE_WORDS or (found & HEADER_WORDS and not in_main and not found & MAIN_WORDS):
                     outside = True
             elif name == "role":
@@ -83,6 +90,7 @@ def blocks(html: str | None) -> list[Block]:
     html = html or ""
     out: list[Block] = []
     stack: list[tuple[str, bool, bool]] = []  # tag, outside and main counted from the root
+    opened: Counter[str] = Counter()
     outside = main = heading = False
     links = 0
     text: list[str] = []
@@ -101,6 +109,11 @@ def blocks(html: str | None) -> list[Block]:
         outside, main = (stack[-1][1], stack[-1][2]) if stack else (False, False)
         heading = any(t in HEADINGS for t, _, _ in stack[-4:])
 
+    def leave(i: int) -> None:
+        opened.subtract(t for t, _, _ in stack[i:])
+        del stack[i:]
+        see()
+
     def say(s: str) -> None:
         s = unescape(s) if "&" in s else s
         text.append(s)
@@ -108,33 +121,64 @@ def blocks(html: str | None) -> list[Block]:
             link_text.append(s)
 
     at, end = 0, len(html)
+    quoted = True  # until quotes turn out not to be closed; each character is looked at a bounded number of times
+
+    def tag_end(k: int) -> int:
+        """The place of the > that ends a tag, outside quotes, or -1."""
+        nonlocal quoted
+        if not quoted:
+            return html.find(">", k)
+        while True:
+            m = _EDGE.search(html, k)
+            if m and m[0] == ">":
+                return m.start()
+            k = html.find(m[0], m.end()) + 1 if m else 0
+            if not k:
+                quoted = False
+                return -1
+
     while at < end:
-        m = _TAG.search(html, at)
+        m = _START.search(html, at)
         if not m:
             say(html[at:])
             break
-        if m.start() > at:
-            say(html[at : m.start()])
-        at = m.end()
-        tag = m[3]
-        if tag is None:
-            if m[1]:
-                text.append(m[1])
+        k = m.start()
+        if k > at:
+            say(html[at:k])
+        if m[0] == "<!--":
+            stop = _COMMENT_END.search(html, k + 4)
+            at = stop.end() if stop else end
+            continue
+        if m[0] == "<![CDATA[":
+            stop = html.find("]]>", m.end())
+            text.append(html[m.end() : end if stop < 0 else stop])
+            at = end if stop < 0 else stop + 3
+            continue
+        stop = html.find(">", k) if m[0] in ("<!", "<?") else tag_end(m.end())
+        if stop < 0:  # no tag
+            say("<")
+            at = k + 1
+            if html.find(">", at) < 0:
+                say(html[at:])
+                break
+            continue
+        at = stop + 1
+        if m[0] in ("<!", "<?"):
             continue
-        tag = tag.lower()
-        if m[2]:  # an end tag
+        ends = m[0][1] == "/"
+        m = _TAG_NAME.match(html, k + 1 + ends)
+        tag, attrs = m[0].lower(), html[m.end() : stop]
+        if ends:
             if tag == "a":
                 links = max(0, links - 1)
                 link_text.append(" ")
-            if tag in BLOCK or any(t == tag for t, _, _ in stack):
-                inside = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+            if tag in BLOCK or opened[tag]:
+                inside = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None) if opened[tag] else None
                 if tag in BLOCK or (inside is not None and (stack[inside][1] != outside or stack[inside][2] != main)):
                     close()
                 if inside is not None and (tag in BLOCK or not any(t in BLOCK for t, _, _ in stack[inside + 1 :])):
-                    del stack[inside:]
-                    see()
+                    leave(inside)
             continue
-        attrs = m[4]
         if tag in RAW:
             if not attrs.endswith("/"):
                 if tag in ("title", "head"):
@@ -158,8 +202,7 @@ def blocks(html: str | None) -> list[Block]:
             for i in range(len(stack) - 1, -1, -1):  # end tags that pages leave out
                 t = stack[i][0]
                 if t == "p" or t in _ENDS.get(tag, ()):
-                    del stack[i:]
-                    see()
+                    leave(i)
                 elif t in BLOCK:
                     break
         if attrs.endswith("/") and tag not in BLOCK:
@@ -171,6 +214,7 @@ def blocks(html: str | None) -> list[Block]:
             if tag not in BLOCK:
                 close()
             stack.append((tag, outside or o, main or x))
+            opened[tag] += 1
             see()
     close()
     return out
@@ -306,7 +350,7 @@ class DecisionTree:
 
 
 def features(page: list[Block]) -> list[tuple]:
-    """Rows of FEATURES, one for each block; the neighbours of a block are those in the same kind of place, if any."""
+    """Rows of FEATURES, one for each block; the neighbours of a block are those next to it on the page."""
     any_main = any(b.main and not b.outside for b in page)
     out = []
     for i, b in enumerate(page):
