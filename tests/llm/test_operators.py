@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -78,7 +79,9 @@ def test_packer_keeps_all_limits():
     assert all(sum(p.tokens for p in s) <= 100 and len(s) <= 5 and sum(p.loss for p in s) <= 40 for s in out)
 
 
-def test_top_k(spark):
+@pytest.mark.parametrize("limit", [1 << 25, 0])
+def test_top_k(spark, limit, monkeypatch):
+    monkeypatch.setattr(topk_search, "BROADCAST_BYTES", limit)
     rng = np.random.default_rng(0)
     v = rng.normal(0, 0.2, (90, 8))
     rows = [(i, v[i].tolist()) for i in range(90)] + [(90, None), (91, [float("nan")] * 8), (92, []), (93, [1.0] * 3)]
@@ -314,6 +317,49 @@ def test_html():
     html_extraction.main_text("<" * 500 + "<p" * 50 + "<!--", tree)
 
 
+def test_html_states_are_no_places():
+    tree, words = html_extraction.train_tree(), " ".join(f"word{i}" for i in range(60))
+    assert html_extraction.main_text(f"<body><div class='content has-sidebar'><article><p>{words}</p></article></div>", tree) == words
+    assert html_extraction.main_text(f"<article class='post share-enabled'><p>{words}</p></article><div class='sidebar'>Also</div>", tree) == words
+
+
+@pytest.mark.parametrize("page", ["<a " * 300_000, '<a "' * 250_000, "<a '\"" * 200_000 + ">", "<div>" * 150_000, "</b>" * 200_000, "<script>" + "</script " * 100_000])
+def test_html_of_unclosed_tags_takes_linear_time(page):
+    began = time.process_time()
+    html_extraction.main_text(page, html_extraction.train_tree())
+    assert time.process_time() - began < 20
+
+
+def test_empty_tables(spark, docs, tmp_path):
+    none = docs.where("false")
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    for out in (
+        suffix_dedup.remove_repeats(none, 40, 8), packing.pack_documents(none, packing.vocabulary_path()), line_dedup.dedup_lines(none), jaccard_join.jaccard_components(none, 5, 80),
+        toxicity.score_documents(none, toxicity.fit(none, labels)), toxicity.reject_toxic(none, toxicity.fit(docs, labels)), language_id.predict_documents(none, language_id.fit(none)),
+        html_extraction.extract_pages(spark.createDataFrame([], "page_id long, url string, html string")),
+        topk_search.top_k(*[spark.createDataFrame([], "vec_id long, embedding array<double>")] * 2, "vec_id", "embedding"),
+    ):
+        assert out.count() == 0
+
+
+def test_repeated_rows(docs):
+    """A row repeated in full fares as each of its copies would, and a copy of a text is a copy of it."""
+    twice = docs.unionByName(docs)
+    n = 2 * docs.count()
+    assert jaccard_join.jaccard_components(twice, 3, 80).count() == n
+    assert {tuple(r) for r in jaccard_join.jaccard_components(twice, 3, 80).collect()} == {tuple(r) for r in jaccard_join.jaccard_components(docs, 3, 80).collect()}
+    assert all(r.n_removed == r.n_bytes for r in suffix_dedup.remove_repeats(twice, 40, 8).collect() if r.n_bytes >= 40)
+    assert hilbert_sharding.shard_documents(twice, 7).count() == n and line_dedup.dedup_lines(twice).count() == n
+
+
+def test_near_duplicates_stage_equals_brute_force(spark, docs):
+    """The stage keeps one document of each group, and all its columns."""
+    more = docs.withColumn("set", F.lit("x")).withColumn("component_id", F.lit(1))
+    kept = corpus_pipeline.near_duplicates(spark, more, "")
+    assert kept.columns == more.columns
+    assert {r.doc_id for r in kept.collect()} == {i for i, (_, c) in _components(docs, 5, 80).items() if i == c}
+
+
 def test_shared_folder(spark):
     df = common.materialize(spark.range(5))
     assert df.count() == 5 and "unisono-" in df.inputFiles()[0]

@@ -7,16 +7,19 @@ tree of bounded fan-in. The queries are a stated set that meets all rows in bloc
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, crc_mod, read_table
+from .common import arrow_map, materialize, read_table
 
 K = 20
 BLOCK = 2048
 FAN_IN = 16
+BROADCAST_BYTES = 32 << 20  # of all blocks of queries; beyond, both sides are dealt to a grid
 _BLOCKS = "dim int, tile long, ids binary, data binary"
 _LISTS = "query_id long, tile long, best array<struct<score:long,vec_id:long>>"
 
@@ -126,15 +129,24 @@ def top_k(queries: DataFrame, rows: DataFrame, id_col: str, vector_col: str, k:
         return arrow_map(df, _pack("_id", per_block), _BLOCKS)
 
     # a block is a row of 1 MB at most where vectors have 64 components; each meets every block of queries
-    q = packed(queries, block).select("dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.col("tile").alias("q_tile"))
-    tiles = packed(rows, block).join(q, "dim").withColumn("tile_no", F.col("tile"))
+    q = materialize(packed(queries, block)).select("dim", F.col("ids").alias("q_ids"), F.col("data").alias("q_data"), F.col("tile").alias("q_tile"))
+    size = q.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("q_data")), F.lit(0))).first()
+    shards = packed(rows, block).withColumn("tile_no", F.col("tile"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if size[1] <= BROADCAST_BYTES:
+        tiles = shards.join(F.broadcast(q), "dim")
+    else:  # a grid of query stripes and shard groups; a shard is copied to each stripe, a block of queries to each group
+        stripes = max(1, min(size[0], math.isqrt(parts)))
+        groups = max(1, parts // stripes)
+        q = q.withColumn("stripe", F.pmod(F.xxhash64("q_tile"), F.lit(stripes))).withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
+        shards = shards.withColumn("group", F.pmod(F.xxhash64("tile"), F.lit(groups))).withColumn("stripe", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(stripes - 1).cast("long"))))
+        tiles = shards.join(q, ["dim", "stripe", "group"])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", min(8, int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))))
-    spread = tiles.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "q_tile", "tile")
-    lists = spread.mapInArrow(_tile(k), _LISTS)
-    return merge_lists(lists, k)
+    lists = tiles.select("dim", "q_ids", "q_data", "ids", "data", "tile_no").mapInArrow(_tile(k), _LISTS)
+    return merge_lists(lists, k, levels=max(2, math.ceil(math.log(max(2, rows.count() / block + parts), FAN_IN))))
 
 
-def merge_lists(lists: DataFrame, k: int, fan_in: int = FAN_IN, levels: int = 3) -> DataFrame:
+def merge_lists(lists: DataFrame, k: int, fan_in: int = FAN_IN, levels: int = 2) -> DataFrame:
     """Merge per-tile lists: at each level a group holds about `fan_in` lists of k entries, the last joins what is left."""
     for level in range(levels - 1, -1, -1):
         width = fan_in**level  # groups of a query that are left after this level
