@@ -211,6 +211,26 @@ def test_suffix_dedup(docs, group, monkeypatch):
     assert got == _repeats(_texts(docs), 40)
 
 
+@pytest.mark.parametrize("rows", [20_000, -1])
+def test_passages_of_400_bytes_and_more_go(spark, rows, monkeypatch):
+    """Passages of known bytes in two documents each, with the side tables broadcast and exchanged: those shorter than 400 bytes stay."""
+    monkeypatch.setattr(suffix_dedup, "BROADCAST_ROWS", rows)
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8)))
+    own = lambda: " ".join(word() for _ in range(90))
+    sizes = [300, 399, 400, 600]
+    texts = {}
+    for k, n in enumerate(sizes):
+        passage = " ".join(word() for _ in range(200))[:n]
+        for copy, edge in enumerate("<>"):
+            texts[10 * k + copy] = f"{own()} {edge}{passage}{edge}{edge} {own()}"
+    texts[99] = own()
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: tuple(r)[1:] for r in suffix_dedup.remove_repeats(df).collect()}
+    assert got == _repeats(texts, 400)
+    assert {i: r[1] for i, r in got.items()} == {10 * k + c: n if n >= 400 else 0 for k, n in enumerate(sizes) for c in (0, 1)} | {99: 0}
+
+
 def test_loser_tree_merges():
     rng = random.Random(2)
     runs, all_ = [], []
