@@ -22,6 +22,7 @@ BUCKETS = 1 << 14
 DIM = 16
 ORDERS = (2, 3, 4)
 MAX_SAMPLE = 3000  # labelled documents that training reads at most, as evenly over languages as there are
+MAX_LABELS = 10_000
 EPOCHS = 8
 ACCURACY = 0.99  # of accepted predictions, on the part kept for calibration
 UNDETERMINED = "und"
@@ -164,16 +165,24 @@ def _features(batches):
 def fit(docs: DataFrame, key: str = "doc_id", label: str = "lang", max_sample: int = MAX_SAMPLE) -> LanguageModel:
     """Train on rows with a text that has a letter and a label; `max_sample` of them at most, chosen by a hash of the key.
 
-    Labels take turns, so that rare ones are kept. What reaches the driver is bounded: `max_sample` sparse rows of BUCKETS counts.
+    Labels take turns, so that rare ones are kept; of texts with one key and label the greatest counts. What reaches the driver is bounded: `max_sample` sparse rows of BUCKETS counts.
     """
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(label).alias("label"), "text").where("label is not null and text is not null and key is not null")
-    order = Window.partitionBy("label").orderBy(F.xxhash64("key"), "key")
-    turn = rows.select("key", "label").withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= max_sample)
+    # of each label, rows whose hash is low enough to hold twice the sample, so that a frequent label burdens no task
+    sizes = rows.groupBy("label").agg(F.count("*").alias("size"))
+    some = rows.select("key", "label", F.xxhash64("key").alias("h"))
+    few = sizes.limit(MAX_LABELS + 1).collect()  # a model has a row of weights for each label
+    if len(few) <= MAX_LABELS:
+        low = docs.sparkSession.createDataFrame([(r.label, -(2.0**63) + 2.0**64 * min(1.0, (2 * max_sample + 1000) / r["size"])) for r in few], "label string, top double")
+        some = some.join(F.broadcast(low), "label").where("h <= top")
+    order = Window.partitionBy("label").orderBy("h", "key")
+    turn = some.select("key", "label", "h").withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= max_sample)
     keys = [r.key for r in turn.orderBy("turn", "label").limit(max_sample).select("key").collect()]
     if not keys:
         return train([], [])
     chosen = docs.sparkSession.createDataFrame([(k,) for k in sorted(set(keys))], "key long")
-    got = arrow_map(rows.join(F.broadcast(chosen), "key"), _features, "key long, label string, at binary, n binary").collect()
+    once = rows.join(F.broadcast(chosen), "key").groupBy("key", "label").agg(F.max("text").alias("text"))
+    got = arrow_map(once, _features, "key long, label string, at binary, n binary").collect()
     got = sorted((r for r in got if len(r.at)), key=lambda r: (r.key * 0x9E3779B1 % 2**32, r.key))
     return train([(np.frombuffer(r.at, np.uint16), np.frombuffer(r.n, np.float32)) for r in got], [r.label for r in got])
 
