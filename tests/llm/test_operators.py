@@ -48,6 +48,27 @@ def test_shards(docs):
     assert hilbert_sharding.shard_documents(docs.where("false"), 7).count() == 0
 
 
+@pytest.mark.parametrize("heavy", [1, 50_000])
+def test_equal_texts_lie_side_by_side(spark, heavy, monkeypatch):
+    """Places equal a sort by hand; the cuts part one group each at most, though copies come from all sources."""
+    monkeypatch.setattr(hilbert_sharding, "HEAVY", heavy)
+    rows = [(i, f"text {i % 9 if i % 3 else i}" if i % 11 else None, ["en", "de", None][i % 3], f"https://example.test/{i % 13}") for i in range(200)]
+    got = hilbert_sharding.shard_documents(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(5), 6).toPandas()
+    order = got.sort_values(["shard", "slot"])
+    assert list(order.curve) == sorted(order.curve) and len(order) == 200
+    assert got.groupby("text_crc32").curve.nunique().max() == 1
+    assert (got.groupby("text_crc32").shard.nunique() - 1).sum() <= 5
+    assert got.source_bucket.nunique() > 6  # values that begin alike still part
+
+
+def test_string_limits_equal_quantiles_by_hand(spark):
+    values = [f"https://example.test/{i * i % 50:02}" for i in range(400)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v string").repartition(3)
+    steps = [0.25, 0.5, 0.75]
+    assert hilbert_sharding.string_limits(df, F.col("v"), steps) == [sorted(values)[int(len(values) * q) - 1] for q in steps]
+    assert hilbert_sharding.string_limits(df.where("v is null"), F.col("v"), steps) == []
+
+
 def test_tokens_are_the_librarys():
     t = packing.tokenizer(packing.vocabulary_path())
     for s in ["", "It's 12 o'clock, ÉTÉ ß!", "a<|endoftext|>b", "Σας İ ²½   x", "é '\tll 我的"]:

@@ -4,19 +4,23 @@ Several metadata dimensions are quantised into 2^bits buckets each, rows are sor
 the Hilbert curve, and the sorted sequence is cut into runs. Neighbouring runs hold neighbouring cells, so the
 minimum and maximum of *every* dimension stay narrow in a file and readers can skip files on any of them.
 
-No row visits the driver. Bucket limits come from `percentile_approx` sketches of fixed size, the order from one range
-exchange of narrow rows, and ranks from the row counts of its partitions.
+No row visits the driver. Bucket limits of numbers come from `percentile_approx` sketches of fixed size, those of strings from
+counts of their whole values; the order comes from one range exchange of narrow rows, and ranks from the row counts of its
+partitions. Rows of one group (equal texts) take one cell, so a group is parted by the cuts between runs alone.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, read_table
 
 SHARDS = 40
 BITS = 4
+HEAVY = 50_000  # broadcast groups number fewer than this
 
 
 def hilbert_index(point: tuple[int, ...], bits: int) -> int:
@@ -48,28 +52,43 @@ def hilbert_index(point: tuple[int, ...], bits: int) -> int:
     return index
 
 
-def text_key(col: Column) -> Column:
-    """The first six bytes of a string as a number that keeps their order."""
-    head = F.rpad(F.substring(col.cast("binary"), 1, 6), 6, F.lit(b"\x00"))
-    return F.conv(F.hex(head), 16, 10).cast("double")
+def string_limits(df: DataFrame, col: Column, steps: list[float]) -> list[str]:
+    """The values at which the running share of rows, in order of whole values, first reaches each of `steps`.
+
+    Rows are counted by value before anything is ordered, so a frequent value is one row here; the values lie in range
+    partitions, and the driver sees a total for each of these and one value for each step.
+    """
+    counts = df.select(col.alias("v")).where("v is not null").groupBy("v").agg(F.count("*").alias("n"))
+    local = materialize(counts.repartitionByRange(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "v").withColumn("part", F.spark_partition_id()))
+    totals = sorted(local.groupBy("part").agg(F.sum("n")).collect())  # one row for each partition
+    ends = list(accumulate(n for _, n in totals))
+    if not ends:
+        return []
+    before = df.sparkSession.createDataFrame([(p, e - n) for (p, n), e in zip(totals, ends, strict=True)], "part int, before long")
+    running = F.col("before") + F.sum("n").over(Window.partitionBy("part").orderBy("v"))
+    to = local.join(F.broadcast(before), "part").withColumn("to", running)
+    marks = [F.min(F.when(F.col("to") >= ends[-1] * q, F.col("v"))).alias(f"m{i}") for i, q in enumerate(steps)]
+    return list(to.agg(*marks).first())
 
 
 def hilbert_order(df: DataFrame, dims: dict[str, Column], bits: int = BITS) -> DataFrame:
-    """`df` with a column `<name>_bucket` for each of `dims` (numeric expressions) and the column `curve`.
+    """`df` with a column `<name>_bucket` for each of `dims` (numeric or string expressions) and the column `curve`.
 
-    Limits of buckets are approximate quantiles of the data. Null and NaN values take bucket 0. An empty table gives
+    Limits of buckets are quantiles of the data, approximate ones for numbers. Null and NaN values take bucket 0. An empty table gives
     an empty table. dims * bits is at most 16, so that the table of cells, which is broadcast, has at most 65536 rows.
     """
     if not dims or len(dims) * bits > 16:
         raise ValueError("between 1 and 16 // bits dimensions")
     steps = [(i + 1) / 2**bits for i in range(2**bits - 1)]
-    limits = df.agg(*(F.percentile_approx(F.nanvl(x.cast("double"), F.lit(None)), steps, 1000).alias(f"_{k}") for k, x in dims.items())).first()
+    types = dict(df.select(*(x.alias(k) for k, x in dims.items())).dtypes)
+    values = {k: x if types[k] == "string" else F.nanvl(x.cast("double"), F.lit(None)) for k, x in dims.items()}
+    numeric = [F.percentile_approx(v, steps, 1000).alias(k) for k, v in values.items() if types[k] != "string"]
+    limits = df.agg(*numeric).first().asDict() if numeric else {}
     out = df
-    for k, x in dims.items():
-        cuts = sorted(set(limits[f"_{k}"] or []))
-        value = x.cast("double")
-        bucket = sum(((value > c).cast("int") for c in cuts), F.lit(0)) if cuts else F.lit(0)
-        out = out.withColumn(f"{k}_bucket", F.when(value.isNull() | F.isnan(value), 0).otherwise(bucket).cast("int"))
+    for k, v in values.items():
+        cuts = sorted(set(string_limits(df, v, steps) if types[k] == "string" else limits[k] or []))
+        bucket = sum(((v > F.lit(c)).cast("int") for c in cuts), F.lit(0))
+        out = out.withColumn(f"{k}_bucket", F.coalesce(bucket, F.lit(0)).cast("int"))
     code = F.lit(0)
     for k in dims:
         code = code * 2**bits + F.col(f"{k}_bucket")
@@ -110,12 +129,28 @@ def shard_rows(df: DataFrame, keys: list[str], shards: int = SHARDS) -> DataFram
     return ranked.withColumn("shard", shard).withColumn("slot", F.col("_rank") - start).drop("_rank", "_total")
 
 
+def gather(placed: DataFrame, key: str) -> DataFrame:
+    """`placed` with `curve` the least of its group of equal `key`s.
+
+    Only groups that lie in several cells are looked up. Groups of more than one in HEAVY rows, of which there are fewer than
+    HEAVY, are broadcast; rows of all others meet theirs by an exchange, in which no key has more than that share.
+    """
+    total = placed.count()
+    groups = materialize(placed.groupBy(key).agg(F.min("curve").alias("_least"), F.max("curve").alias("_most"), F.count("*").alias("_n")).where("_least < _most").drop("_most"))
+    is_heavy = F.col("_n") * HEAVY > total
+    heavy, light = F.broadcast(groups.where(is_heavy).drop("_n")), groups.where(~is_heavy).drop("_n")
+    rest = placed.join(heavy.select(key), key, "left_anti").join(light, key, "left")
+    out = rest.unionByName(placed.join(heavy, key))
+    return out.withColumn("curve", F.coalesce("_least", "curve")).drop("_least")
+
+
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """Shards of documents by source, language and length.
 
-    Law `rows`. Within a cell equal texts lie side by side (their hash is the next sort key). Null texts have 16 bytes
-    and the crc32 of no bytes; null source, language and text take bucket 0; doc_id must be unique. Repeated rows of
-    one doc_id would still get different slots. Other columns, whatever their names, are left out.
+    Law `rows`. Documents of equal text share the least of their cells and lie side by side there, so the cuts part
+    `shards` - 1 groups at most; the buckets stay each document's own. Null texts have 16 bytes and the crc32 of no
+    bytes and count as one group; null source, language and text take bucket 0; doc_id must be unique. Repeated rows of one doc_id would
+    still get different slots. Other columns, whatever their names, are left out. An empty table gives an empty table.
     """
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 16
     narrow = docs.select(
@@ -123,12 +158,13 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         size.alias("size"),
         F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
         F.coalesce(F.xxhash64("text"), F.lit(0)).alias("_hash"),
-        text_key(F.col("source")).alias("_source"),
-        text_key(F.col("lang")).alias("_lang"),
+        F.col("source").alias("_source"),
+        F.col("lang").alias("_lang"),
     )
     narrow = materialize(narrow)  # the text is read once
     placed = hilbert_order(narrow, {"source": F.col("_source"), "lang": F.col("_lang"), "length": F.log2(F.col("size"))})
-    return shard_rows(placed.drop("_source", "_lang"), ["curve", "_hash", "doc_id"], shards).drop("_hash")
+    placed = materialize(placed.drop("_source", "_lang"))  # four times read
+    return shard_rows(gather(placed, "_hash"), ["curve", "_hash", "doc_id"], shards).drop("_hash")
 
 
 def shard_statistics(sharded: DataFrame, dims: list[str]) -> DataFrame:
