@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from unisono.functions.text import TOKEN, statement_id
 from unisono.params import P
+from unisono.sources.shared import cut
 from unisono.sources.tables import joint_key
 
 PRIME = 4294967311
@@ -97,17 +98,12 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
 
     Each round is checkpointed to the shared folder, so that neither the plan nor lost executors grow the work.
     """
-    spark = edges.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp())
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
-    label = both.groupBy("a").agg(F.least("a", F.min("b")).alias("c")).checkpoint()
+    both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    label = cut(both.groupBy("a").agg(F.least("a", F.min("b")).alias("c")))
     for _ in range(rounds):
         seen = both.join(label.select(F.col("a").alias("b"), "c"), "b").groupBy("a").agg(F.min("c").alias("m"))
         step = label.join(seen, "a").select("a", F.least("c", "m").alias("c"))
-        jump = step.join(step.select(F.col("a").alias("c"), F.col("c").alias("cc")), "c", "left").select("a", F.least("c", F.coalesce("cc", "c")).alias("c")).checkpoint()
+        jump = cut(step.join(step.select(F.col("a").alias("c"), F.col("c").alias("cc")), "c", "left").select("a", F.least("c", F.coalesce("cc", "c")).alias("c")))
         same = not jump.join(label.withColumnRenamed("c", "old"), "a").where("c <> old").take(1)
         label = jump
         if same:
