@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 
 from unisono.functions import stats
 from unisono.functions import text as X
-from unisono.operators import goldset, health, identity, ranking, research, spans
+from unisono.operators import goldset, health, identity, ranking, research, spans, waves
 from unisono.plans.catalogue import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
-FAST = ["normalize_dedupe", "text_features", "sentence_token_counts", "surge_bh", "overdispersion", "kappa_alpha", "streak_runs", "readiness_same_weekday", "strat_sample_hash", "vector_topk", "redact_spans"]
+FAST = ["normalize_dedupe", "text_features", "sentence_token_counts", "surge_bh", "overdispersion", "kappa_alpha", "streak_runs", "readiness_same_weekday", "strat_sample_hash", "vector_topk", "redact_spans", "ignition_widths", "lifespans", "sync_ceiling", "month_effect", "anchor_snap", "gravity_half_life", "statement_meta", "phrase_persistence", "style_rates", "first_capitals"]
 
 
 def _rows(df):
@@ -151,3 +151,25 @@ def test_weekly_jaccard_takes_all_events(spark):
             want[cell] = (len(pairs), pytest.approx(sum(len(a & b) / len(a | b) for a, b in pairs) / len(pairs), abs=2e-6))
     got = {(r.week, r.party): (r.pairs, r.mean_jaccard) for r in QUERIES["pairwise_jaccard_weekly"](spark, SF).collect()}
     assert got == want
+
+
+def test_forms_with_apostrophes_are_suppressed(spark):
+    """A listed form is found whether its parts are joined by an apostrophe, a hyphen or a space."""
+    digests = {spans.form_digest("Pat O'Brien", "salt")}
+    rows = spark.createDataFrame([("Then Pat O'Brien spoke",), ("pat o brien",), ("Pat O-Brien",), ("Pat Brien",), ("",), (None,)], "t string")
+    got = [[(x.start, x.end) for x in r.s] for r in rows.select(spans.suppressed_spans(F.col("t"), digests, "salt").alias("s")).collect()]
+    assert got == [[(5, 16)], [(0, 11)], [(0, 11)], [], [], []]
+
+
+def test_person_spans_know_all_letters(spark):
+    rows = spark.createDataFrame([("Heute sprach Jörg Müller dort",), ("Élodie de Tour kam",), ("nobody here",)], "t string")
+    got = [[(r.t[x.start : x.end], x.kind) for x in r.s] for r in rows.select("t", spans.person_spans(F.col("t"), {"jörg müller"}).alias("s")).collect()]
+    assert got[0] == [("Jörg Müller", "official")] and got[2] == []
+    assert got[1] == [("Élodie de Tour", "quarantine")]
+
+
+def test_gravity_ends_at_a_missing_day(spark):
+    days = [("2020-03-01", 10), ("2020-03-02", 6), ("2020-03-03", 5), ("2020-03-05", 9), ("2021-01-01", 4), ("2021-01-02", 1)]
+    got = waves.gravity(spark.createDataFrame(days, "day string, n long").select(F.to_date("day").alias("day"), "n")).orderBy("year").collect()
+    assert [(r.year, r.peak, r.half_life) for r in got] == [(2020, 10, 3), (2021, 4, 1)]
+    assert waves.gravity(spark.createDataFrame([], "day date, n long")).count() == 0

@@ -221,7 +221,7 @@ ORACLE_SQL: dict[str, str] = {
       select round(p1, 6) as error_d, round(p2, 6) as error_r, round(p1 - p2 - sqrt((p1 - greatest(0, m1 - h1)) ** 2 + (least(1, m2 + h2) - p2) ** 2), 6) as gap_low, round(p1 - p2 + sqrt((least(1, m1 + h1) - p1) ** 2 + (p2 - greatest(0, m2 - h2)) ** 2), 6) as gap_high from w""",
     "family_pairs": """with r as (select cast(doc_id // 100 as int) as day, 'D' as party, quality as g, toxic as p from labels), b as (select sum(n * (n - 1) / 2) as x from (select count(*) as n from r group by day, party, g, p)), g as (select sum(n * (n - 1) / 2) as y from (select count(*) as n from r group by day, party, g)), p as (select sum(n * (n - 1) / 2) as z from (select count(*) as n from r group by day, party, p))
       select x::bigint as "both", y::bigint as gold, z::bigint as predicted, round(x / z, 6) as precision, round(x / y, 6) as recall from b, g, p""",
-    "readiness_same_weekday": """with c as (select cast(o_orderdate as date) as day, count(*) as n from orders where o_orderdate < timestamp '1995-12-01' group by 1),
+    "readiness_same_weekday": """with c as (select cast(o_orderdate as date) as day, count(*) as n from orders group by 1),
       h as (select c.day, c.n, count(p.n) as observations, median(p.n) as lg, count(case when c.day - p.day <= 21 then p.n end) as k, median(case when c.day - p.day <= 21 then p.n end) as sh from c left join c p on c.day - p.day > 0 and c.day - p.day <= 42 and (c.day - p.day) % 7 = 0 group by 1, 2),
       e as (select day, n, observations, case when k = 3 and sh < lg then sh else lg end as expected from h)
       select *, coalesce(expected >= 20 and observations >= 2, false) as judgeable, case when not coalesce(expected >= 20 and observations >= 2, false) then true else n / nullif(expected, 0) >= 0.4 end as ready from e""",
@@ -250,3 +250,33 @@ ORACLE_SQL: dict[str, str] = {
     "vector_topk": """with q as (select vec_id as query_id, embedding as e from embeddings where vec_id % 50 = 0), s as (select query_id, vec_id, round(list_cosine_similarity(q.e::double[], x.embedding::double[]), 6) as cosine from q join embeddings x on x.vec_id <> query_id)
       select query_id, vec_id, cosine, rank::int as rank from (select *, row_number() over (partition by query_id order by cosine desc, vec_id) as rank from s) where rank <= 5""",
 }
+
+_INDEX = """mo as (select o_custkey as ngram, cast(date_trunc('month', o_orderdate) as date) as day, count(*) as units from orders group by all),
+  idx as (select ngram, max(units) as peak, min(day) filter (units = top) as peak_day, min(day) as first_day, max(day) as last_day from (select *, max(units) over (partition by ngram) as top from mo) group by ngram)"""
+ORACLE_SQL |= {
+    "phrase_index": f"with {_INDEX} select * from idx",
+    "ignition_widths": f"with {_INDEX} select cast(year(first_day) as int) as year, count(*) as n, median(least(peak_day - first_day, 900)) as width from idx where peak >= 2 and peak_day >= first_day group by 1 having count(*) >= 2",
+    "lifespans": f"with {_INDEX} select cast(year(first_day) as int) as year, count(*) as n, median(last_day - first_day) as lifespan from idx where peak >= 2 group by 1 having count(*) >= 2",
+    "sync_ceiling": f"""with {_INDEX}, act as (select year(o_orderdate) as y, count(distinct o_custkey) as active from orders group by 1)
+      select cast(y as int) as year, max(peak) as peak, round(max(peak) / max(active), 6) as ceiling from idx join act on y = year(peak_day) group by 1""",
+    "month_effect": f"""with {_INDEX}, f as (select count(*) filter (month(first_day) = 8) as i, count(*) filter (month(first_day) <> 8) as o from idx where peak >= 2),
+      b as (select sum(units) filter (month(day) = 8) as ni, sum(units) filter (month(day) <> 8) as no from mo)
+      select round(1000.0 * i / ni, 6) as inside, round(1000.0 * o / no, 6) as outside, round((1000.0 * i / ni) / (1000.0 * o / no), 6) as ratio from f, b""",
+    "ingroup_share": f"with {STM} select party, count(*) as n, count(joint_group) as joint, round(count(joint_group) / count(*), 6) as share from stm where party in ('D', 'R') group by 1",
+    "anchor_snap": """with a as (select unnest([date '1996-11-05', date '1998-11-03', date '2000-11-07']) as anchor),
+      o as (select case when o_orderpriority like '1%' then 'D' else 'R' end as party, anchor - cast(o_orderdate as date) as lead, o_orderstatus = 'F' as hit, anchor from orders, a where anchor - cast(o_orderdate as date) between 1 and 270),
+      r as (select anchor, party, count(*) filter (hit and lead <= 90) / nullif(count(*) filter (lead <= 90), 0) as pre, count(*) filter (hit and lead > 90) / nullif(count(*) filter (lead > 90), 0) as prior from o group by all)
+      select anchor, party, round(pre, 6) as pre, round(prior, 6) as prior, coalesce(pre > prior, false) as snap from r""",
+    "gravity_half_life": """with d as (select cast(o_orderdate as date) as day, year(o_orderdate) as y, count(*) as n from orders group by all),
+      p as (select y, n as peak, day as peak_day from d qualify row_number() over (partition by y order by n desc, day) = 1),
+      k as (select p.*, i from p, (select unnest(range(1, 22)) as i)),
+      low as (select k.y, min(i) as i from k left join d on d.y = k.y and d.day = k.peak_day + cast(k.i as int) where coalesce(d.n, 0) < k.peak / 2 group by 1)
+      select cast(p.y as int) as year, peak, peak_day, cast(coalesce(i, 21) as int) as half_life from p left join low using (y)""",
+    "monthly_counts": "select strftime(o_orderdate, '%Y-%m') as month, count(*) as n from orders group by 1",
+    "statement_meta": """with y as (select year(o_orderdate) as y, count(distinct o_custkey) as offices from orders group by 1)
+      select cast(y as int) as year, cast(isodow(o_orderdate) - 1 as int) as wd, count(*) as n, max(offices) as offices from orders join y on y = year(o_orderdate) group by 1, 2""",
+    "phrase_persistence": f"with {_INDEX} select ngram, count(*) as active_days, cast(max(day) - min(day) as int) as span from mo where day >= date '1996-01-01' and day < date '1998-01-01' group by 1",
+    "style_rates": f"""with {STM}, m as (select day, len(regexp_extract_all(text, ';')) as s, len(regexp_extract_all(text, '!')) as e, len(regexp_extract_all(text, '[.!?]+(\\s|$)')) as t from stm)
+      select day, case when sum(t) > 0 then round(1000.0 * sum(s) / sum(t), 6) end as semicolons, round(sum(e) / count(*), 6) as exclamations from m group by 1""",
+    "first_capitals": f"with {STM} select day, doc_id, bioguide, party from stm where regexp_matches(text, '\\b[A-Z]{{4,}}\\b') order by day, doc_id limit 1",
+}
