@@ -272,6 +272,7 @@ ORACLE_SQL |= {
       k as (select p.*, i from p, (select unnest(range(1, 22)) as i)),
       low as (select k.y, min(i) as i from k left join d on d.y = k.y and d.day = k.peak_day + cast(k.i as int) where coalesce(d.n, 0) < k.peak / 2 group by 1)
       select cast(p.y as int) as year, peak, peak_day, cast(coalesce(i, 21) as int) as half_life from p left join low using (y)""",
+    "top_by_velocity": f"with {RANKED} select * from ranked order by velocity desc, peak desc, ngram limit 50",
     "monthly_counts": "select strftime(o_orderdate, '%Y-%m') as month, count(*) as n from orders group by 1",
     "statement_meta": """with y as (select year(o_orderdate) as y, count(distinct o_custkey) as offices from orders group by 1)
       select cast(y as int) as year, cast(isodow(o_orderdate) - 1 as int) as wd, count(*) as n, max(offices) as offices from orders join y on y = year(o_orderdate) group by 1, 2""",
