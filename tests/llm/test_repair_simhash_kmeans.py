@@ -45,25 +45,29 @@ def test_repair_equals_sql(spark, long, request):
 
 
 def _brute(rows):
-    """Cheapest cost and least audit of (initial, fault) by trying every edit; at most two inserts in a row can help."""
-    ways = {("", ""): 0}  # output roles and audit -> cost
+    """Cheapest cost and least audit of (initial, fault) by trying every edit, for each sequence of roles; at most two inserts in a
+    row can help."""
+    ways = {"": (0, "")}
+
+    def more(to, roles, way):
+        to[roles] = min(to.get(roles, way), way)
+
     for initial, fault in [*rows, (None, None)]:
         for _ in range(2):
-            for (roles, audit), c in list(ways.items()):
+            for roles, (c, audit) in list(ways.items()):
                 for r in "ua":
-                    ways.setdefault((roles + r, audit + "I"), c + 2)
+                    more(ways, roles + r, (c + 2, audit + "I"))
         if initial is None:
             break
         new = {}
-        for (roles, audit), c in ways.items():
-            new[roles, audit + "D"] = c + 3
+        for roles, (c, audit) in ways.items():
+            more(new, roles, (c + 3, audit + "D"))
             if fault < 2:
-                new[roles + initial, audit + "K"] = c + fault
+                more(new, roles + initial, (c + fault, audit + "K"))
                 for r in "ua":
-                    new[roles + r, audit + "R"] = c + 2 + fault
+                    more(new, roles + r, (c + 2 + fault, audit + "R"))
         ways = new
-    fit = [(c, audit) for (roles, audit), c in ways.items() if re.fullmatch("(s?(ua)+)?", roles)]
-    return min(fit)
+    return min(way for roles, way in ways.items() if re.fullmatch("(s?(ua)+)?", roles))
 
 
 def test_layers_equal_brute_force():
