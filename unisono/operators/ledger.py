@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from unisono.functions.text import is_low_content, kept_ngrams, sentences
+from unisono.operators.grams import frequent, grams
 from unisono.params import P
 
 
@@ -14,11 +14,18 @@ def eligible(stm: DataFrame, lane: int = 1) -> DataFrame:
     return stm.where((F.col("lane") == lane) & ~F.col("syndicated") & F.col("party").isin("D", "R", "I"))
 
 
+KEYS = ["doc_id", "day", "party", "congress", "unit", "bioguide"]
+
+
 def occurrences(stm: DataFrame, lo: int = P.ngram_min, hi: int = P.ngram_max) -> DataFrame:
-    """A row for each statement and n-gram in it that is neither template nor low in content."""
-    keys = ["doc_id", "day", "party", "congress", "unit", "bioguide"]
-    rows = stm.select(*keys, sentences(F.col("text")).alias("_s")).select(*keys, F.explode(kept_ngrams(F.col("_s"), lo, hi)).alias("ngram"))
-    return rows.where(~is_low_content(F.col("ngram")))
+    """A row for each statement and n-gram in it that is neither template nor low in content, nor touches what the statement's
+    `held` spans hold back, where `stm` has them."""
+    return grams(stm, KEYS, lo, hi).drop("h")
+
+
+def frequent_occurrences(stm: DataFrame, quorum: int = P.quorum) -> DataFrame:
+    """The `occurrences` of n-grams that may reach the quorum somewhere, and of few others."""
+    return frequent(stm, KEYS, P.ngram_min, P.ngram_max, quorum)
 
 
 def cell_units(occ: DataFrame) -> DataFrame:
@@ -38,13 +45,15 @@ def df_share(occ: DataFrame, stm: DataFrame) -> DataFrame:
 
 
 def ledger(stm: DataFrame, quorum: int = P.quorum, df_max: float = P.df_share_max, uses_min: int = P.total_uses_min) -> tuple[DataFrame, DataFrame]:
-    """(phrases, daily). Pass 1 finds the n-grams that reach the quorum anywhere, pass 2 counts these alone.
-
-    Most n-grams occur once, so pass 1 shrinks the data by orders of magnitude before anything is joined.
-    """
+    """(phrases, daily); see `ledger_of`."""
     stm = eligible(stm)
-    occ = occurrences(stm)
-    occ = occ.join(candidates(occ, quorum), "ngram", "left_semi").persist()  # a small part of all; used by six aggregates
+    return ledger_of(stm, frequent_occurrences(stm, quorum), quorum, df_max, uses_min)
+
+
+def ledger_of(stm: DataFrame, occ: DataFrame, quorum: int = P.quorum, df_max: float = P.df_share_max, uses_min: int = P.total_uses_min) -> tuple[DataFrame, DataFrame]:
+    """(phrases, daily) of eligible statements and their `frequent_occurrences`, which are exact for every n-gram that reaches the
+    quorum; others among them go first."""
+    occ = occ.join(candidates(occ, quorum), "ngram", "left_semi")
     cells = cell_units(occ)
     totals = cells.groupBy("ngram").agg(F.max("units").alias("peak_units"), F.sum("units").alias("total_uses"))
     units = occ.select("ngram", "unit").distinct().groupBy("ngram").agg(F.count("*").alias("distinct_units"))
@@ -59,11 +68,12 @@ def ledger(stm: DataFrame, quorum: int = P.quorum, df_max: float = P.df_share_ma
     return phrases, cells.join(phrases.select("ngram"), "ngram", "left_semi")
 
 
-def discipline(stm: DataFrame, phrases: DataFrame) -> DataFrame:
-    """Per party and day: distinct units that use a kept phrase, at most the statements, over statements."""
+def discipline(stm: DataFrame, phrases: DataFrame, occ: DataFrame) -> DataFrame:
+    """Per party and day: distinct units that use a kept phrase, at most the statements, over statements. `occ` has the occurrences of
+    the phrases at least."""
     stm = eligible(stm)
     docs = stm.groupBy("party", "day").agg(F.count("*").alias("docs"))
-    used = occurrences(stm).join(phrases.select("ngram"), "ngram", "left_semi").select("party", "day", "unit").distinct().groupBy("party", "day").agg(F.count("*").alias("units"))
+    used = occ.join(phrases.select("ngram"), "ngram", "left_semi").select("party", "day", "unit").distinct().groupBy("party", "day").agg(F.count("*").alias("units"))
     return docs.join(used, ["party", "day"], "left").select("party", "day", "docs", F.coalesce("units", F.lit(0)).alias("units"), F.round(F.least(F.coalesce("units", F.lit(0)), "docs") / F.col("docs"), 6).alias("share"))
 
 

@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from unisono.functions import offsets as O
 from unisono.functions import text as X
 from unisono.operators import claims as C
 from unisono.operators import goldset as G
+from unisono.operators import grams as GR
 from unisono.operators import health as H
 from unisono.operators import identity as I
 from unisono.operators import ledger as L
@@ -19,7 +21,7 @@ from unisono.operators import research as S
 from unisono.operators import spans as N
 from unisono.operators import surge as U
 from unisono.operators import waves as W
-from unisono.plans.oracle import ORACLE_SQL  # noqa: F401
+from unisono.plans.oracle import HELD_FORMS, ORACLE_SQL  # noqa: F401
 from unisono.sources import tables as T
 from unisono.streaming import incremental as A
 
@@ -38,9 +40,11 @@ def _stm(spark, d) -> DataFrame:
 
 
 def _ledger(spark, d):
+    """(statements, occurrences of what may be a phrase, phrases, daily)."""
     stm = _stm(spark, d)
-    phrases, daily = L.ledger(stm)
-    return stm, phrases, daily
+    el = L.eligible(stm)
+    occ = L.frequent_occurrences(el)
+    return stm, occ, *L.ledger_of(el, occ)
 
 
 def _occ(stm: DataFrame) -> DataFrame:
@@ -70,7 +74,7 @@ def top_synchronized_entry(spark, d) -> DataFrame:
 
 @query
 def normalize_dedupe(spark, d):
-    docs = T.table(spark, d, "documents")
+    docs = T.spread(T.table(spark, d, "documents"))
     raw = docs.select("doc_id", F.concat(F.lit("https://example.test/"), "source").alias("url"), "text", F.lit("2024-01-01").alias("date"))
     return I.normalize(raw, "doc_id").select("id", "doc_id")
 
@@ -92,14 +96,14 @@ def clean_text_lengths(spark, d):
 
 @query
 def sentence_token_counts(spark, d):
-    s = T.table(spark, d, "documents").select("doc_id", F.explode(X.sentences(F.col("text"))).alias("t"))
+    s = T.spread(T.table(spark, d, "documents")).select("doc_id", F.explode(X.sentences(F.col("text"))).alias("t"))
     return s.groupBy("doc_id").agg(F.count("*").cast("int").alias("sentences"), F.sum(F.size("t")).alias("tokens"))
 
 
 @query
 def text_features(spark, d):
     f = X.text_features(F.col("text"))
-    return T.table(spark, d, "documents").select("doc_id", *(c.alias(k) for k, c in f.items())).where("words >= 20")
+    return T.spread(T.table(spark, d, "documents")).select("doc_id", *(c.alias(k) for k, c in f.items())).where("words >= 20")
 
 
 @query
@@ -107,6 +111,18 @@ def doc_ngrams_counts(spark, d):
     return T.spread(T.table(spark, d, "documents")).select("doc_id", F.size(X.doc_ngrams(F.col("text"), 3, 6)).cast("long").alias("grams")).where("grams > 0")
 
 
+@query
+def held_ngrams(spark, d):
+    """N-grams that stay when no run of tokens may touch a suppressed form, and those that went."""
+    docs = T.spread(T.table(spark, d, "documents")).select("doc_id", "text")
+    forms = {N.form_digest(f, "salt") for f in HELD_FORMS}
+    held = N.suppressed_spans(F.col("text"), forms, "salt")
+    free = GR.grams(docs.withColumn("held", held), ["doc_id"], 3, 6).groupBy("doc_id").agg(F.count("*").alias("kept"))
+    every = GR.grams(docs.withColumn("held", F.array().cast(O.SPANS)), ["doc_id"], 3, 6).groupBy("doc_id").agg(F.count("*").alias("n"))
+    kept = F.coalesce("kept", F.lit(0).cast("long"))
+    return every.join(free, "doc_id", "left").select("doc_id", kept.alias("kept"), (F.col("n") - kept).alias("dropped"))
+
+
 @query
 def lowcontent_filter(spark, d):
     g = T.spread(T.table(spark, d, "documents")).select("doc_id", X.sentences(F.col("text")).alias("s")).select("doc_id", F.explode(X.kept_ngrams(F.col("s"), 3, 6)).alias("g"))
@@ -142,61 +158,61 @@ def envelope_hashes(spark, d):
 
 @query
 def sync_candidates(spark, d):
-    return L.cell_units(_occ(_stm(spark, d))).where("units >= 3")
+    return L.cell_units(L.frequent_occurrences(L.eligible(_stm(spark, d)))).where("units >= 3")
 
 
 @query
 def ledger_phrases(spark, d):
-    return _ledger(spark, d)[1].withColumn("ties", F.array_join("ties", ","))
+    return _ledger(spark, d)[2].withColumn("ties", F.array_join("ties", ","))
 
 
 @query
 def ledger_daily(spark, d):
-    return _ledger(spark, d)[2]
+    return _ledger(spark, d)[3]
 
 
 @query
 def phrase_summary(spark, d):
-    return L.summary(_ledger(spark, d)[2])
+    return L.summary(_ledger(spark, d)[3])
 
 
 @query
 def discipline_index(spark, d):
-    stm, phrases, _ = _ledger(spark, d)
-    return L.discipline(stm, phrases)
+    stm, occ, phrases, _ = _ledger(spark, d)
+    return L.discipline(stm, phrases, occ)
 
 
 @query
 def velocity(spark, d):
-    return R.velocity(_ledger(spark, d)[2])
+    return R.velocity(_ledger(spark, d)[3])
 
 
 @query
 def top_synchronized_day(spark, d):
-    _, phrases, daily = _ledger(spark, d)
+    phrases, daily = _ledger(spark, d)[2:]
     return R.top_k(R.ranked_day(daily, phrases, FOCUS), 50)
 
 
 @query
 def top_by_party(spark, d):
-    _, phrases, daily = _ledger(spark, d)
+    phrases, daily = _ledger(spark, d)[2:]
     return R.top_by_party(R.ranked_day(daily, phrases, FOCUS), 10)
 
 
 @query
 def top_collapsed(spark, d):
-    _, phrases, daily = _ledger(spark, d)
+    phrases, daily = _ledger(spark, d)[2:]
     return R.top_k(R.collapsed(R.ranked_day(daily, phrases, FOCUS)), 50)
 
 
 @query
 def adoption_curve(spark, d):
-    return R.adoption_curve(_ledger(spark, d)[2].where("party in ('D', 'R')"), "2024-01-08")
+    return R.adoption_curve(_ledger(spark, d)[3].where("party in ('D', 'R')"), "2024-01-08")
 
 
 @query
 def adoption_exemplars(spark, d):
-    return R.exemplars(_ledger(spark, d)[2], "2024-01-20")
+    return R.exemplars(_ledger(spark, d)[3], "2024-01-20")
 
 
 @query
@@ -228,15 +244,14 @@ def duet_candidates(spark, d):
 
 @query
 def log_odds_phrases(spark, d):
-    return L.log_odds(_ledger(spark, d)[2], "case when day < date '2024-01-16' then 'early' else 'late' end")
+    return L.log_odds(_ledger(spark, d)[3], "case when day < date '2024-01-16' then 'early' else 'late' end")
 
 
 @query
 def phrase_receipts(spark, d):
-    stm, phrases, daily = _ledger(spark, d)
+    _, occ, phrases, daily = _ledger(spark, d)
     peaks = R.adoption_curve(daily.where("party in ('D', 'R')"), "2000-01-01")
-    occ = _occ(stm).join(phrases.select("ngram"), "ngram", "left_semi")
-    return R.receipts(occ, peaks).where(~F.col("unit").startswith("joint:")).drop("unit")
+    return R.receipts(occ.join(phrases.select("ngram"), "ngram", "left_semi"), peaks).where(~F.col("unit").startswith("joint:")).drop("unit")
 
 
 # ---- surges ----
@@ -294,14 +309,14 @@ def source_state_asof(spark, d):
 
 @query
 def participation(spark, d):
-    stm, phrases, _ = _ledger(spark, d)
-    return M.participation(stm, _occ(stm).join(phrases, "ngram", "left_semi"))
+    stm, occ, phrases, _ = _ledger(spark, d)
+    return M.participation(stm, occ.join(phrases, "ngram", "left_semi"))
 
 
 @query
 def concordance(spark, d):
-    stm, phrases, _ = _ledger(spark, d)
-    return M.concordance(stm, _occ(stm).join(phrases.where("peak_units >= 3"), "ngram", "left_semi"))
+    stm, occ, phrases, _ = _ledger(spark, d)
+    return M.concordance(stm, occ.join(phrases.where("peak_units >= 3"), "ngram", "left_semi"))
 
 
 @query
@@ -324,15 +339,15 @@ def symmetry_report(spark, d):
 
 @query
 def classify_phrase(spark, d):
-    stm, phrases, _ = _ledger(spark, d)
-    fam = _occ(stm).join(stm.select("doc_id", "joint_group", "id"), "doc_id").groupBy("ngram").agg(F.count_distinct(F.coalesce("joint_group", "id")).alias("families"))
+    stm, occ, phrases, _ = _ledger(spark, d)
+    fam = occ.join(stm.select("doc_id", "joint_group", "id"), "doc_id").groupBy("ngram").agg(F.count_distinct(F.coalesce("joint_group", "id")).alias("families"))
     return phrases.join(fam, "ngram").select("ngram", M.classify(F.col("ngram"), F.lit(False), F.lit(False), F.col("families")).alias("class"))
 
 
 @query
 def scaffold_reasons(spark, d):
     g = F.col("ngram")
-    return _ledger(spark, d)[1].select("ngram", F.coalesce(X.scaffold_reason(g), F.lit("")).alias("reason"), X.is_weak_label(g).alias("weak"))
+    return _ledger(spark, d)[2].select("ngram", F.coalesce(X.scaffold_reason(g), F.lit("")).alias("reason"), X.is_weak_label(g).alias("weak"))
 
 
 # ---- families, clusters, claims ----
@@ -402,7 +417,7 @@ def name_verdicts(spark, d):
 
 @query
 def suppressed_forms(spark, d):
-    forms = {N.form_digest(f, "salt") for f in ("all rights reserved", "version 2.0", "idiot")}
+    forms = {N.form_digest(f, "salt") for f in HELD_FORMS}
     s = N.suppressed_spans(F.col("text"), forms, "salt")
     return T.table(spark, d, "documents").select("doc_id", F.size(s).alias("n")).where("n > 0")
 
@@ -580,7 +595,7 @@ def first_capitals(spark, d):
 
 @query
 def top_by_velocity(spark, d):
-    _, phrases, daily = _ledger(spark, d)
+    phrases, daily = _ledger(spark, d)[2:]
     return R.top_by_velocity(R.ranked_day(daily, phrases, FOCUS), 50)
 
 

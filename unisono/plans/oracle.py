@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from unisono.functions.text import ATTRIBUTION, CONJUNCTIONS, DATELINE, STOPWORDS, STRIP, SYNDICATION, TEMPLATE, TOKEN
 from unisono.params import P
 
@@ -42,6 +44,56 @@ def grams(lo: int, hi: int) -> str:
 ), grams as (select * from raw_grams where not regexp_matches(ngram, {_q(TEMPLATE)}) and {CONTENT.format(g='ngram')} >= 2)"""
 
 
+
+
+def _masked(text: str, pattern: str) -> str:
+    """Every match blanked at its length."""
+    p = _q(pattern)
+    return f"array_to_string(list_transform(list_zip(regexp_split_to_array({text}, {p}), list_append(regexp_extract_all({text}, {p}), '')), lambda z: z[1] || repeat(' ', length(z[2])::int)), '')"
+
+
+def _placed(source: str, keys: str, text: str, token: str, name: str) -> str:
+    """Tokens of `text` with their places, from `start` (a column) on."""
+    return f"""{name}_lists as (
+  select {keys}, start, regexp_extract_all({text}, {_q(token)}) as toks, list_transform(regexp_split_to_array({text}, {_q(token)}), lambda g: length(g)) as gaps from {source}
+), {name}_flat as (
+  select {keys}, start, unnest(toks) as tok, unnest(gaps[1:len(toks)]) as gap, generate_subscripts(toks, 1) as k from {name}_lists where len(toks) > 0
+), {name} as (
+  select {keys}, k, tok, start + (sum(gap + length(tok)) over w)::bigint - length(tok) as s, start + (sum(gap + length(tok)) over w)::bigint as e
+  from {name}_flat window w as (partition by {keys} order by k)
+)"""
+
+
+HELD_FORMS = ("all rights reserved", "version 2.0", "idiot")
+_MASKS = ""
+for _i, _p in enumerate(STRIP):
+    _MASKS += f"m{_i + 1} as materialized (select doc_id, {_masked('text', _p)} as text from m{_i}), "
+_FORM_HITS = " union all ".join(
+    f"select doc_id, s, e from (select doc_id, s, lead(e, {len(f) - 1}) over (partition by doc_id order by k) as e, "
+    + " and ".join(f"lead(tok, {i}) over (partition by doc_id order by k) = {_q(w)}" for i, w in enumerate(f))
+    + " as hit from plain) where hit"
+    for f in (re.findall("[a-z0-9]+", x) for x in HELD_FORMS)
+)
+HELD = f"""m0 as (select doc_id, coalesce(text, '') as text from documents), {_MASKS}
+pieces as (
+  select doc_id, unnest(string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1))) as piece,
+    unnest(list_append(list_transform(regexp_extract_all(text, '[.!?](\\s+)', 1), lambda x: length(x)), 0)) as gap, unnest(range(len(regexp_extract_all(text, '[.!?]\\s+')) + 1)) as no
+  from m{len(STRIP)}
+), sents as (
+  select doc_id, no, piece, (sum(length(piece) + gap) over (partition by doc_id order by no))::bigint - length(piece) - gap as begin, length(regexp_extract(piece, {_q(DATELINE)})) as head from pieces
+), bodies as (select doc_id, no, lower(substr(piece, head + 1)) as body, begin + head as start from sents),
+{_placed("bodies", "doc_id, no", "body", TOKEN, "placed")},
+lows as (select doc_id, lower(coalesce(text, '')) as body, 0 as start from documents),
+{_placed("lows", "doc_id", "body", "[a-z0-9]+", "plain")},
+spans as ({_FORM_HITS}),
+lists as (select doc_id, no, list(tok order by k) as toks, list(s order by k) as ss, list(e order by k) as es from placed group by all),
+runs as (
+  select doc_id, array_to_string(toks[i + 1 : i + n], ' ') as ngram, ss[i + 1] as s, es[i + n] as e
+  from (select *, unnest(range(len(toks) - n + 1)) as i from lists cross join (select unnest(range({P.ngram_min}, {P.ngram_max + 1})) as n) where len(toks) >= n)
+), fit as (select * from runs where {CONTENT.format(g='ngram')} >= 2 and not regexp_matches(ngram, {_q(TEMPLATE)})),
+judged as (
+  select f.doc_id, ngram, bool_or(not exists (select 1 from spans p where p.doc_id = f.doc_id and p.s < f.e and p.e > f.s)) as free from fit f group by all
+)"""
 OCC = f"""{STM}, {SENT}, {grams(P.ngram_min, P.ngram_max)},
 el as (select * from stm where lane = 1 and not syndicated and party in ('D', 'R', 'I')),
 occ_all as (select g.ngram, e.* from grams g join el e using (doc_id)),
@@ -101,6 +153,7 @@ SURGE = f"""{EV}, cal as (
 
 ORACLE_SQL: dict[str, str] = {
     "normalize_dedupe": "select 'sha256:' || sha256('https://example.test/' || source || chr(10) || text) as id, min(doc_id) as doc_id from documents where trim(text) <> '' group by 1",
+    "held_ngrams": f"with {HELD} select doc_id, count(*) filter (free) as kept, count(*) filter (not free) as dropped from judged group by 1",
     "exact_joint_groups": f"with {STM} select day, count(*) as n, count(distinct bioguide) as offices, min(doc_id) as first_doc from stm where joint_group is not null group by day, folded",
     "syndication_flag": f"with {STM} select syndicated, count(*) as n from stm group by 1",
     "clean_text_lengths": f"select doc_id, length({_CLEAN})::int as n from documents",
