@@ -62,17 +62,6 @@ def test_joint_groups_and_units(spark):
     assert got["3"].unit == "C" and got["4"].unit == "4"
 
 
-def test_families_are_no_closure(spark):
-    base = [f"w{i}" for i in range(60)]
-    a = " ".join(base)
-    b = " ".join(base[:-6] + [f"x{i}" for i in range(6)])
-    c = " ".join([f"y{i}" for i in range(6)] + base[6:-6] + [f"x{i}" for i in range(6)])
-    d = dt.date(2024, 1, 1)
-    df = spark.createDataFrame([(1, d, "A", a), (2, d, "B", b), (3, d, "C", c)], "key long, day date, bioguide string, text string")
-    fam = {r.key: r.family for r in identity.families(df).collect()}
-    assert fam == {1: 1, 2: 1}
-
-
 def test_components(spark):
     e = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (9, 8)], "a long, b long")
     assert {r.id: r.component for r in identity.components(e).collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 8: 8, 9: 8}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from unisono.functions.text import TOKEN, statement_id
 from unisono.params import P
-from unisono.sources.shared import cut
+from unisono.sources.shared import cut, drop
 from unisono.sources.tables import joint_key
 
 PRIME = 4294967311
@@ -93,55 +93,26 @@ def similar_pairs(docs: DataFrame, threshold: float = P.family_jaccard, bands: i
     return scored.select("a", "b", "jaccard").unionByName(copies)
 
 
-def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
-    """(id, component): the smallest id reachable over `edges` (a, b), by minimum labels with pointer jumping.
+def components(edges: DataFrame) -> DataFrame:
+    """(id, component): the smallest id reachable over `edges` (a, b), by minimum labels with pointer jumping, until nothing changes.
 
-    Each round is checkpointed to the shared folder, so that neither the plan nor lost executors grow the work.
+    Each round is written to the shared folder, so that neither the plan nor lost executors grow the work.
     """
     both = cut(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     label = cut(both.groupBy("a").agg(F.least("a", F.min("b")).alias("c")))
-    for _ in range(rounds):
+    while True:
         seen = both.join(label.select(F.col("a").alias("b"), "c"), "b").groupBy("a").agg(F.min("c").alias("m"))
         step = label.join(seen, "a").select("a", F.least("c", "m").alias("c"))
         jump = cut(step.join(step.select(F.col("a").alias("c"), F.col("c").alias("cc")), "c", "left").select("a", F.least("c", F.coalesce("cc", "c")).alias("c")))
         same = not jump.join(label.withColumnRenamed("c", "old"), "a").where("c <> old").take(1)
+        drop(label)
         label = jump
         if same:
             break
+    drop(both)
     return label.select(F.col("a").alias("id"), F.col("c").alias("component"))
 
 
-def families(docs: DataFrame) -> DataFrame:
-    """(key, family, size, offices): near-copy families with a fixed anchor, without transitive closure.
-
-    `docs` has key, day, bioguide, text. Within a component, documents join in key order the anchor most similar to
-    them, else become one; kept are families of two documents and two offices. A component is one task's, and its
-    size is that of a group of near copies within a day and a half.
-    """
-    import pandas as pd
-
-    pairs = similar_pairs(docs.select("key", "day", "text"))
-    comp = components(pairs.select("a", "b"))
-    edges = pairs.join(comp.select(F.col("id").alias("a"), "component"), "a")
-
-    def assign(pdf: pd.DataFrame) -> pd.DataFrame:
-        sim = {(r.a, r.b): r.jaccard for r in pdf.itertuples()}
-        anchors: list = []
-        out = []
-        for k in sorted(set(pdf.a) | set(pdf.b)):
-            best = max(anchors, key=lambda a: (sim.get((a, k), 0.0), -anchors.index(a)), default=None)
-            if best is None or (best, k) not in sim:
-                anchors.append(k)
-                best = k
-            out.append((k, best))
-        return pd.DataFrame(out, columns=["key", "family"])
-
-    kind = dict(docs.dtypes)["key"]
-    member = edges.groupBy("component").applyInPandas(assign, f"key {kind}, family {kind}").join(docs.select("key", "bioguide"), "key")
-    size = member.groupBy("family").agg(F.count("*").alias("size"), F.count_distinct("bioguide").alias("offices")).where("size >= 2 and offices >= 2")
-    return member.join(size, "family").select("key", "family", "size", "offices")
-
-
 def interval_asof(facts: DataFrame, intervals: DataFrame, key: str, day: str) -> DataFrame:
     """Facts with the interval [start, end_exclusive) that holds on their day; of several the one that starts last."""
     hit = facts.join(intervals, key).where((F.col(day) >= F.col("start")) & (F.col(day) < F.col("end_exclusive")))

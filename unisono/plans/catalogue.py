@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from unisono.functions import offsets as O
 from unisono.functions import text as X
 from unisono.operators import claims as C
+from unisono.operators import families as FA
 from unisono.operators import goldset as G
 from unisono.operators import grams as GR
 from unisono.operators import health as H
@@ -373,7 +374,35 @@ def shingle_jaccard_pairs(spark, d):
 
 @query
 def document_families(spark, d):
-    return I.families(_keyed(spark, d))
+    return FA.near_families(_stm(spark, d).where("joint_group is null and bioguide is not null"))
+
+
+def _roster(stm: DataFrame) -> DataFrame:
+    """A name for each source: the word that is next by frequency in all titles, so that titles name offices."""
+    words = F.explode(F.array_distinct(F.regexp_extract_all(F.lower("title"), F.lit(FA.NAME_WORD), F.lit(0))))
+    top = stm.select(words.alias("w")).where("length(w) > 2").groupBy("w").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "w").limit(40)
+    ranked = top.withColumn("no", F.row_number().over(Window.orderBy(F.desc("n"), "w")))  # forty rows
+    offices = stm.select("bioguide").where("bioguide is not null").distinct().withColumn("no", F.expr("cast(substr(bioguide, 4) as int) % 40 + 1"))
+    return offices.join(ranked, "no").select("bioguide", F.concat(F.lit("Ann "), "w").alias("name"))
+
+
+@query
+def cosigned_groups(spark, d):
+    """Whole texts stand for titles: the first lines of these tables name nobody."""
+    stm = _stm(spark, d).where("bioguide is not null").withColumn("title", F.col("text"))
+    return FA.cosigned(stm, _roster(stm))
+
+
+@query
+def statement_families(spark, d):
+    stm = _stm(spark, d).withColumn("title", F.col("text"))
+    return FA.apply_families(stm, _roster(stm)).select("doc_id", "unit", "document_family.*")
+
+
+@query
+def family_recall(spark, d):
+    stm = _stm(spark, d)
+    return FA.recall_report(stm, stm.where("doc_id % 50 = 0"))
 
 
 @query

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -20,6 +21,14 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop(df: DataFrame) -> None:
+    """Delete the files of a table that `cut` wrote and nothing reads any more."""
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if re.search(r"/cut-[0-9a-f]{32}$", folder):
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """`df`, a table in the shared folder, to be broadcast if it has at most `rows` rows; otherwise joins exchange it."""
     return F.broadcast(df) if df.count() <= rows else df
