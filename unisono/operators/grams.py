@@ -30,8 +30,9 @@ def _word_hash(word: str) -> int:
     return int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
 
 
-def _windows(texts: pa.Array, lo: int, hi: int, least_content: int):
-    """(text, first token, n, hash, within a sentence that has a template) of the n-grams of a batch, the first of each in a text; and the tokens."""
+def _windows(texts: pa.Array, lo: int, hi: int, least_content: int, every: bool = False):
+    """(text, first token, n, hash, within a sentence that has a template) of the n-grams of a batch, the first of each in a text or
+    `every` one; the tokens, and the sentence of each and the text of each sentence."""
     sents = texts.flatten()
     tokens = sents.field("toks").flatten()
     per_sent = pc.list_value_length(sents.field("toks")).to_numpy(zero_copy_only=False)
@@ -58,20 +59,22 @@ def _windows(texts: pa.Array, lo: int, hi: int, least_content: int):
             first = first[ok]
             made.append((first, np.full(len(first), n), run[ok] ^ np.uint64(n)))
     if not made:
-        return [np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64), np.zeros(0, bool)], tokens
+        return [np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64), np.zeros(0, bool)], tokens, sent, text
     first, n, h = (np.concatenate(x) for x in zip(*made, strict=True))
     of = text[sent[first]]
+    if every:
+        return [of, first, n, h, templated[sent[first]]], tokens, sent, text
     order = np.lexsort((h, of))
     new = np.ones(len(order), bool)
     new[1:] = (of[order][1:] != of[order][:-1]) | (h[order][1:] != h[order][:-1])
     pick = order[new]
-    return [of[pick], first[pick], n[pick], h[pick], templated[sent[first[pick]]]], tokens
+    return [of[pick], first[pick], n[pick], h[pick], templated[sent[first[pick]]]], tokens, sent, text
 
 
 def _rows(keys: list[str], lo: int, hi: int, least_content: int, strings: bool, keep):
     def run(batches):
         for b in batches:
-            (text, first, n, h, templated), tokens = _windows(b.column("_s"), lo, hi, least_content)
+            (text, first, n, h, templated), tokens, _, _ = _windows(b.column("_s"), lo, hi, least_content)
             if keep is not None:
                 at = np.minimum(np.searchsorted(keep.value, h), max(0, len(keep.value) - 1))
                 some = keep.value[at] == h if len(keep.value) else np.zeros(len(h), bool)
@@ -105,6 +108,52 @@ def grams(df: DataFrame, keys: list[str], lo: int, hi: int, least_content: int =
     return out.where(~F.col("templated") | ~is_template(F.col("ngram"))).drop("templated") if strings else out
 
 
+def hashes(phrases: DataFrame) -> DataFrame:
+    """(ngram, h) of phrases; h as `grams` has it."""
+    n = phrases.agg(F.coalesce(F.max(F.size(F.split("ngram", " "))), F.lit(1))).first()[0]
+    own = phrases.select(F.col("ngram").alias("phrase"), F.array(F.struct(F.split("ngram", " ").alias("toks"), F.lit(False).alias("templated"))).alias("_s"))
+    made = own.mapInArrow(_rows(["phrase"], 1, n, 0, True, None), "phrase string, h long, ngram string, templated boolean")
+    return made.where("phrase = ngram").select("ngram", "h")
+
+
+def _places(key: str, lo: int, hi: int, keep, around):
+    def run(batches):
+        for b in batches:
+            (text, first, n, h, _), tokens, sent, of = _windows(b.column("_s"), lo, hi, 0, every=True)
+            if keep is not None:
+                at = np.minimum(np.searchsorted(keep.value, h), max(0, len(keep.value) - 1))
+                some = keep.value[at] == h if len(keep.value) else np.zeros(len(h), bool)
+                text, first, n = (x[some] for x in (text, first, n))
+            begin = np.searchsorted(sent, sent[first])
+            size = np.searchsorted(sent, sent[first], side="right") - begin
+            word = np.asarray(tokens.to_pylist(), object)
+            spans = [around(int(k - a), int(m), int(z)) for k, a, m, z in zip(first, begin, n, size, strict=True)]
+            cols = [
+                b.column(key).take(pa.array(text)),
+                pa.array((sent[first] - np.searchsorted(of, text)).astype(np.int32)),
+                pa.array((first - begin).astype(np.int32)),
+                pa.array(n.astype(np.int32)),
+                pa.array([" ".join(word[k : k + m]) for k, m in zip(first.tolist(), n.tolist(), strict=True)], pa.string()),
+                pa.array([None if s is None else " ".join(word[a + s[0] : a + s[1]]) for a, s in zip(begin.tolist(), spans, strict=True)], pa.string()),
+            ]
+            yield pa.RecordBatch.from_arrays(cols, ["key", "sentence", "at", "n", "ngram", "window"])
+
+    return run
+
+
+def places(df: DataFrame, key: str, phrases: DataFrame, lo: int, hi: int, around) -> DataFrame:
+    """Every occurrence of `phrases` (ngram) in the sentences of `text`: key, sentence, at, n (in tokens), ngram, and window, the tokens
+    that around(at, n, tokens of the sentence) names as (first, end), or null."""
+    wanted = cut(hashes(phrases))
+    keep = None  # too many to be sent: all n-grams are made, and the join picks
+    if wanted.count() <= BROADCAST_HASHES:
+        keep = df.sparkSession.sparkContext.broadcast(np.sort(wanted.select("h").toPandas().h.to_numpy(np.int64, copy=True).view(np.uint64)))
+    marked = F.transform(sentences(F.col("text")), lambda t: F.struct(t.alias("toks"), F.lit(False).alias("templated")))
+    kind = dict(df.dtypes)[key]
+    found = df.select(key, marked.alias("_s")).mapInArrow(_places(key, lo, hi, keep, around), f"key {kind}, sentence int, at int, n int, ngram string, window string")
+    return found.join(wanted.select("ngram"), "ngram", "left_semi").withColumnRenamed("key", key)
+
+
 def frequent(df: DataFrame, keys: list[str], lo: int, hi: int, quorum: int) -> DataFrame:
     """`grams` with their strings, of all n-grams that may be published by `quorum` units of one party on one day (columns unit, party,
     day), and few others; written to the shared folder.

@@ -11,6 +11,7 @@ from unisono.functions import offsets as O
 from unisono.functions import text as X
 from unisono.operators import claims as C
 from unisono.operators import families as FA
+from unisono.operators import fragments as FG
 from unisono.operators import goldset as G
 from unisono.operators import grams as GR
 from unisono.operators import health as H
@@ -405,6 +406,27 @@ def family_recall(spark, d):
     return FA.recall_report(stm, stm.where("doc_id % 50 = 0"))
 
 
+@query
+def sentence_places(spark, d):
+    return T.spread(T.table(spark, d, "documents")).select("doc_id", F.explode(O.sentence_spans(F.col("text"))).alias("s")).select("doc_id", "s.*")
+
+
+TAXONOMY = [("insult", ["idiot", "pathetic"]), ("license", ["license", "rights"]), ("person", ["anon"])]
+
+
+@query
+def statement_fragments(spark, d):
+    stm, _, phrases, _ = _ledger(spark, d)
+    return FG.fragments(stm, phrases, taxonomy=TAXONOMY).withColumn("topics", F.array_join("topics", ","))
+
+
+@query
+def phrase_quotes(spark, d):
+    stm, occ, phrases, _ = _ledger(spark, d)
+    wanted = occ.join(phrases, "ngram", "left_semi").select("doc_id", "ngram")
+    return FG.quotes(stm.withColumn("speaker", FG.surname(F.col("bioguide"))), wanted)
+
+
 @query
 def fragment_components(spark, d):
     grams = C.cluster_grams(_stm(spark, d), "doc_id").persist()

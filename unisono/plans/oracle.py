@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from unisono.functions.offsets import ABBREVIATION
 from unisono.functions.text import ATTRIBUTION, CONJUNCTIONS, DATELINE, STOPWORDS, STRIP, SYNDICATION, TEMPLATE, TOKEN
 from unisono.params import P
 
@@ -151,8 +152,23 @@ SURGE = f"""{EV}, cal as (
     row_number() over (partition by day order by p, phrase, party) as r, count(*) over (partition by day) as m from mea2
 ), bh as (select *, least(1.0, min(p * m / r) over (partition by day order by r desc rows between unbounded preceding and current row)) as q from sk)"""
 
+_CUT = "'[.!?]\\s+|\n+'"
+_BLANK = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+SENTENCES = f"""p as (
+  select doc_id, unnest(regexp_split_to_array(text, {_CUT})) as body, unnest(list_append(regexp_extract_all(text, {_CUT}), '')) as sep, unnest(range(len(regexp_extract_all(text, {_CUT})) + 1)) as no
+  from documents where text is not null
+), pp as (
+  select doc_id, no, body || case when sep[1:1] in ('.', '!', '?') then sep[1:1] else '' end as piece,
+    (sum(length(body) + length(sep)) over (partition by doc_id order by no))::bigint - length(body) - length(sep) as start from p
+), q as (select *, regexp_matches(rtrim(piece, {_BLANK}), {_q('(?i)' + ABBREVIATION.pattern.replace(chr(92) + 'b', '(?:^|[^\\pL\\pN_])'))}) as goes_on from pp where trim(piece, {_BLANK}) <> ''),
+i as (select *, sum(case when before then 0 else 1 end) over (partition by doc_id order by no) as part from (select *, coalesce(lag(goes_on) over (partition by doc_id order by no), false) as before from q)),
+spans as (
+  select doc_id, (min(start + length(piece) - length(ltrim(piece, {_BLANK}))))::int as start, (max(start + length(rtrim(piece, {_BLANK}))))::int as end_ from i group by doc_id, part
+)"""
+
 ORACLE_SQL: dict[str, str] = {
     "normalize_dedupe": "select 'sha256:' || sha256('https://example.test/' || source || chr(10) || text) as id, min(doc_id) as doc_id from documents where trim(text) <> '' group by 1",
+    "sentence_places": f'with {SENTENCES} select doc_id, start, end_ as "end" from spans',
     "held_ngrams": f"with {HELD} select doc_id, count(*) filter (free) as kept, count(*) filter (not free) as dropped from judged group by 1",
     "exact_joint_groups": f"with {STM} select day, count(*) as n, count(distinct bioguide) as offices, min(doc_id) as first_doc from stm where joint_group is not null group by day, folded",
     "syndication_flag": f"with {STM} select syndicated, count(*) as n from stm group by 1",
