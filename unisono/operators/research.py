@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from unisono.functions.stats import direction, normal_tail
-
-
-def average_rank(col: str, *by: str) -> Column:
-    """Rank from 1 with ties at their mean."""
-    w = Window.partitionBy(*by).orderBy(col)
-    return F.rank().over(w) + (F.count("*").over(Window.partitionBy(*by, col)) - 1) / 2
+from unisono.operators.ranks import row_numbers, value_ranks
+from unisono.sources.shared import cut
 
 
 def spearman(rows: DataFrame, x: str, y: str, *by: str) -> DataFrame:
-    """rho by group: null under three pairs or for a constant. Ranks need a group's rows in order."""
-    r = rows.withColumn("_x", average_rank(x, *by)).withColumn("_y", average_rank(y, *by))
-    n, mx, my = F.count("*"), F.avg("_x"), F.avg("_y")
-    cov, vx, vy = F.avg(F.col("_x") * F.col("_y")) - mx * my, F.avg(F.col("_x") ** 2) - mx**2, F.avg(F.col("_y") ** 2) - my**2
+    """rho by group: null under three pairs or for a constant. Ties have their mean rank. Equal pairs are counted before ranks are joined
+    to them, and ranks are made by ranges of values, so no group's rows are in one task."""
+    rows = rows.where(F.col(x).isNotNull() & F.col(y).isNotNull())
+    pairs = rows.groupBy(*by, x, y).agg(F.count("*").alias("_n"))
+    mean = (F.col("before") + (F.col("n") + 1) / 2).cast("double")
+    r = pairs.join(value_ranks(rows, x, by).select(*by, x, mean.alias("_x")), [*by, x]).join(value_ranks(rows, y, by).select(*by, y, mean.alias("_y")), [*by, y])
+    w = F.col("_n")
+    n = F.sum("_n")
+    avg = lambda c: F.sum(w * c) / n
+    mx, my = avg(F.col("_x")), avg(F.col("_y"))
+    cov, vx, vy = avg(F.col("_x") * F.col("_y")) - mx * my, avg(F.col("_x") ** 2) - mx**2, avg(F.col("_y") ** 2) - my**2
     return r.groupBy(*by).agg(n.alias("n"), F.when((n >= 3) & (vx > 1e-12) & (vy > 1e-12), cov / F.sqrt(F.nullif(vx, F.lit(0.0))) / F.sqrt(F.nullif(vy, F.lit(0.0)))).alias("rho"))
 
 
@@ -61,32 +64,32 @@ def did(rows: DataFrame) -> DataFrame:
 
 def mann_whitney(rows: DataFrame, group: str, value: str) -> DataFrame:
     """U of group true against false, rank-biserial r, tie-corrected z and two-sided p."""
-    r = rows.withColumn("_r", average_rank(value))
-    ties = rows.groupBy(value).agg(F.count("*").alias("t")).agg(F.sum(F.pow(F.col("t"), 3) - F.col("t")).alias("ties"))
-    a = r.agg(F.count_if(F.col(group)).cast("double").alias("n1"), F.count_if(~F.col(group)).cast("double").alias("n2"), F.sum(F.when(F.col(group), F.col("_r"))).alias("r1"))
+    v = value_ranks(rows, value, n_true=F.count_if(F.col(group)), n_false=F.count_if(~F.col(group)))
+    rank = F.col("before") + (F.col("n") + 1) / 2
+    a = v.agg(F.sum("n_true").cast("double").alias("n1"), F.sum("n_false").cast("double").alias("n2"), F.sum(F.col("n_true") * rank).alias("r1"), F.sum(F.pow(F.col("n"), 3) - F.col("n")).alias("ties"))
     u = F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2
     n = F.col("n1") + F.col("n2")
     sd = F.sqrt(F.col("n1") * F.col("n2") / 12 * (n + 1 - F.col("ties") / (n * (n - 1))))
-    out = a.join(ties).select("n1", "n2", u.alias("u"), (2 * u / (F.col("n1") * F.col("n2")) - 1).alias("r"), ((u - F.col("n1") * F.col("n2") / 2) / sd).alias("z"))
+    out = a.select("n1", "n2", u.alias("u"), (2 * u / (F.col("n1") * F.col("n2")) - 1).alias("r"), ((u - F.col("n1") * F.col("n2") / 2) / sd).alias("z"))
     return out.withColumn("p", F.least(F.lit(1.0), 2 * normal_tail(F.abs("z"))))
 
 
 def concentration(rows: DataFrame, value: str) -> DataFrame:
-    """Gini coefficient and the share of the top tenth. One ordered pass over all rows: for tables of units, not of facts."""
-    w = Window.orderBy(value)
-    r = rows.withColumn("_i", F.row_number().over(w)).withColumn("_n", F.count("*").over(Window.partitionBy()))
-    n, total = F.max("_n"), F.sum(value)
-    gini = 2 * F.sum(F.col("_i") * F.col(value)) / (n * total) - (n + 1) / n
-    top = F.sum(F.when(F.col("_i") > F.col("_n") - F.ceil(F.col("_n") / 10), F.col(value))) / total
-    return r.agg(F.round(gini, 6).alias("gini"), F.round(top, 6).alias("top_decile"))
+    """Gini coefficient and the share of the top tenth, from distinct values with their numbers."""
+    v = cut(value_ranks(rows, value))
+    n, total = v.agg(F.sum("n"), F.sum(F.col("n") * F.col(value))).first()
+    c, b, x = F.col("n"), F.col("before"), F.col(value)
+    if not n:
+        return v.select(F.lit(None).cast("double").alias("gini"), F.lit(None).cast("double").alias("top_decile")).limit(0).groupBy().agg(F.max("gini").alias("gini"), F.max("top_decile").alias("top_decile"))
+    gini = 2 * F.sum(x * (c * b + c * (c + 1) / 2)) / (n * total) - (n + 1) / n
+    in_top = F.greatest(F.lit(0), F.least(c, b + c - (n - -(-n // 10))))
+    return v.agg(F.round(gini, 6).alias("gini"), F.round(F.sum(x * in_top) / total, 6).alias("top_decile"))
 
 
 def slices(rows: DataFrame, order: list, k: int = 5) -> DataFrame:
     """Slice 0..k-1 with edges q * n div k, which is not what ntile cuts."""
-    w = Window.orderBy(*order)
-    n = F.count("*").over(Window.partitionBy())
-    i = F.row_number().over(w) - 1
-    return rows.withColumn("slice", (F.floor((k * (i + 1) - 1) / n)).cast("int"))
+    n = rows.count()
+    return row_numbers(rows, order, "_i").withColumn("slice", F.floor((k * F.col("_i") - 1) / max(1, n)).cast("int")).drop("_i")
 
 
 def same_state_pairs(rows: DataFrame, group: str, state: str) -> DataFrame:

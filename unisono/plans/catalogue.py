@@ -452,7 +452,7 @@ def verify_reasons(spark, d):
 
 @query
 def phrase_occurrences(spark, d):
-    docs = T.table(spark, d, "documents").where(F.lower("text").contains("licensed under"))
+    docs = T.spread(T.table(spark, d, "documents")).where(F.lower("text").rlike("licensed[^a-z0-9]+under"))  # tokens, whatever stands between them
     return docs.select("doc_id", F.explode(N.phrase_occurrences(F.col("text"), F.lit("licensed under"))).alias("o")).select("doc_id", "o.*")
 
 
