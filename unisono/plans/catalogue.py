@@ -17,6 +17,7 @@ from unisono.operators import grams as GR
 from unisono.operators import health as H
 from unisono.operators import identity as I
 from unisono.operators import ledger as L
+from unisono.operators import linkage as K
 from unisono.operators import measures as M
 from unisono.operators import ranking as R
 from unisono.operators import research as S
@@ -473,6 +474,57 @@ def suppressed_forms(spark, d):
     return T.table(spark, d, "documents").select("doc_id", F.size(s).alias("n")).where("n > 0")
 
 
+# ---- linkage and eras ----
+
+
+def _contest_rows(spark, d) -> DataFrame:
+    """Orders as lines of results: nations are states, segments candidates."""
+    o = T.table(spark, d, "orders").join(T.table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    return o.select(
+        F.year("o_orderdate").alias("cycle"), F.col("c_nationkey").alias("state"), (F.col("c_custkey") % 3).cast("int").alias("district"), (F.col("o_orderkey") % 7 == 0).alias("special"),
+        F.when(F.col("o_orderstatus") == "P", "GEN RUNOFF").when(F.col("o_orderstatus") == "F", "gen").when(F.col("o_orderkey") % 2 == 0, "").otherwise("primary").alias("stage"),
+        F.concat(F.lit("A. "), "c_mktsegment").alias("candidate"), F.substring("o_orderpriority", 1, 1).alias("party"), F.floor("o_totalprice").cast("long").alias("votes"),
+    )
+
+
+def _terms(spark, d) -> DataFrame:
+    names = F.array(*map(F.lit, ("BUILDING", "MACHINERY", "AUTOMOBILE", "HOUSEHOLD", "FURNITURE")))
+    k = F.col("p_partkey")
+    return T.table(spark, d, "part").select(
+        F.concat(F.lit("P"), (k % 97).cast("string")).alias("bioguide"), (k % 25).cast("int").alias("state"), (F.floor(k / 25) % 3).cast("int").alias("district"), (F.floor(k / 11) % 5 + 1).cast("string").alias("party"),
+        F.date_add(F.make_date((F.floor(k / 75) % 8 + 1995).cast("int"), F.lit(1), F.lit(3)), (k % 4).cast("int")).alias("start"), F.array(F.lit("ANN"), F.element_at(names, (k % 5 + 1).cast("int"))).alias("names"),
+    )
+
+
+@query
+def contest_margins(spark, d):
+    return K.contests(_contest_rows(spark, d))
+
+
+@query
+def contest_terms(spark, d):
+    return K.link(K.contests(_contest_rows(spark, d)), _terms(spark, d)).select(*K.SEAT, "winner", "bioguide", "matched_via", "reason")
+
+
+@query
+def contest_coverage(spark, d):
+    return K.coverage(K.link(K.contests(_contest_rows(spark, d)), _terms(spark, d)), "cycle", "special")
+
+
+@query
+def era_top_phrases(spark, d):
+    _, occ, phrases, _ = _ledger(spark, d)
+    era = F.when(F.col("day") < F.lit("2024-01-16").cast("date"), "early").otherwise("late")
+    peaks = K.era_peaks(occ.join(phrases, "ngram", "left_semi"), era, 3)
+    return K.nested(peaks, ["era", "party"], 8).select("era", "party", "rank", "ngram", "peak", "peak_day", F.size("members").cast("long").alias("members"))
+
+
+@query
+def member_index(spark, d):
+    _, occ, phrases, _ = _ledger(spark, d)
+    return K.member_index(occ.join(phrases, "ngram", "left_semi"))
+
+
 # ---- research ----
 
 

@@ -350,3 +350,48 @@ ORACLE_SQL |= {
       select day, case when sum(t) > 0 then round(1000.0 * sum(s) / sum(t), 6) end as semicolons, round(sum(e) / count(*), 6) as exclamations from m group by 1""",
     "first_capitals": f"with {STM} select day, doc_id, bioguide, party from stm where regexp_matches(text, '\\b[A-Z]{{4,}}\\b') order by day, doc_id limit 1",
 }
+
+CONTESTS = """cr as (
+  select year(o_orderdate)::int as cycle, c_nationkey as state, (c_custkey % 3)::int as district, o_orderkey % 7 = 0 as special,
+    case when o_orderstatus = 'P' then 'GEN RUNOFF' when o_orderstatus = 'F' then 'gen' when o_orderkey % 2 = 0 then '' else 'primary' end as stage,
+    'A. ' || c_mktsegment as candidate, o_orderpriority[1:1] as party, floor(o_totalprice)::bigint as votes from orders join customer on o_custkey = c_custkey
+), cs as (select *, contains(lower(stage), 'runoff') as runoff from cr where lower(stage) like '%gen%' or lower(stage) like '%runoff%' or stage = ''),
+cu as (select * from cs qualify runoff = max(runoff) over (partition by cycle, state, district, special)),
+cl as (select cycle, state, district, special, upper(candidate) as candidate, party, sum(votes)::bigint as votes from cu group by all),
+cc as (select cycle, state, district, special, candidate, sum(votes)::bigint as votes, first(party order by votes desc, party) as party from cl group by all),
+ck as (select *, row_number() over (partition by cycle, state, district, special order by votes desc, candidate) as r from cc),
+contests as (
+  select cycle, state, district, special, max(candidate) filter (r = 1) as winner, max(party) filter (r = 1) as party, max(votes) filter (r = 1) as winner_votes,
+    coalesce(max(votes) filter (r = 2), 0)::bigint as runnerup_votes, sum(votes)::bigint as total_votes,
+    round((max(votes) filter (r = 1) - coalesce(max(votes) filter (r = 2), 0)) / sum(votes), 6) as mov from ck group by all having sum(votes) > 0
+), tm as (
+  select 'P' || (p_partkey % 97) as bioguide, (p_partkey % 25)::int as state, ((p_partkey // 25) % 3)::int as district, ((p_partkey // 11) % 5 + 1)::varchar as party,
+    make_date(((p_partkey // 75) % 8 + 1995)::int, 1, 3) + (p_partkey % 4)::int as start, ['BUILDING', 'MACHINERY', 'AUTOMOBILE', 'HOUSEHOLD', 'FURNITURE'][(p_partkey % 5 + 1)::int] as name from part
+), pl as (
+  select c.*, t.bioguide, t.start, t.party = c.party as pe, t.name = split_part(c.winner, ' ', 2) as named, abs(t.start - make_date(c.cycle + 1, 1, 3)) as days
+  from contests c join tm t on t.state = c.state and t.district = c.district and (year(t.start) = c.cycle + 1 or (c.special and year(t.start) = c.cycle))
+), p1 as (select *, count(*) over w as pool, count(*) filter (named) over w as n_named from pl window w as (partition by cycle, state, district, special)),
+p2 as (select *, (n_named = 0 or named) as base, count(*) filter ((n_named = 0 or named) and pe) over (partition by cycle, state, district, special) as n_pe from p1),
+p3 as (select *, base and (n_pe = 0 or pe) as narrow from p2),
+p4 as (select *, count(*) filter (narrow) over w as n_narrow, min(days) filter (narrow) over w as best from p3 window w as (partition by cycle, state, district, special)),
+p5 as (
+  select cycle, state, district, special, any_value(pool) as pool, any_value(n_named) as n_named, any_value(n_pe) as n_pe, any_value(n_narrow) as n_narrow, count(distinct bioguide) filter (narrow and days = best) as offices,
+    min(bioguide) as only_one, min(bioguide) filter (named) as by_name, min(bioguide) filter (narrow) as by_narrow, min(bioguide) filter (narrow and days = best) as by_date from p4 group by all
+), linked as (
+  select c.*, case when pool = 1 then only_one when n_named = 1 then by_name when n_narrow = 1 then by_narrow when offices = 1 then by_date end as bioguide,
+    case when pool = 1 then 'exact' when n_named = 1 then 'name' when n_narrow = 1 then case when n_named > 0 then 'name+party' when n_pe > 0 then 'exact' else 'relaxed' end
+      when offices = 1 then case when n_named > 0 then 'name+date' when n_pe > 0 then 'date' else 'relaxed+date' end end as matched_via,
+    case when pool is null then 'no_term' when not (pool = 1 or n_named = 1 or n_narrow = 1 or offices = 1) then 'ambiguous' end as reason
+  from contests c left join p5 using (cycle, state, district, special)
+)"""
+ORACLE_SQL |= {
+    "contest_margins": f"with {CONTESTS} select * from contests",
+    "contest_terms": f"with {CONTESTS} select cycle, state, district, special, winner, bioguide, matched_via, reason from linked",
+    "contest_coverage": f"with {CONTESTS} select cycle, special, count(bioguide) as matched, count(*) - count(bioguide) as unmatched, count(*) filter (matched_via in ('relaxed', 'relaxed+date')) as relaxed, round(100 * count(bioguide) / count(*), 1) as match_pct from linked group by all",
+    "era_top_phrases": f"""with {LEDGER}, eo as (select case when day < date '2024-01-16' then 'early' else 'late' end as era, * from occ where ngram in (select ngram from phrases)),
+      ec as (select era, party, ngram, day, count(distinct unit) as peak, list(distinct unit) as members from eo group by all having count(distinct unit) >= 3),
+      eb as (select * from ec qualify row_number() over (partition by era, party, ngram order by peak desc, day) = 1),
+      left_over as (select * from eb a where not exists (select 1 from eb b where b.era = a.era and b.party = a.party and b.ngram <> a.ngram and contains(' ' || b.ngram || ' ', ' ' || a.ngram || ' ') and len(list_filter(a.members, lambda m: not list_contains(b.members, m))) = 0))
+      select era, party, rank::int as rank, ngram, peak, day as peak_day, len(members)::bigint as members from (select *, row_number() over (partition by era, party order by peak desc, ngram desc) as rank from left_over) where rank <= 8""",
+    "member_index": f"with {LEDGER} select bioguide, count(distinct ngram) as phrases, count(distinct day) as days, min(day) as first_day, max(day) as last_day from occ where ngram in (select ngram from phrases) and bioguide is not null group by 1",
+}
