@@ -26,6 +26,8 @@ from unisono.operators import surge as U
 from unisono.operators import waves as W
 from unisono.plans.oracle import HELD_FORMS, ORACLE_SQL  # noqa: F401
 from unisono.sources import tables as T
+from unisono.sources.shared import shared_folder
+from unisono.streaming import corrections as LC
 from unisono.streaming import incremental as A
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -807,20 +809,44 @@ def evidence_append_dedupe(spark, d):
     return A.append_new(have, new, ["source", "lang"])
 
 
-def _stream(spark, d, name):
+def _stream(spark, d):
     src = T.table(spark, d, "events")
     raw = A.event_stream(spark, d, src.schema, "events.parquet")
     return raw.select(F.col("event_type").alias("phrase"), F.col("user_id").cast("string").alias("unit"), F.col("ts").cast("timestamp").alias("ts"))
 
 
+def _correction_events(spark, events: DataFrame) -> DataFrame:
+    """Events of a user and a fifth of all as steps of one correction."""
+    steps = F.create_map(*(F.lit(x) for pair in zip(("view", "click", "signup", "purchase", "error"), LC.STEPS, strict=True) for x in pair))
+    severity = F.element_at(F.array(*map(F.lit, LC.POLICY)), (F.col("user_id") % 3 + 1).cast("int"))
+    return events.select(F.concat(F.lit("corr-"), F.col("user_id").cast("string"), F.lit("-"), (F.col("event_id") % 5).cast("string")).alias("correction_id"), F.col("ts").cast("timestamp").alias("ts"), F.coalesce(steps[F.col("event_type")], F.lit("detected")).alias("step"), severity.alias("severity"))
+
+
+@query
+def correction_lifecycle(spark, d):
+    """As a stream; a table gives the same, with the last event less an hour as the time that has passed."""
+    src = T.table(spark, d, "events")
+    stream = LC.lifecycle_stream(_correction_events(spark, A.event_stream(spark, d, src.schema, "events.parquet")))
+    base = shared_folder(spark)
+    A.by_batch(stream, f"{base}/rows", f"{base}/checkpoint")
+    return LC.latest(A.batches(spark, f"{base}/rows", stream.schema), "correction_id")
+
+
+@query
+def correction_table(spark, d):
+    events = _correction_events(spark, T.table(spark, d, "events"))
+    last = events.agg((F.max("ts") - F.expr("interval 1 hour")).alias("now")).first()[0]
+    return LC.lifecycle_table(events, F.lit(last))
+
+
 @query
 def stream_daily_counts(spark, d):
-    return A.drain(A.daily_units(_stream(spark, d, "daily")), "unisono_daily")
+    return A.drain(A.daily_units(_stream(spark, d)), ["day", "phrase"])
 
 
 @query
 def stream_session_bursts(spark, d):
-    return A.drain(A.session_bursts(_stream(spark, d, "sessions")), "unisono_sessions")
+    return A.drain(A.session_bursts(_stream(spark, d)), ["unit", "start", "stop"], "complete")
 
 
 @query

@@ -395,3 +395,19 @@ ORACLE_SQL |= {
       select era, party, rank::int as rank, ngram, peak, day as peak_day, len(members)::bigint as members from (select *, row_number() over (partition by era, party order by peak desc, ngram desc) as rank from left_over) where rank <= 8""",
     "member_index": f"with {LEDGER} select bioguide, count(distinct ngram) as phrases, count(distinct day) as days, min(day) as first_day, max(day) as last_day from occ where ngram in (select ngram from phrases) and bioguide is not null group by 1",
 }
+
+_STEPS = ("detected", "acknowledged", "contained", "corrected", "closed")
+_KINDS = ("view", "click", "signup", "purchase", "error")
+_REACHED = ["detected_at is not null"]
+for _a, _b in zip(_STEPS, _STEPS[1:]):
+    _REACHED.append(f"{_REACHED[-1]} and {_b}_at >= {_a}_at")
+_DUE = "detected_at + to_hours({hours}) < now and ({step}_at is null or {step}_at > detected_at + to_hours({hours}))"
+LIFECYCLE = f"""with e as (
+  select 'corr-' || user_id || '-' || (event_id % 5) as correction_id, ts, ['critical', 'major', 'minor'][(user_id % 3 + 1)::int] as severity,
+    [{', '.join(map(_q, _STEPS))}][list_position([{', '.join(map(_q, _KINDS))}], event_type)] as step from events
+), c as (
+  select correction_id, min(severity) as severity, {', '.join(f"min(ts) filter (step = {_q(s)}) as {s}_at" for s in _STEPS)}, (select max(ts) - interval 1 hour from events) as now from e group by 1
+), h as (select *, case severity when 'critical' then 1 when 'major' then 24 else 72 end as ack, case severity when 'critical' then 24 when 'major' then 72 else 336 end as cor from c)
+select correction_id, severity, {', '.join(f'{s}_at' for s in _STEPS)}, case {' '.join(f"when {r} then {_q(s)}" for s, r in reversed(list(zip(_STEPS, _REACHED))))} else 'none' end as state,
+  coalesce({_DUE.format(hours='ack', step='acknowledged')}, false) as late_acknowledge, coalesce({_DUE.format(hours='cor', step='corrected')}, false) as late_correct from h"""
+ORACLE_SQL |= {"correction_lifecycle": LIFECYCLE, "correction_table": LIFECYCLE}

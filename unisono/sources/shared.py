@@ -6,17 +6,22 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder under spark.checkpoint.dir; under one of our own only where that is unset (tests)."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp())
+    return f"{spark.sparkContext.getCheckpointDir()}/cut-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """`df` written to spark.checkpoint.dir and read again: its lineage ends, and it is computed once, where checkpoint()
     would compute it twice. A folder of our own is taken only where that is unset (tests)."""
     spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp())
-    path = f"{spark.sparkContext.getCheckpointDir()}/cut-{uuid.uuid4().hex}"
+    path = shared_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
