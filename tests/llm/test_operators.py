@@ -364,6 +364,14 @@ def test_html_states_are_no_places():
     assert html_extraction.main_text(f"<article class='post share-enabled'><p>{words}</p></article><div class='sidebar'>Also</div>", tree) == words
 
 
+@pytest.mark.parametrize("keep", ["<article class='post type-post category-legal tag-search'>{}</article>", "<main><article class='story advert-free'>{}</article></main>", "<div id='content' class='post comments-open'>{}</div>", "<main><section class='hidden-gems'>{}</section></main>", "<article id='post-1' class='status-publish has-sidebar'>{}</article>", "<div class='footer-visible'><article>{}</article></div>"])
+def test_names_that_only_hold_a_place_word_are_no_places(keep):
+    tree, words = html_extraction.train_tree(), " ".join(f"word{i}" for i in range(60))
+    parts = ["<div class='site-footer'>", "<div class='comment_list'>", "<section id='related-posts'>", "<div class='left-sidebar'>", "<div class='newsletter-box'>", "<article class='comment'>", "<ul class='menu-items'>", "<div class='Cookie-Notice'>"]
+    outside = "".join(f"{p}<p>{words}</p></{p[1:].split()[0]}>" for p in parts)
+    assert html_extraction.main_text(f"<body>{keep.format(f'<p>{words}</p>')}{outside}</body>", tree) == words
+
+
 @pytest.mark.parametrize("page", ["<a " * 300_000, '<a "' * 250_000, "<a '\"" * 200_000 + ">", "<div>" * 150_000, "</b>" * 200_000, "<script>" + "</script " * 100_000])
 def test_html_of_unclosed_tags_takes_linear_time(page):
     began = time.process_time()

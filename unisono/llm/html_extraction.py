@@ -33,6 +33,9 @@ OUTSIDE_WORDS = frozenset(
 )
 HEADER_WORDS = frozenset("header topbar".split())
 MAIN_WORDS = frozenset("article post entry content story main body".split())
+#: Words that end a name of a part's piece (comment-list, footer-links), and words that begin a name of what a post is filed under.
+PIECE_WORDS = frozenset("area aside bar block body bottom box button buttons card cards column container content form group header icons inner items left links list modal outer panel posts region right row section stories text title top unit wrap wrapper".split())
+FILED_WORDS = frozenset("tag category cat type format status topic author".split())
 #: A name with one of these says what a page or its article has, not what the element is (has-sidebar, share-enabled).
 STATE_WORDS = frozenset("has no with without show hide enabled disabled".split())
 
@@ -62,6 +65,15 @@ class Block:
         return self.linked / self.words if self.words else 0.0
 
 
+def _names(words: list[str], places: frozenset[str]) -> bool:
+    """Whether a name, by its words, is that of a place: it is or ends with one (site-footer), or begins with one and ends with a piece of
+    it (comment-list). Names of states (has-sidebar) and of what a post is filed under (tag-search) are none, nor is what only
+    begins with a place (comments-open, hidden-gems)."""
+    if not words or STATE_WORDS & set(words) or (len(words) > 1 and words[0] in FILED_WORDS):
+        return False
+    return words[-1] in places or (words[-1] in PIECE_WORDS and bool(places & set(words[:-1])))
+
+
 def _place(tag: str, attrs: str, in_main: bool) -> tuple[bool, bool]:
     """Whether an element is a part besides the article, and whether it is an article."""
     outside, main = tag in OUTSIDE, tag in MAIN
@@ -71,10 +83,11 @@ def _place(tag: str, attrs: str, in_main: bool) -> tuple[bool, bool]:
         for name, a, b, c in _ATTR.findall(attrs):
             name, value = name.lower(), a or b or c
             if name in ("class", "id"):
-                names = (set(_SPLIT.split(n)) for n in unescape(value).lower().split())
-                found = set().union(*(n for n in names if not n & STATE_WORDS))
-                if found & OUTSIDE_WORDS or (found & HEADER_WORDS and not in_main and not found & MAIN_WORDS):
-                    outside = True
+                for words in (_SPLIT.split(n.replace("_", "-")) for n in unescape(value).lower().split()):
+                    words = [w for w in words if w]
+                    if tag in MAIN and len(words) > 1:  # only a name that is one word tells what an article is
+                        continue
+                    outside |= _names(words, OUTSIDE_WORDS) or (not in_main and not MAIN_WORDS & set(words) and _names(words, HEADER_WORDS))
             elif name == "role":
                 outside |= value.strip().lower() in OUTSIDE_ROLES
                 main |= value.strip().lower() in ("main", "article")
