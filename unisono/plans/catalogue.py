@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from unisono import sql as SQ
 from unisono.functions import offsets as O
 from unisono.functions import text as X
 from unisono.operators import claims as C
@@ -19,6 +20,7 @@ from unisono.operators import identity as I
 from unisono.operators import ledger as L
 from unisono.operators import linkage as K
 from unisono.operators import measures as M
+from unisono.operators import nested as NE
 from unisono.operators import ranking as R
 from unisono.operators import research as S
 from unisono.operators import spans as N
@@ -459,6 +461,32 @@ def phrase_occurrences(spark, d):
     return docs.select("doc_id", F.explode(N.phrase_occurrences(F.col("text"), F.lit("licensed under"))).alias("o")).select("doc_id", "o.*")
 
 
+@query
+def sql_occurrences(spark, d):
+    """In SQL: a table function joined laterally."""
+    SQ.register_functions(spark)
+    docs = T.spread(T.table(spark, d, "documents"))
+    return spark.sql("select d.doc_id, o.start, o.end, o.before, o.after from {docs} d, lateral phrase_occurrences(d.text, 'licensed under', 5) o where d.text is not null", docs=docs)
+
+
+@query
+def sql_low_content(spark, d):
+    """In SQL: n-grams of each statement by what the named functions say."""
+    SQ.register_functions(spark)
+    grams = GR.grams(T.spread(T.table(spark, d, "documents")), ["doc_id"], 3, 3, least_content=0)
+    return spark.sql("select doc_id, count(*) as grams, count_if(is_low_content(ngram)) as low, sum(content_words(ngram)) as content from {grams} group by doc_id", grams=grams)
+
+
+@query
+def redacted_records(spark, d):
+    """Strings at any depth and keys, of records made of whole documents."""
+    docs = T.spread(T.table(spark, d, "documents")).where("text is not null")
+    nested = docs.select("doc_id", F.struct(F.struct("text", F.array("text", "source").alias("both")).alias("inner"), F.create_map(F.concat(F.lit("k "), "text"), F.array("source")).alias("by_key")).alias("record"))
+    out = NE.redact_rows(nested, N.redact)
+    told = F.concat_ws("|", "record.inner.text", F.array_join("record.inner.both", "|"), F.array_join(F.map_keys("record.by_key"), "|"))
+    return out.select("doc_id", "changed", F.sha2(told, 256).alias("sha"))
+
+
 @query
 def name_verdicts(spark, d):
     names = T.table(spark, d, "benchmark").select(F.lit(118).alias("congress"), F.element_at(F.split("text", r"[.\n]"), 1).alias("name"), F.col("item_id").cast("string").alias("cite"))

@@ -6,6 +6,7 @@ import re
 
 from unisono.functions.offsets import ABBREVIATION
 from unisono.functions.text import ATTRIBUTION, CONJUNCTIONS, DATELINE, STOPWORDS, STRIP, SYNDICATION, TEMPLATE, TOKEN
+from unisono.operators.surge import RANKINGS
 from unisono.params import P
 
 
@@ -411,3 +412,29 @@ LIFECYCLE = f"""with e as (
 select correction_id, severity, {', '.join(f'{s}_at' for s in _STEPS)}, case {' '.join(f"when {r} then {_q(s)}" for s, r in reversed(list(zip(_STEPS, _REACHED))))} else 'none' end as state,
   coalesce({_DUE.format(hours='ack', step='acknowledged')}, false) as late_acknowledge, coalesce({_DUE.format(hours='cor', step='corrected')}, false) as late_correct from h"""
 ORACLE_SQL |= {"correction_lifecycle": LIFECYCLE, "correction_table": LIFECYCLE}
+
+_TOKS = f"""lows as (select doc_id, lower(text) as body, 0 as start from documents where text is not null),
+{_placed("lows", "doc_id", "body", TOKEN, "words")},
+wl as (select doc_id, list(tok order by k) as toks, list(s order by k) as ss, list(e order by k) as es from words group by 1),
+hits as (select *, unnest(list_filter(range(1, len(toks)), lambda i: toks[i] = 'licensed' and toks[i + 1] = 'under')) as i from wl),
+occs as (select doc_id, ss[i]::int as start, es[i + 1]::int as end_, toks[greatest(1, i - 5):i - 1] as l, toks[i + 2:i + 6] as r from hits)"""
+_PREFIX = "substr(text, 1, start)"
+_REDACTED = ORACLE_SQL["redact_spans"].split("sha256(", 1)[1].rsplit(") as sha", 1)[0]
+_KEYED = _REDACTED.replace("(text,", "('k ' || text,", 1)
+ORACLE_SQL |= {
+    "phrase_occurrences": f"""with {_TOKS} select doc_id, start, end_ as "end", array_to_string(l, ' ') as before, array_to_string(r, ' ') as after,
+      (length({_PREFIX}) - length(replace(replace(replace({_PREFIX}, '"', ''), '“', ''), '”', ''))) % 2 = 1 as quoted, list_has_any(l[-3:], ['not', 'never', 'no']) as negated from occs join documents using (doc_id)""",
+    "sql_occurrences": f"""with {_TOKS} select doc_id, start, end_ as "end", array_to_string(l, ' ') as before, array_to_string(r, ' ') as after from occs""",
+    "sql_low_content": f"""with {SENT}, g as (select distinct doc_id, array_to_string(toks[i + 1 : i + 3], ' ') as ngram from (select doc_id, toks, unnest(range(len(toks) - 2)) as i from sent where len(toks) >= 3)),
+      c as (select doc_id, {CONTENT.format(g='ngram')} as n from g where not regexp_matches(ngram, {_q(TEMPLATE)})) select doc_id, count(*) as grams, count(*) filter (n < 2) as low, sum(n)::bigint as content from c group by 1""",
+    "redacted_records": f"""select doc_id, {_REDACTED} <> text as changed, sha256({_REDACTED} || '|' || {_REDACTED} || '|' || source || '|' || {_KEYED}) as sha from documents where text is not null""",
+    "density_matched": "select doc_id, lang from (select doc_id, lang, row_number() over (partition by lang order by sha256('seed|' || doc_id)) as r from documents) where r <= (select min(n) from (select count(*) as n from documents group by lang))",
+    "gold_seal": "with h as (select sha256('seed' || chr(10) || doc_id || chr(10) || coalesce(lang, '') || chr(10) || coalesce(source, '')) as h from documents) select count(*) as rows, sha256(count(*) || ':' || "
+    + " || ':' || ".join(f"sum(('0x' || h[{1 + 8 * i}:{8 + 8 * i}])::bigint)" for i in range(8))
+    + ") as seal from h",
+}
+_RANKS = " union all ".join(
+    f"select {_q(name)} as ranking, day, phrase, party, rank::int as rank from (select *, row_number() over (partition by day order by {', '.join([*keys, 'phrase', 'party'])}) as rank from sg where {cond}) where rank <= 50"
+    for name, (cond, keys) in RANKINGS.items()
+)
+ORACLE_SQL |= {"surge_rankings": f"with {SURGE}, sg as (select *, change >= {P.surge_change} and ratio >= {P.surge_ratio} and q <= {P.surge_q} as surge from bh) {_RANKS}"}
