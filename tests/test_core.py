@@ -3,16 +3,17 @@
 import datetime as dt
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from unisono.functions import stats
 from unisono.functions import text as X
-from unisono.operators import goldset, health, identity, ranking, research, spans, waves
+from unisono.operators import goldset, health, identity, ranking, ranks, research, spans, vectors, waves
 from unisono.plans.catalogue import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
-FAST = ["normalize_dedupe", "text_features", "sentence_token_counts", "surge_bh", "overdispersion", "kappa_alpha", "streak_runs", "readiness_same_weekday", "strat_sample_hash", "vector_topk", "redact_spans", "ignition_widths", "lifespans", "sync_ceiling", "month_effect", "anchor_snap", "gravity_half_life", "statement_meta", "phrase_persistence", "style_rates", "first_capitals"]
+FAST = ["normalize_dedupe", "text_features", "sentence_token_counts", "surge_bh", "overdispersion", "kappa_alpha", "streak_runs", "readiness_same_weekday", "strat_sample_hash", "vector_topk", "redact_spans", "ignition_widths", "lifespans", "sync_ceiling", "month_effect", "anchor_snap", "gravity_half_life", "statement_meta", "phrase_persistence", "style_rates", "first_capitals", "bootstrap_gap", "contest_terms", "contest_coverage", "sentence_places", "held_ngrams", "phrase_occurrences", "gold_seal", "density_matched", "redacted_records", "correction_table", "surge_rankings", "era_top_phrases", "spearman_rho", "mann_whitney", "gini_top_decile", "quintile_slices"]
 
 
 def _rows(df):
@@ -26,7 +27,7 @@ def _rows(df):
 @pytest.mark.parametrize("name", FAST)
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in "customer orders lineitem nation events documents embeddings pages labels".split():
+    for t in "customer orders lineitem nation events documents embeddings pages labels part".split():
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     got, want = QUERIES[name](spark, SF).toPandas(), con.sql(ORACLE_SQL[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
@@ -162,3 +163,36 @@ def test_gravity_ends_at_a_missing_day(spark):
     got = waves.gravity(spark.createDataFrame(days, "day string, n long").select(F.to_date("day").alias("day"), "n")).orderBy("year").collect()
     assert [(r.year, r.peak, r.half_life) for r in got] == [(2020, 10, 3), (2021, 4, 1)]
     assert waves.gravity(spark.createDataFrame([], "day date, n long")).count() == 0
+
+
+@pytest.mark.parametrize("limit", [0, 32 << 20])
+def test_nearest_vectors(spark, limit, monkeypatch):
+    """By broadcast and on a grid of groups; ties, a repeated row, vectors that take no part."""
+    monkeypatch.setattr(vectors, "BROADCAST_BYTES", limit)
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.integers(-2, 3, 4).astype(float).tolist()) for i in range(60)]
+    rows += [rows[5], (100, None), (101, []), (102, [0.0] * 4), (103, [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "id long, v array<double>").repartition(5)
+    got = {}
+    for r in vectors.nearest(df, df.where("id % 10 = 0"), 4).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.cosine))
+    usable = [(i, np.array(v)) for i, v in rows if v and len(v) == 4 and any(v)]
+    for q, v in usable:
+        if q % 10 == 0:
+            score = sorted((-round(float(v @ w / np.sqrt((v @ v) * (w @ w))), 6), i) for i, w in usable if i != q)
+            assert [(i, -s) for s, i in score[:4]] == [(i, pytest.approx(c, abs=2e-6)) for i, c in got[q]]
+    assert set(got) == {q for q, _ in usable if q % 10 == 0}
+
+
+def test_running_sums_and_ranks(spark):
+    rng = np.random.default_rng(2)
+    rows = [(int(g), int(v)) for g, v in zip(rng.integers(0, 3, 300), rng.integers(0, 20, 300), strict=True)] + [(1, None)]
+    df = spark.createDataFrame(rows, "g int, v int").repartition(6)
+    ranks_of = {(r.g, r.v): (r.n, r.before) for r in ranks.value_ranks(df, "v", ("g",)).collect()}
+    for (g, v), (n, before) in ranks_of.items():
+        mine = [b for a, b in rows if a == g and b is not None]
+        assert (n, before) == (mine.count(v), sum(b < v for b in mine))
+    assert len(ranks_of) == len({r for r in rows if r[1] is not None})
+    numbered = ranks.row_numbers(df.where("v is not null"), ["v", "g"], "i").orderBy("i").collect()
+    assert [r.i for r in numbered] == list(range(1, 301)) and [(r.v, r.g) for r in numbered] == sorted((v, g) for g, v in rows if v is not None)
+    assert ranks.value_ranks(df.where("false"), "v").count() == 0

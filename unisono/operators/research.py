@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -112,13 +114,42 @@ def density_matched(rows: DataFrame, cell: str, key: str, seed: str) -> DataFram
     return rows.withColumn("_r", F.row_number().over(w)).join(F.broadcast(size)).where("_r <= _least").drop("_r", "_least")
 
 
+PRIME = 2147483647
+POISSON = (0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015, 0.99940582)  # chances of at most 0, 1, 2, ... at a mean of one
+
+
+def _resampled(draws: int):
+    """Weighted sums of both cells for every draw, over the rows of a task."""
+
+    def run(batches):
+        total = np.zeros((4, draws))
+        d = np.arange(draws, dtype=np.uint64)[None, :]
+        p = np.uint64(PRIME)
+        for b in batches:
+            for at in range(0, b.num_rows, 1024):  # bounds the matrices
+                part = b.slice(at, 1024)
+                key = (part.column("key").to_numpy(zero_copy_only=False).astype(np.int64) % PRIME).astype(np.uint64)[:, None]
+                x = (key * np.uint64(48271) + d * np.uint64(69621) + np.uint64(12345)) % p
+                x = (x * x + key) % p
+                x = (x * x + d) % p
+                weight = sum((x >= np.uint64(int(c * PRIME))).astype(np.float64) for c in POISSON)
+                value = part.column("value").to_numpy(zero_copy_only=False).astype(np.float64)
+                cell = part.column("cell").to_numpy(zero_copy_only=False).astype(bool)
+                for k, mine in ((0, cell), (2, ~cell)):
+                    total[k] += value[mine] @ weight[mine]
+                    total[k + 1] += weight[mine].sum(axis=0)
+        yield pa.RecordBatch.from_pydict({"draw": pa.array(np.arange(draws), pa.int64())} | {n: pa.array(t) for n, t in zip(("sx", "wx", "sy", "wy"), total, strict=True)})
+
+    return run
+
+
 def bootstrap_gap(rows: DataFrame, cell: str, value: str, key: str, draws: int = 200) -> DataFrame:
-    """Percentile interval of the gap of cell means; resampling weights are Poisson(1) from hashes, so that draws need no order."""
-    u = F.pmod(F.xxhash64("draw", key), F.lit(1 << 30)) / (1 << 30)
-    weight = sum(((u >= c).cast("int") for c in (0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015, 0.99940582)), F.lit(0))
-    many = rows.select(cell, value, key).crossJoin(F.broadcast(rows.sparkSession.range(draws).withColumnRenamed("id", "draw"))).withColumn("_w", weight)
-    means = many.groupBy("draw").agg(*(F.try_divide(F.sum(F.when(F.col(cell) == c, F.col("_w") * F.col(value))), F.sum(F.when(F.col(cell) == c, F.col("_w")))).alias(n) for c, n in ((True, "x"), (False, "y"))))
-    return means.agg(F.percentile(F.col("x") - F.col("y"), 0.025).alias("low"), F.percentile(F.col("x") - F.col("y"), 0.975).alias("high"))
+    """Percentile interval of the gap of cell means. Resampling weights are Poisson(1), from a hash of key (a whole number) and draw, so that draws
+    need no order; all of them are summed in one pass, and a task sends one row for each draw. Rows without cell, value or key are left out."""
+    narrow = rows.select(F.col(cell).alias("cell"), F.col(value).cast("double").alias("value"), F.col(key).cast("long").alias("key")).where("cell is not null and value is not null and key is not null")
+    sums = narrow.mapInArrow(_resampled(draws), "draw long, sx double, wx double, sy double, wy double").groupBy("draw").agg(*(F.sum(c).alias(c) for c in ("sx", "wx", "sy", "wy")))
+    gap = F.try_divide("sx", "wx") - F.try_divide("sy", "wy")
+    return sums.agg(F.round(F.percentile(gap, 0.025), 6).alias("low"), F.round(F.percentile(gap, 0.975), 6).alias("high"))
 
 
 def conversion(concerns: DataFrame, acts: DataFrame, horizon: int = 180, overlap: int = 2) -> DataFrame:

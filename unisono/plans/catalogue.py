@@ -25,6 +25,7 @@ from unisono.operators import ranking as R
 from unisono.operators import research as S
 from unisono.operators import spans as N
 from unisono.operators import surge as U
+from unisono.operators import vectors as V
 from unisono.operators import waves as W
 from unisono.plans.oracle import HELD_FORMS, ORACLE_SQL  # noqa: F401
 from unisono.sources import tables as T
@@ -879,10 +880,5 @@ def stream_session_bursts(spark, d):
 
 @query
 def vector_topk(spark, d):
-    e = T.table(spark, d, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
-    e = e.withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)))
-    q = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("v").alias("qv"), F.col("norm").alias("qn"))
-    dot = F.aggregate(F.zip_with("v", "qv", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
-    s = e.join(F.broadcast(q), F.col("vec_id") != F.col("query_id")).select("query_id", "vec_id", F.round(dot / (F.col("norm") * F.col("qn")), 6).alias("cosine"))
-    w = Window.partitionBy("query_id").orderBy(F.desc("cosine"), "vec_id")
-    return s.withColumn("rank", F.row_number().over(w)).where("rank <= 5")
+    e = T.table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    return V.nearest(e, e.where("id % 50 = 0"), 5)

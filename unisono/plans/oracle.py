@@ -6,6 +6,7 @@ import re
 
 from unisono.functions.offsets import ABBREVIATION
 from unisono.functions.text import ATTRIBUTION, CONJUNCTIONS, DATELINE, STOPWORDS, STRIP, SYNDICATION, TEMPLATE, TOKEN
+from unisono.operators.research import POISSON, PRIME
 from unisono.operators.surge import RANKINGS
 from unisono.params import P
 
@@ -438,3 +439,10 @@ _RANKS = " union all ".join(
     for name, (cond, keys) in RANKINGS.items()
 )
 ORACLE_SQL |= {"surge_rankings": f"with {SURGE}, sg as (select *, change >= {P.surge_change} and ratio >= {P.surge_ratio} and q <= {P.surge_q} as surge from bh) {_RANKS}"}
+_HASHED = f"((({{x}}) * ({{x}}) + {{y}}) % {PRIME})"
+_DRAWS = f"""with r as (select c_nationkey % 2 = 0 as cell, c_acctbal as v, c_custkey as key, d from customer, range(500) t(d)),
+a as (select *, (key * 48271 + d * 69621 + 12345) % {PRIME} as x from r), b as (select *, {_HASHED.format(x='x', y='key')} as x2 from a), c as (select *, {_HASHED.format(x='x2', y='d')} as x3 from b),
+w as (select *, {' + '.join(f'(x3 >= {int(c * PRIME)})::int' for c in POISSON)} as w from c),
+g as (select d, sum(v * w) filter (cell) / sum(w) filter (cell) - sum(v * w) filter (not cell) / sum(w) filter (not cell) as gap from w group by d)
+select round(quantile_cont(gap, 0.025), 6) as low, round(quantile_cont(gap, 0.975), 6) as high from g"""
+ORACLE_SQL |= {"bootstrap_gap": _DRAWS}
