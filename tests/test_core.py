@@ -196,3 +196,17 @@ def test_running_sums_and_ranks(spark):
     numbered = ranks.row_numbers(df.where("v is not null"), ["v", "g"], "i").orderBy("i").collect()
     assert [r.i for r in numbered] == list(range(1, 301)) and [(r.v, r.g) for r in numbered] == sorted((v, g) for g, v in rows if v is not None)
     assert ranks.value_ranks(df.where("false"), "v").count() == 0
+
+
+def test_eligible_offices_by_month(spark):
+    """Against a scan: intervals within a month, over years, open ones, non-voting ones, days at their edges."""
+    from unisono.operators import measures
+
+    d = dt.date
+    spans_ = [("a", d(2020, 1, 1), d(2020, 1, 31)), ("b", d(2019, 5, 3), d(2021, 2, 1)), ("c", d(2020, 1, 31), d(2020, 2, 1)), ("e", None, d(2021, 1, 1)), ("f", d(2020, 1, 1), None), ("g", d(2020, 2, 1), d(2020, 2, 1)), ("h", d(2020, 1, 1), d(2022, 1, 1))]
+    iv = spark.createDataFrame([(o, s, e, "D", "none" if o == "h" else None) for o, s, e in spans_], "bioguide string, start date, end_exclusive date, party string, voting_status string")
+    days = [d(2019, 5, 2), d(2020, 1, 30), d(2020, 1, 31), d(2020, 2, 1), d(2021, 1, 31), d(2021, 2, 1)]
+    got = {r.day: r.eligible for r in measures.eligible_offices(spark.createDataFrame([(x,) for x in days], "day date"), iv).collect()}
+    want = {x: sum(1 for o, s, e in spans_ if s and e and o != "h" and s <= x < e) for x in days}
+    assert got == {k: v for k, v in want.items() if v}
+    assert measures.eligible_offices(spark.createDataFrame([], "day date"), iv).count() == 0
