@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_map, materialize, read_table, remove
+from .common import arrow_map, materialize, read_table, remove, small_batches
 
 K = 40
 ROUNDS = 5
@@ -186,7 +186,10 @@ def ball_kmeans(rows: DataFrame, id_col: str, vector_col: str, k: int = K, round
         centroids = moved
         if still:  # further rounds would change nothing
             break
-    return Clusters(materialize(blocks.mapInArrow(_final(centroids), "vec_id long, cluster int, distance long")), centroids.tolist())
+    members = materialize(blocks.mapInArrow(_final(centroids), "vec_id long, cluster int, distance long"))
+    remove(blocks)
+    small_batches(spark)
+    return Clusters(members, centroids.tolist())
 
 
 def op13_ball_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
