@@ -20,6 +20,7 @@ from unisono.operators import identity as I
 from unisono.operators import ledger as L
 from unisono.operators import linkage as K
 from unisono.operators import measures as M
+from unisono.operators import names as NA
 from unisono.operators import nested as NE
 from unisono.operators import ranking as R
 from unisono.operators import research as S
@@ -488,14 +489,24 @@ def redacted_records(spark, d):
     return out.select("doc_id", "changed", F.sha2(told, 256).alias("sha"))
 
 
+def _names(spark, d) -> DataFrame:
+    """First sentences of benchmark items as names."""
+    return NA.dictionary(T.table(spark, d, "benchmark").select(F.lit(118).alias("congress"), F.element_at(F.split("text", r"[.\n]"), 1).alias("name"), F.col("item_id").cast("string").alias("cite")), 118)
+
+
+@query
+def name_runs(spark, d):
+    return NA.name_runs(T.table(spark, d, "documents"), _names(spark, d)).select("doc_id", F.explode("runs").alias("r")).select("doc_id", "r.*")
+
+
 @query
 def name_verdicts(spark, d):
-    names = T.table(spark, d, "benchmark").select(F.lit(118).alias("congress"), F.element_at(F.split("text", r"[.\n]"), 1).alias("name"), F.col("item_id").cast("string").alias("cite"))
-    index = N.name_index(names, 118)
-    grams = spark.createDataFrame([(n,) for n in sorted({" ".join(t[i : i + 3]) for v in index.values() for t, _ in v for i in range(max(1, len(t) - 2))})], "ngram string")
-    docs = T.table(spark, d, "documents")
-    hit = docs.select("doc_id", F.explode(X.doc_ngrams(F.col("text"), 3, 3)).alias("ngram")).join(F.broadcast(grams), "ngram")
-    return N.verdicts(docs, hit, index)
+    """Runs of three words of names, in the documents that have them."""
+    docs, names = T.table(spark, d, "documents"), _names(spark, d)
+    w = F.split("name", " ")
+    grams = names.where(F.size(w) >= 3).select(F.explode(F.transform(F.sequence(F.lit(1), F.size(w) - 2), lambda i: F.array_join(F.slice(w, i, 3), " "))).alias("ngram")).distinct()
+    hit = docs.select("doc_id", F.explode(X.doc_ngrams(F.col("text"), 3, 3)).alias("ngram")).join(grams, "ngram")
+    return NA.verdicts(docs, hit, NA.name_runs(docs, names))
 
 
 @query

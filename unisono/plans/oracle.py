@@ -446,3 +446,26 @@ w as (select *, {' + '.join(f'(x3 >= {int(c * PRIME)})::int' for c in POISSON)}
 g as (select d, sum(v * w) filter (cell) / sum(w) filter (cell) - sum(v * w) filter (not cell) / sum(w) filter (not cell) as gap from w group by d)
 select round(quantile_cont(gap, 0.025), 6) as low, round(quantile_cont(gap, 0.975), 6) as high from g"""
 ORACLE_SQL |= {"bootstrap_gap": _DRAWS}
+
+_A_YEAR = "regexp_full_match(coalesce(toks[{i}], ''), '(19|20)[0-9]{{2}}')"
+NAMES = f"""nm0 as (select regexp_extract_all(lower(regexp_split_to_array(text, '[.\n]')[1]), {_q(TOKEN)}) as t, cast(item_id as varchar) as cite from benchmark),
+nm as (select array_to_string(t, ' ') as name, min(cite) as cite, len(t) as n, any_value(t) as t from nm0 where len(t) > 0 and cite is not null group by 1, 3),
+dt as (select doc_id, regexp_extract_all(lower(text), {_q(TOKEN)}) as toks from documents where text is not null),
+nw as (select doc_id, toks, n, unnest(range(len(toks) - n + 1))::int as i from dt cross join (select distinct n from nm) where len(toks) >= n),
+nh as (select doc_id, i as first, nw.n::int as n, cite,
+    case when toks[i + nw.n + 1] = 'of' and {_A_YEAR.format(i="i + nw.n + 2")} then 2 when {_A_YEAR.format(i="i + nw.n + 1")} then 1 else 0 end as year
+  from nw join nm on nm.n = nw.n and nm.name = array_to_string(toks[i + 1 : i + nw.n], ' ')),
+nl as (select doc_id, list({{'free': first + n + year, 'runs': [{{'first': first, 'last': first + n + year - 1, 'cite': cite}}]}} order by first, n desc) as xs from nh group by 1),
+nr as (select doc_id, list_reduce(xs, lambda a, x: case when x.runs[1].first >= a.free then {{'free': x.free, 'runs': list_concat(a.runs, x.runs)}} else a end) as z from nl),
+nruns as (select doc_id, r.first as first, r.last as last, r.cite as cite from (select doc_id, unnest(z.runs) as r from nr))"""
+ORACLE_SQL |= {
+    "name_runs": f"with {NAMES} select * from nruns",
+    "name_verdicts": f"""with {SENT}, {grams(3, 3)}, {NAMES}, ng as (select distinct array_to_string(t[j + 1 : j + 3], ' ') as ngram from (select t, unnest(range(len(t) - 2)) as j from nm where len(t) >= 3)),
+      wanted as (select doc_id, ngram from raw_grams where ngram in (select ngram from ng)),
+      o as (select doc_id, i, i + 2 as b, array_to_string(toks[i + 1 : i + 3], ' ') as ngram, i + coalesce(list_position(list_transform(toks[i + 1 : i + 3], lambda t: not list_contains({_list(STOPWORDS)}, t)), true), 1) - 1 as a
+        from (select doc_id, toks, unnest(range(len(toks) - 2)) as i from dt where len(toks) >= 3)),
+      j as (select o.doc_id, o.ngram, o.i, coalesce(bool_or((r.first <= a and r.last >= b) or (r.first < a and a <= r.last and r.last < b) or (a < r.first and r.first <= b and b < r.last)), false) as hit, min(r.cite) as cite
+        from o join wanted using (doc_id, ngram) left join nruns r on r.doc_id = o.doc_id and r.first <= o.b and r.last >= o.i group by all),
+      per as (select doc_id, ngram, bool_and(hit) as ok, min(cite) as cite from j group by all)
+      select ngram, count(*) as docs, count(*) filter (ok) as name_docs, min(cite) filter (ok) as cite, round(count(*) filter (ok) / count(*), 6) as ratio, count(*) filter (ok) / count(*) >= {P.nomenclature_ratio} as tagged from per group by 1""",
+}
