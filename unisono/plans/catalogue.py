@@ -11,6 +11,7 @@ from unisono import sql as SQ
 from unisono.functions import offsets as O
 from unisono.functions import text as X
 from unisono.operators import claims as C
+from unisono.operators import contract as CO
 from unisono.operators import families as FA
 from unisono.operators import fragments as FG
 from unisono.operators import goldset as G
@@ -28,9 +29,10 @@ from unisono.operators import spans as N
 from unisono.operators import surge as U
 from unisono.operators import vectors as V
 from unisono.operators import waves as W
+from unisono.params import P
 from unisono.plans.oracle import HELD_FORMS, ORACLE_SQL  # noqa: F401
 from unisono.sources import tables as T
-from unisono.sources.shared import shared_folder
+from unisono.sources.shared import cut, shared_folder
 from unisono.streaming import corrections as LC
 from unisono.streaming import incremental as A
 
@@ -457,6 +459,41 @@ def verify_reasons(spark, d):
     return C.verify(claims).select("component", "gram", F.array_join("reasons", ",").alias("reasons"))
 
 
+def _claims(spark, d):
+    """(statements, members): a claim for each day and party on which a phrase reaches the quorum, with the statements that have it."""
+    stm, occ, _, daily = _ledger(spark, d)
+    key = F.concat_ws("|", "ngram", F.date_format("day", "yyyy-MM-dd"), "party")
+    cells = daily.where(F.col("units") >= P.quorum).select("ngram", "day", "party")
+    members = occ.join(cells, ["ngram", "day", "party"], "left_semi").select(key.alias("claim_id"), F.col("ngram").alias("phrase"), "doc_id").distinct()
+    return stm, cut(members)
+
+
+@query
+def canonical_claims(spark, d):
+    stm, members = _claims(spark, d)
+    carrying = CO.carrying_units(members, stm)
+    return CO.canonical(CO.occurrences(members, stm)).join(carrying, "claim_id", "left").select("claim_id", "support_text", "support_occurrence_id", *CO.IDENTITIES, F.coalesce("carrying", F.lit(0)).alias("carrying"))
+
+
+@query
+def claim_checks(spark, d):
+    """Claims of the ledger, seven eighths of them with a fault each: version, text, places, a statement, number, an office, quote."""
+    stm, members = _claims(spark, d)
+    occ = cut(CO.occurrences(members, stm))
+    fault = F.conv(F.substring(F.md5("claim_id"), 1, 2), 16, 10).cast("int") % 8
+    on = lambda k, broken, c: F.when(fault == k, broken).otherwise(F.col(c)).alias(c)
+    claims = CO.canonical(occ)
+    changed = {"schema_version": (1, F.lit(1)), "support_text": (2, F.lit("")), "member_count": (5, F.col("member_count") + 1), "display_quote": (7, F.concat("display_quote", F.lit("!")))}
+    broken = claims.select(*(on(*changed[c], c) if c in changed else F.col(c) for c in claims.columns))
+    moved = occ.withColumn("start", on(3, F.col("start") + 1, "start"))
+    least = members.groupBy("claim_id").agg(F.min("doc_id").alias("doc_id")).where(fault == 4)
+    ids = CO.claim_ids(occ)
+    lost = ids.where((F.col("kind") == "offices") & (fault == 6)).groupBy("claim_id", "kind").agg(F.min("identity").alias("identity"))
+    failed = CO.failures(broken, moved, members.join(least, ["claim_id", "doc_id"], "left_anti"), ids.join(lost, ["claim_id", "kind", "identity"], "left_anti"), stm)
+    shown = occ.select("claim_id", "doc_id", F.when(fault == 7, F.concat("surface", F.lit("!!"))).otherwise(F.col("surface")).alias("fragment"))
+    return CO.verify_claims(broken, members, stm, shown, failed).select("claim_id", "carrying", F.array_join("reasons", ",").alias("reasons"))
+
+
 @query
 def phrase_occurrences(spark, d):
     docs = T.spread(T.table(spark, d, "documents")).where(F.lower("text").rlike("licensed[^a-z0-9]+under"))  # tokens, whatever stands between them

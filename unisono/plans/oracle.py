@@ -451,10 +451,12 @@ _A_YEAR = "regexp_full_match(coalesce(toks[{i}], ''), '(19|20)[0-9]{{2}}')"
 NAMES = f"""nm0 as (select regexp_extract_all(lower(regexp_split_to_array(text, '[.\n]')[1]), {_q(TOKEN)}) as t, cast(item_id as varchar) as cite from benchmark),
 nm as (select array_to_string(t, ' ') as name, min(cite) as cite, len(t) as n, any_value(t) as t from nm0 where len(t) > 0 and cite is not null group by 1, 3),
 dt as (select doc_id, regexp_extract_all(lower(text), {_q(TOKEN)}) as toks from documents where text is not null),
-nw as (select doc_id, toks, n, unnest(range(len(toks) - n + 1))::int as i from dt cross join (select distinct n from nm) where len(toks) >= n),
-nh as (select doc_id, i as first, nw.n::int as n, cite,
-    case when toks[i + nw.n + 1] = 'of' and {_A_YEAR.format(i="i + nw.n + 2")} then 2 when {_A_YEAR.format(i="i + nw.n + 1")} then 1 else 0 end as year
-  from nw join nm on nm.n = nw.n and nm.name = array_to_string(toks[i + 1 : i + nw.n], ' ')),
+tk as (select doc_id, unnest(toks) as tok, generate_subscripts(toks, 1)::int as k from dt),
+tw as (select *, lead(tok, 1) over w as t2, lead(tok, 2) over w as t3 from tk window w as (partition by doc_id order by k)),
+nc as (select tw.doc_id, k, name, cite, nm.n::int as n from tw join nm on tok = t[1] and t2 = t[2] where nm.n > 1 union all select tw.doc_id, k, name, cite, 1 from tw join nm on tok = name where nm.n = 1),
+nh as (select nc.doc_id, k - 1 as first, n, cite,
+    case when toks[k + n] = 'of' and {_A_YEAR.format(i="k + n + 1")} then 2 when {_A_YEAR.format(i="k + n")} then 1 else 0 end as year
+  from nc join dt on dt.doc_id = nc.doc_id and name = array_to_string(toks[k : k + n - 1], ' ')),
 nl as (select doc_id, list({{'free': first + n + year, 'runs': [{{'first': first, 'last': first + n + year - 1, 'cite': cite}}]}} order by first, n desc) as xs from nh group by 1),
 nr as (select doc_id, list_reduce(xs, lambda a, x: case when x.runs[1].first >= a.free then {{'free': x.free, 'runs': list_concat(a.runs, x.runs)}} else a end) as z from nl),
 nruns as (select doc_id, r.first as first, r.last as last, r.cite as cite from (select doc_id, unnest(z.runs) as r from nr))"""
@@ -462,10 +464,36 @@ ORACLE_SQL |= {
     "name_runs": f"with {NAMES} select * from nruns",
     "name_verdicts": f"""with {SENT}, {grams(3, 3)}, {NAMES}, ng as (select distinct array_to_string(t[j + 1 : j + 3], ' ') as ngram from (select t, unnest(range(len(t) - 2)) as j from nm where len(t) >= 3)),
       wanted as (select doc_id, ngram from raw_grams where ngram in (select ngram from ng)),
-      o as (select doc_id, i, i + 2 as b, array_to_string(toks[i + 1 : i + 3], ' ') as ngram, i + coalesce(list_position(list_transform(toks[i + 1 : i + 3], lambda t: not list_contains({_list(STOPWORDS)}, t)), true), 1) - 1 as a
-        from (select doc_id, toks, unnest(range(len(toks) - 2)) as i from dt where len(toks) >= 3)),
+      o as (select doc_id, k - 1 as i, k + 1 as b, concat_ws(' ', tok, t2, t3) as ngram,
+        k - 1 + coalesce(list_position(list_transform([tok, t2, t3], lambda t: not list_contains({_list(STOPWORDS)}, t)), true), 1) - 1 as a from tw where t3 is not null and concat_ws(' ', tok, t2, t3) in (select ngram from ng)),
       j as (select o.doc_id, o.ngram, o.i, coalesce(bool_or((r.first <= a and r.last >= b) or (r.first < a and a <= r.last and r.last < b) or (a < r.first and r.first <= b and b < r.last)), false) as hit, min(r.cite) as cite
         from o join wanted using (doc_id, ngram) left join nruns r on r.doc_id = o.doc_id and r.first <= o.b and r.last >= o.i group by all),
       per as (select doc_id, ngram, bool_and(hit) as ok, min(cite) as cite from j group by all)
       select ngram, count(*) as docs, count(*) filter (ok) as name_docs, min(cite) filter (ok) as cite, round(count(*) filter (ok) / count(*), 6) as ratio, count(*) filter (ok) / count(*) >= {P.nomenclature_ratio} as tagged from per group by 1""",
 }
+
+CLAIMS = f"""{LEDGER}, mem as (select distinct o.ngram || '|' || strftime(o.day, '%Y-%m-%d') || '|' || o.party as claim_id, o.ngram as phrase, o.doc_id
+  from occ_all o join daily using (ngram, day, party) where daily.units >= {P.quorum}),
+lows as (select doc_id, lower(text) as body, 0 as start from documents where text is not null),
+{_placed("lows", "doc_id", "body", TOKEN, "words")},
+wl as (select doc_id, list(tok order by k) as toks, list(s order by k) as ss, list(e order by k) as es from words group by 1),
+pw as (select doc_id, array_to_string(toks[i + 1 : i + n], ' ') as phrase, ss[i + 1] as s, es[i + n] as e
+  from (select *, unnest(range(len(toks) - n + 1)) as i from wl cross join (select unnest(range({P.ngram_min}, {P.ngram_max + 1})) as n) where len(toks) >= n)),
+co as (select m.claim_id, m.phrase, doc_id, t.id, bioguide, coalesce(joint_group, id) as family, coalesce(joint_group, bioguide) as unit_id, s, e, substr(text, s + 1, e - s) as surface
+  from mem m join pw using (doc_id, phrase) join stm t using (doc_id)),
+canon as (select claim_id, min(struct_pack(a := length(surface), b := lower(surface), c := id, d := s, x := surface, e := e)) as q, count(distinct bioguide) as offices, count(distinct doc_id) as publications,
+  count(distinct family) as families, count(distinct unit_id) as support_units from co group by 1),
+torn as (select claim_id, bool_or(not list_has_any(list_transform(string_split(regexp_replace({_CLEAN.replace("text", "surface")}, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)),
+  lambda x: contains(' ' || array_to_string(regexp_extract_all(lower(regexp_replace(x, {_q(DATELINE)}, '')), {_q(TOKEN)}), ' ') || ' ', ' ' || phrase || ' ')), [true])) as torn from co group by 1),
+carry as (select claim_id, count(distinct coalesce(joint_group, bioguide)) as carrying from mem join raw_grams r on r.doc_id = mem.doc_id and r.ngram = phrase join stm on stm.doc_id = mem.doc_id group by 1)"""
+_FAULT = "cast('0x' || md5(claim_id)[1:2] as int) % 8"
+ORACLE_SQL |= {
+    "canonical_claims": f"""with {CLAIMS} select claim_id, q.x as support_text, 'occ:' || sha256(claim_id || chr(10) || q.c || chr(10) || q.d || chr(10) || q.e)[1:24] as support_occurrence_id, offices, publications, families, support_units, coalesce(carrying, 0) as carrying
+      from canon left join carry using (claim_id)""",
+    "claim_checks": f"""with {CLAIMS}, sets as (select m.claim_id, count(distinct co.doc_id) <> count(distinct m.doc_id) as apart, min(m.doc_id) = any_value(f.low) as low_in from mem m left join co on co.claim_id = m.claim_id and co.doc_id = m.doc_id
+        left join (select claim_id, min(doc_id) as low from co group by 1) f on f.claim_id = m.claim_id group by 1),
+      k as (select claim_id, {_FAULT} as f, support_units, coalesce(carrying, 0) as carrying, apart, low_in, torn from canon left join carry using (claim_id) join sets using (claim_id) join torn using (claim_id))
+      select claim_id, carrying, concat_ws(',', case when carrying < {P.quorum} then 'key_quorum' end, case when carrying <> support_units + (f = 5)::int then 'support_count' end, case when f = 7 then 'verbatim' end,
+        case when f = 1 then 'invariant:identity' end, case when f = 2 then 'invariant:support_phrase' end, case when f = 3 or torn then 'invariant:occurrence_offsets' end,
+        case when (f = 4 and (low_in or apart)) or (f <> 4 and apart) then 'invariant:support_set' end, case when f in (5, 6) then 'invariant:unit_counts' end, case when f in (2, 7) then 'invariant:render_binding' end) as reasons from k""",
+}
