@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from unisono.functions.stats import wilson
@@ -113,3 +113,53 @@ def seal(universe: DataFrame, columns: list[str], seed: str) -> DataFrame:
     h = F.sha2(F.concat_ws("\n", F.lit(seed), *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns)), 256)
     parts = [F.sum(F.conv(F.substring(h, 1 + 8 * i, 8), 16, 10).cast("decimal(20,0)")).alias(f"s{i}") for i in range(8)]
     return universe.agg(F.count("*").alias("rows"), *parts).select("rows", F.sha2(F.concat_ws(":", "rows", *(F.col(f"s{i}").cast("string") for i in range(8))), 256).alias("seal"))
+
+
+#: What makes a candidate worth a reader's time, and how much.
+IMPACT = {"public_surface": 8, "private": 6, "rare_class": 4, "family_collapse": 3, "boundary_quorum": 2}
+CLASSES = ("message", "scaffold", "procedural", "biographical", "private", "nomenclature", "unknown")
+
+
+def universe(daily: DataFrame, offices: DataFrame, predicted: Column, epoch: str, min_units: int = 1) -> DataFrame:
+    """A candidate for each phrase and party at the party's peak day from `epoch` on: most units, then the earliest day.
+
+    `daily`: ngram, day, party, units. `offices`: ngram, day, party, headcount; where a cell is missing its units count. `predicted` may
+    use ngram and units. Parties other than D and R, and cells without units, give none.
+    """
+    cells = daily.where(F.col("party").isin("D", "R") & (F.col("units") >= F.greatest(F.lit(min_units), F.lit(1))) & (F.col("day") >= F.lit(epoch).cast("date")))
+    peak = cells.groupBy("ngram", "party").agg(F.max(F.struct("units", (-F.unix_date("day")).alias("_d"))).alias("p")).select("ngram", "party", F.date_from_unix_date(-F.col("p._d")).alias("day"), "p.units")
+    rows = peak.join(offices, ["ngram", "day", "party"], "left")
+    named = F.sha2(F.concat_ws("\n", "ngram", "party", F.date_format("day", "yyyy-MM-dd")), 256)
+    return rows.select(F.concat(F.lit("gold:"), F.substring(named, 1, 24)).alias("candidate_id"), "ngram", "party", "day", F.year("day").alias("year"), "units", F.coalesce("headcount", "units").alias("headcount"), predicted.alias("predicted_class"))
+
+
+def impact(rows: DataFrame, public: DataFrame) -> DataFrame:
+    """Candidates with impact tags and the sum of their weights; `public` (ngram): phrases that readers have been shown."""
+    shown = rows.join(public.select("ngram", F.lit(True).alias("_shown")).distinct(), "ngram", "left")
+    kind = F.col("predicted_class")
+    holds = {
+        "public_surface": F.col("_shown"),
+        "private": kind == "private",
+        "rare_class": kind.isin("biographical", "private", "nomenclature"),
+        "family_collapse": F.col("headcount") > F.col("units"),
+        "boundary_quorum": F.col("units").isin(2, 3),
+    }
+    tags = F.array_compact(F.array(*(F.when(c, k) for k, c in holds.items())))
+    weight = sum((F.when(c, IMPACT[k]).otherwise(0) for k, c in holds.items()), F.lit(0))
+    return shown.select(*(F.col(f"`{c}`") for c in rows.columns), tags.alias("impact_tags"), weight.alias("priority"))
+
+
+def annotation_issues(rows: DataFrame, annotator: str | None = None, classes: tuple[str, ...] = CLASSES) -> DataFrame:
+    """(candidate_id, issue): what is wrong with one annotator's batch (candidate_id, annotator_id, gold_class, gold_family_id).
+
+    no_candidate, duplicate (once a candidate), no_annotator, wrong_annotator (where one is expected), class, no_family. Blank counts as
+    missing. A batch without issue gives no row, an empty batch none.
+    """
+    blank = lambda c: F.coalesce(F.trim(c) == "", F.lit(True))
+    tests = [F.when(blank("annotator_id"), "no_annotator"), F.when(~F.coalesce(F.col("gold_class").isin(*classes), F.lit(False)), "class"), F.when(blank("gold_family_id"), "no_family")]
+    if annotator is not None:
+        tests.append(F.when(~blank("annotator_id") & (F.col("annotator_id") != annotator), "wrong_annotator"))
+    issue = F.when(blank("candidate_id"), F.array(F.lit("no_candidate"))).otherwise(F.array_compact(F.array(*tests)))
+    each = rows.select("candidate_id", F.explode(issue).alias("issue"))
+    twice = rows.where(~blank("candidate_id")).groupBy("candidate_id").agg(F.count("*").alias("n")).where("n > 1").select("candidate_id", F.lit("duplicate").alias("issue"))
+    return each.unionByName(twice)

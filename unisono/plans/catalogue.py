@@ -23,6 +23,7 @@ from unisono.operators import linkage as K
 from unisono.operators import measures as M
 from unisono.operators import names as NA
 from unisono.operators import nested as NE
+from unisono.operators import provenance as PR
 from unisono.operators import ranking as R
 from unisono.operators import research as S
 from unisono.operators import spans as N
@@ -459,6 +460,39 @@ def verify_reasons(spark, d):
     return C.verify(claims).select("component", "gram", F.array_join("reasons", ",").alias("reasons"))
 
 
+@query
+def comparison_lanes(spark, d):
+    """Halves of each office's statements by time, where instruments change, and by odd and even days."""
+    stm = T.statements(spark, d)
+    lane = PR.instrument(F.col("date_source"), {"legacy": "imported", "scraper": "scraped"})
+    rows = stm.select("bioguide", "day", lane.alias("lane"), F.explode(F.array(F.lit("time"), F.lit("parity"))).alias("split"))
+    half = F.when(F.col("split") == "time", F.col("day") <= F.lit("2024-01-15").cast("date")).otherwise(F.dayofmonth("day") % 2 == 0)
+    early = rows.where("split = 'time' or day <= date '2024-01-15' or bioguide like '%1'")  # parity within one lane, but for some offices
+    return PR.comparisons(early, ["bioguide", "split"], half, "2024-01-15", 3)
+
+
+@query
+def gold_universe(spark, d):
+    _, occ, phrases, daily = _ledger(spark, d)
+    offices = occ.groupBy("ngram", "day", "party").agg(F.count_distinct("bioguide").alias("headcount"))
+    kind = M.classify(F.col("ngram"), F.col("ngram").rlike(r"\bidiot\b"), F.lit(False), F.col("units"))
+    public = R.top_k(R.ranked_day(daily, phrases, FOCUS), 50).select("ngram")
+    return G.impact(G.universe(daily, offices, kind, "2024-01-05", 2), public).withColumn("impact_tags", F.array_join("impact_tags", ","))
+
+
+@query
+def annotation_issues(spark, d):
+    """Labels as a batch of annotations, some of them damaged by their own number."""
+    k = F.col("doc_id")
+    rows = T.table(spark, d, "labels").select(
+        (k - F.when(k % 11 == 0, k % 22).otherwise(0)).cast("string").alias("candidate_id"),
+        F.when(k % 7 != 0, F.when(k % 5 == 0, "second").otherwise("first")).alias("annotator_id"),
+        F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "message").otherwise("unknown").alias("gold_class"),
+        F.when(k % 3 == 0, " ").otherwise("f").alias("gold_family_id"),
+    )
+    return G.annotation_issues(rows, "first").groupBy("issue").agg(F.count("*").alias("n"), F.count_distinct("candidate_id").alias("candidates"))
+
+
 def _claims(spark, d):
     """(statements, members): a claim for each day and party on which a phrase reaches the quorum, with the statements that have it."""
     stm, occ, _, daily = _ledger(spark, d)

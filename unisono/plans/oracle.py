@@ -497,3 +497,22 @@ ORACLE_SQL |= {
         case when f = 1 then 'invariant:identity' end, case when f = 2 then 'invariant:support_phrase' end, case when f = 3 or torn then 'invariant:occurrence_offsets' end,
         case when (f = 4 and (low_in or apart)) or (f <> 4 and apart) then 'invariant:support_set' end, case when f in (5, 6) then 'invariant:unit_counts' end, case when f in (2, 7) then 'invariant:render_binding' end) as reasons from k""",
 }
+
+ORACLE_SQL |= {
+    "comparison_lanes": f"""with {STM}, r as (select bioguide, day, case when day < date '2024-01-16' then 'imported' else 'scraped' end as lane, split, case when split = 'time' then day <= date '2024-01-15' else day(day) % 2 = 0 end as half
+        from stm0 cross join (values ('time'), ('parity')) v(split) where split = 'time' or day <= date '2024-01-15' or bioguide like '%1'),
+      g as (select bioguide, split, count(*) filter (half) as a_n, count(*) filter (not half) as b_n, count(distinct lane) filter (half) as al, count(distinct lane) filter (not half) as bl, count(distinct lane) as l, min(day) as f, max(day) as t from r group by all)
+      select bioguide, split, a_n, b_n, 0::bigint as untagged, f <= date '2024-01-15' and t > date '2024-01-15' as spans_seam,
+        case when least(a_n, b_n) = 0 then 'empty' when al > 1 or bl > 1 then 'mixed' when l > 1 then 'two_instruments' when least(a_n, b_n) < 3 then 'underpowered' else 'ok' end as verdict from g""",
+    "gold_universe": f"""with {RANKED}, shown as (select ngram from ranked {_RORD} limit 50),
+      pk as (select ngram, party, arg_max(day, struct_pack(u := units, d := -(day - date '1970-01-01'))) as day, max(units) as units from daily where party in ('D', 'R') and units >= 2 and day >= date '2024-01-05' group by all),
+      hc as (select ngram, day, party, count(distinct bioguide) as headcount from occ_all group by all),
+      u as (select pk.ngram, pk.party, pk.day, pk.units, hc.headcount, case when regexp_matches(ngram, '\\bidiot\\b') then 'private' when {SCAFFOLD.format(g="ngram")} is not null then 'scaffold' when regexp_matches(ngram, {_q(TEMPLATE)}) then 'procedural'
+        when {LOW} then 'unknown' when units < {P.quorum} then 'unknown' else 'message' end as predicted_class, ngram in (select ngram from shown) as pub from pk join hc using (ngram, day, party))
+      select 'gold:' || sha256(ngram || chr(10) || party || chr(10) || strftime(day, '%Y-%m-%d'))[1:24] as candidate_id, ngram, party, day, year(day)::int as year, units, headcount, predicted_class,
+        concat_ws(',', case when pub then 'public_surface' end, case when predicted_class = 'private' then 'private,rare_class' end, case when headcount > units then 'family_collapse' end, case when units in (2, 3) then 'boundary_quorum' end) as impact_tags,
+        (pub::int * 8 + (predicted_class = 'private')::int * 10 + (headcount > units)::int * 3 + (units in (2, 3))::int * 2)::int as priority from u""",
+    "annotation_issues": """with r as (select (doc_id - case when doc_id % 11 = 0 then doc_id % 22 else 0 end)::varchar as c, doc_id % 7 = 0 as noa, doc_id % 5 = 0 as second, toxic = 1 as bad, doc_id % 3 = 0 as nof from labels),
+      i as (select c, 'no_annotator' as issue from r where noa union all select c, 'wrong_annotator' from r where not noa and second union all select c, 'class' from r where bad union all select c, 'no_family' from r where nof
+        union all select c, 'duplicate' from r group by c having count(*) > 1) select issue, count(*) as n, count(distinct c) as candidates from i group by 1""",
+}
