@@ -13,7 +13,7 @@ from unisono.operators import goldset, health, identity, ranking, ranks, researc
 from unisono.plans.catalogue import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
-FAST = ["normalize_dedupe", "text_features", "sentence_token_counts", "surge_bh", "overdispersion", "kappa_alpha", "streak_runs", "readiness_same_weekday", "strat_sample_hash", "vector_topk", "redact_spans", "ignition_widths", "lifespans", "sync_ceiling", "month_effect", "anchor_snap", "gravity_half_life", "statement_meta", "phrase_persistence", "style_rates", "first_capitals", "bootstrap_gap", "contest_terms", "contest_coverage", "sentence_places", "held_ngrams", "phrase_occurrences", "gold_seal", "density_matched", "redacted_records", "correction_table", "surge_rankings", "era_top_phrases", "spearman_rho", "mann_whitney", "gini_top_decile", "quintile_slices"]
+FAST = ["normalize_dedupe", "text_features", "sentence_token_counts", "surge_bh", "overdispersion", "kappa_alpha", "streak_runs", "readiness_same_weekday", "strat_sample_hash", "vector_topk", "redact_spans", "ignition_widths", "lifespans", "sync_ceiling", "month_effect", "anchor_snap", "gravity_half_life", "statement_meta", "phrase_persistence", "style_rates", "first_capitals", "bootstrap_gap", "contest_terms", "contest_coverage", "sentence_places", "held_ngrams", "phrase_occurrences", "gold_seal", "density_matched", "redacted_records", "correction_table", "surge_rankings", "spearman_p", "era_top_phrases", "spearman_rho", "mann_whitney", "gini_top_decile", "quintile_slices"]
 
 
 def _rows(df):
@@ -55,6 +55,15 @@ def test_binomial_tail(spark):
     assert got[0] == pytest.approx(0.3222004736) and got[1] == 1.0 and got[2] == pytest.approx(0.03125)
 
 
+def test_p_of_a_correlation(spark):
+    df = spark.createDataFrame([(2.228139, 10.0), (1.0, 1.0), (-4.302653, 2.0), (1.959966, 1e7), (0.0, 5.0), (60.0, 40.0), (None, 3.0)], "t double, df double")
+    got = [r[0] for r in df.select(stats.t_tails("t", "df")).collect()]
+    assert got[:5] == pytest.approx([0.05, 0.5, 0.05, 0.05, 1.0], abs=1e-6) and got[5] < 1e-30 and (got[6] is None or got[6] != got[6])
+    df = spark.createDataFrame([(0.5, 12), (-1.0, 9), (0.3, 2), (None, 9), (0.0, 9)], "rho double, n long")
+    got = [r[0] for r in df.select(stats.correlation_p(F.col("rho"), F.col("n"))).collect()]
+    assert got[0] == pytest.approx(0.097850, abs=1e-5) and got[1] == 0.0 and got[2] is None and got[3] is None and got[4] == pytest.approx(1.0)
+
+
 def test_joint_groups_and_units(spark):
     d = dt.date(2024, 1, 1)
     df = spark.createDataFrame([("1", "A", d, "Same  text"), ("2", "B", d, "same text"), ("3", "C", d, "other"), ("4", None, d, "x")], "id string, bioguide string, day date, text string")

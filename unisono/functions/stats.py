@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def rate(n: Column, d: Column, per: float = 1000.0) -> Column:
@@ -45,3 +50,28 @@ def normal_tail(z: Column) -> Column:
 def direction(rho: Column, n: Column, band: float = 0.10) -> Column:
     """Sign of a trend with a dead band: null under three points, 0 for a constant series."""
     return F.when(n < 3, None).when(rho.isNull(), 0).when(rho > band, 1).when(rho < -band, -1).otherwise(0)
+
+
+_NODES, _WEIGHTS = np.polynomial.legendre.leggauss(200)
+
+
+@F.pandas_udf(DoubleType())
+def t_tails(t: pd.Series, df: pd.Series) -> pd.Series:
+    """P[|T| >= |t|] of Student's t. With t = sqrt(df) tan(a) the density is a power of a cosine, which is integrated from a on; beyond
+    forty of its widths nothing is left that a double could hold. Null without t or a degree of freedom."""
+
+    def one(t, df):
+        if not (t == t and df >= 1):
+            return None
+        low = math.atan(abs(t) / math.sqrt(df))
+        half = (min(math.pi / 2, low + 40 / math.sqrt(df)) - low) / 2
+        area = half * float(_WEIGHTS @ np.cos(low + half * (_NODES + 1)) ** (df - 1))
+        return min(1.0, 2 * area * math.exp(math.lgamma((df + 1) / 2) - math.lgamma(df / 2)) / math.sqrt(math.pi))
+
+    return pd.Series([one(a, b) for a, b in zip(t.astype(float), df.astype(float), strict=True)], dtype=float)
+
+
+def correlation_p(rho: Column, n: Column) -> Column:
+    """Two-sided p of a correlation of n pairs: null under three pairs or without rho, 0 for a perfect one."""
+    t = rho * F.sqrt((n - 2) / F.greatest(1 - rho * rho, F.lit(1e-300)))
+    return F.when(rho.isNull() | (n < 3), F.lit(None).cast("double")).when(F.abs(rho) >= 1, F.lit(0.0)).otherwise(F.nanvl(t_tails(t, (n - 2).cast("double")), F.lit(None).cast("double")))

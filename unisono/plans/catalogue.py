@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from unisono import sql as SQ
 from unisono.functions import offsets as O
 from unisono.functions import text as X
+from unisono.functions.stats import correlation_p
 from unisono.operators import claims as C
 from unisono.operators import contract as CO
 from unisono.operators import families as FA
@@ -646,6 +647,12 @@ def spearman_rho(spark, d):
     return S.spearman(T.table(spark, d, "lineitem"), "l_quantity", "l_extendedprice", "l_returnflag").withColumn("rho", F.round("rho", 6))
 
 
+@query
+def spearman_p(spark, d):
+    rho = S.spearman(T.table(spark, d, "orders"), "o_custkey", "o_totalprice", "o_orderpriority")
+    return rho.select("o_orderpriority", "n", F.round("rho", 6).alias("rho"), F.round(correlation_p(F.col("rho"), F.col("n")), 5).alias("p"))
+
+
 @query
 def mann_whitney(spark, d):
     rows = T.table(spark, d, "customer").select((F.col("c_nationkey") % 2 == 0).alias("g"), F.round("c_acctbal").alias("v"))

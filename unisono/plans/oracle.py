@@ -516,3 +516,14 @@ ORACLE_SQL |= {
       i as (select c, 'no_annotator' as issue from r where noa union all select c, 'wrong_annotator' from r where not noa and second union all select c, 'class' from r where bad union all select c, 'no_family' from r where nof
         union all select c, 'duplicate' from r group by c having count(*) > 1) select issue, count(*) as n, count(distinct c) as candidates from i group by 1""",
 }
+
+_P_NODES = 20_000  # Simpson's rule
+ORACLE_SQL |= {
+    "spearman_p": f"""with r as (select o_orderpriority, rank() over (partition by o_orderpriority order by o_custkey) + (count(*) over (partition by o_orderpriority, o_custkey) - 1) / 2 as x,
+        rank() over (partition by o_orderpriority order by o_totalprice) + (count(*) over (partition by o_orderpriority, o_totalprice) - 1) / 2 as y from orders),
+      c as (select o_orderpriority, count(*) as n, corr(x, y) as rho from r group by 1),
+      a as (select *, n - 2 as df, atan(abs(rho) * sqrt((n - 2) / (1 - rho * rho)) / sqrt(n - 2)) as low from c),
+      b as (select *, (least(pi() / 2, low + 40 / sqrt(df)) - low) / {_P_NODES} as h from a),
+      s as (select o_orderpriority, sum(case when i in (0, {_P_NODES}) then 1 when i % 2 = 1 then 4 else 2 end * greatest(0, cos(low + i * h)) ** (df - 1)) * any_value(h) / 3 as area from b cross join range({_P_NODES + 1}) t(i) group by 1)
+      select o_orderpriority, n, round(rho, 6) as rho, round(least(1, 2 * area * exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sqrt(pi())), 5) as p from b join s using (o_orderpriority)""",
+}
