@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from unisono.functions.text import TOKEN
+from unisono.operators.grams import SLICE, slices
 from unisono.operators.spans import covered
 from unisono.params import P
 from unisono.sources.shared import cut, drop
@@ -107,7 +108,7 @@ def _windows(bits, lengths: list[int]):
     def run(batches):
         seen = bits.value
         mask = np.uint64(len(seen) * 8 - 1)
-        for b in batches:
+        for b in (part for whole in batches for part in slices(whole, pc.list_value_length(whole.column("toks")).fill_null(0).to_numpy(zero_copy_only=False), SLICE)):
             words, at, code, text = _batch_codes(b.column("toks"))
             ids = b.column("doc_id").to_numpy(zero_copy_only=False)
             begin = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=len(ids)))])
