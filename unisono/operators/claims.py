@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from unisono.functions.text import contains_gram, content_words, is_verbatim, is_weak_label, kept_ngrams, scaffold_reason, sentences
+from unisono.operators.grams import frequent
 from unisono.operators.identity import components
 from unisono.params import P
 
@@ -16,6 +17,12 @@ def cluster_grams(rows: DataFrame, key: str, text: str = "text") -> DataFrame:
     return g.where(content_words(F.col("gram")) >= 2)
 
 
+def shared_grams(rows: DataFrame, key: str) -> DataFrame:
+    """The rows (key, party, day, gram) of `cluster_grams` whose gram several fragments of a party day may share, and few others. Hashes
+    are counted first, so other grams never become strings or rows of a table."""
+    return frequent(rows.withColumn("unit", F.col(key)), [key, "party", "day"], 4, 5, 2).withColumnRenamed("ngram", "gram")
+
+
 def fragment_components(grams: DataFrame, key: str) -> DataFrame:
     """Components of fragments of a party day that share a gram. Each fragment is joined to the gram's least one, so a gram's holders cost one edge each."""
     least = grams.groupBy("party", "day", "gram").agg(F.min(key).alias("a"), F.count("*").alias("n")).where("n > 1")
@@ -26,7 +33,8 @@ def fragment_components(grams: DataFrame, key: str) -> DataFrame:
 def support_phrase(grams: DataFrame, comp: DataFrame, units: DataFrame, key: str, quorum: int = P.quorum) -> DataFrame:
     """Per component of enough units the gram that the most units support: admissible ones first, then units, statements, words, text."""
     rows = grams.join(comp.select(F.col("id").alias(key), "component"), key).join(units.select(key, "unit"), key)
-    size = rows.groupBy("component").agg(F.count_distinct("unit").alias("n_units")).where(F.col("n_units") >= quorum)
+    # every member of a component has a gram
+    size = comp.select(F.col("id").alias(key), "component").join(units.select(key, "unit"), key).groupBy("component").agg(F.count_distinct("unit").alias("n_units")).where(F.col("n_units") >= quorum)
     per = rows.join(size, "component").groupBy("component", "gram").agg(F.count_distinct("unit").alias("units"), F.count_distinct(key).alias("statements"))
     ok = (~is_weak_label(F.col("gram")) & scaffold_reason(F.col("gram")).isNull()).cast("int")
     w = Window.partitionBy("component").orderBy(F.desc("ok"), F.desc("units"), F.desc("statements"), F.desc("words"), "gram")
