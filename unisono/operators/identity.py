@@ -4,15 +4,22 @@ from __future__ import annotations
 
 import zlib
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from unisono.functions.text import TOKEN, statement_id
+from unisono.operators.grams import SLICE, slices
 from unisono.params import P
-from unisono.sources.shared import cut, drop
+from unisono.sources.shared import cut, drop, small
 from unisono.sources.tables import joint_key
 
 PRIME = 4294967311
+SKETCH = 1024  # bits of a set's sketch
+BROADCAST_IDS = 500_000
 
 
 def normalize(raw: DataFrame, order: str) -> DataFrame:
@@ -72,25 +79,85 @@ def minhash(values: Column, hashes: int = P.family_hashes) -> Column:
     return F.array(*map(least, range(hashes)))
 
 
-def similar_pairs(docs: DataFrame, threshold: float = P.family_jaccard, bands: int = P.family_bands, hours: int = P.family_hours) -> DataFrame:
+def _coefficients(hashes: int) -> tuple[np.ndarray, np.ndarray]:
+    return np.array([2 * i + 1 for i in range(hashes)], np.uint64)[:, None], np.array([zlib.crc32(f"document-family-{i}".encode()) for i in range(hashes)], np.uint64)[:, None]
+
+
+def _sets(keys: list[str], least: int, size: int, hashes: int):
+    a, b = _coefficients(hashes)
+
+    def run(batches):
+        for whole in batches:
+            for batch in slices(whole, pc.list_value_length(whole.column("_t")).fill_null(0).to_numpy(zero_copy_only=False), SLICE):
+                rows, sh, mh, bits = [], [], [], []
+                for i, words in enumerate(batch.column("_t").to_pylist()):
+                    if words is None or len(words) < max(least, size):
+                        continue
+                    words = [w.encode() for w in words]
+                    values = np.unique(np.array([zlib.crc32(b" ".join(words[k : k + size])) for k in range(len(words) - size + 1)], np.uint64))
+                    odd = np.bincount((values % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
+                    rows.append(i)
+                    sh.append(values.view(np.int64))
+                    mh.append(((values * a + b) % np.uint64(PRIME)).min(axis=1).view(np.int64))
+                    bits.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+                if rows:
+                    longs = pa.list_(pa.int64())
+                    cols = [batch.column(k).take(pa.array(rows)) for k in keys]
+                    yield pa.RecordBatch.from_arrays([*cols, pa.array([len(v) for v in sh], pa.int32()), *(pa.array(x, longs) for x in (sh, mh, bits))], [*keys, "n", "sh", "mh", "bits"])
+
+    return run
+
+
+def shingle_sets(df: DataFrame, keys: list[str], least: int = P.family_min_tokens, size: int = P.family_shingle, hashes: int = P.family_hashes) -> DataFrame:
+    """keys, n, sh (sorted `shingles`), mh (their `minhash`) and bits of the rows whose text has `least` tokens: bit i says whether an odd
+    number of shingles is i modulo SKETCH, so two sets differ in at least as many shingles as their sketches in bits."""
+    narrow = df.select(*keys, word_tokens(F.col("text")).alias("_t"))
+    schema = T.StructType([narrow.schema[k] for k in keys]).add("n", T.IntegerType())
+    for c in ("sh", "mh", "bits"):
+        schema = schema.add(c, T.ArrayType(T.LongType()))
+    return narrow.mapInArrow(_sets(keys, least, size, hashes), schema)
+
+
+def scored_pairs(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, similarity) of the `pairs` (a, b) that reach the threshold; `sets` has id, n, sh, bits.
+
+    Sizes and sketches go to the pairs first: they tell most pairs that can't reach it. Sets go to the others alone."""
+    x, y = (sets.select(F.col("id").alias(k), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"bits{k}")) for k in "ab")
+    apart = sum((F.bit_count(F.get("bitsa", F.lit(i)).bitwiseXOR(F.get("bitsb", F.lit(i)))) for i in range(SKETCH // 64)), F.lit(0))
+    slack = 1e-6  # of rounding; a pair let through is decided on its sets
+    sized = F.least("na", "nb") >= threshold * F.greatest("na", "nb") - slack
+    near = apart <= (F.col("na") + F.col("nb")) * ((1 - threshold) / (1 + threshold)) + slack
+    left = cut(pairs.join(x, "a").join(y, "b").where(sized & near).select("a", "b"))
+    ids = small(cut(left.select(F.col("a").alias("id")).unionByName(left.select(F.col("b").alias("id"))).distinct()), BROADCAST_IDS)
+    used = sets.join(ids, "id", "left_semi")
+    a, b = (used.select(F.col("id").alias(k), F.col("sh").alias(f"s{k}")) for k in "ab")
+    both = F.size(F.array_intersect("sa", "sb"))
+    scored = left.join(a, "a").join(b, "b").withColumn("similarity", both / (F.size("sa") + F.size("sb") - both))
+    return scored.where(F.col("similarity") >= threshold).select("a", "b", "similarity")
+
+
+def band_hashes(bands: int) -> Column:
+    """The hash of each band of the minhashes `mh`."""
+    rows = P.family_hashes // bands
+    return F.array(*(F.xxhash64(F.lit(b), *(F.get("mh", F.lit(b * rows + r)) for r in range(rows))) for b in range(bands)))
+
+
+def similar_pairs(docs: DataFrame, threshold: float = P.family_jaccard, bands: int = P.family_bands, hours: int = P.family_hours, sets: DataFrame | None = None) -> DataFrame:
     """Pairs (a, b, jaccard) of documents of at most `hours` apart that share a band and reach the threshold.
 
-    `docs` has key, day, text. Equal shingle sets meet through one representative a day, so a group of copies costs no pairs;
-    the copies themselves are paired with their representative.
+    `docs` has key, day, text; `sets`, where they are at hand, their `shingle_sets` (by key, day). Equal shingle sets meet through one
+    representative a day, so a group of copies costs no pairs; the copies themselves are paired with their representative.
     """
-    usable = docs.where(F.size(word_tokens(F.col("text"))) >= P.family_min_tokens).select("key", "day", F.array_sort(shingles(F.col("text"))).alias("sh"))
-    usable = usable.withColumn("set", F.xxhash64("sh"))
-    reps = usable.groupBy("set", "day").agg(F.min("key").alias("key"), F.first("sh").alias("sh"))
-    copies = usable.join(reps.select("set", "day", F.col("key").alias("rep")), ["set", "day"]).where("key <> rep").select(F.least("key", "rep").alias("a"), F.greatest("key", "rep").alias("b"), F.lit(1.0).alias("jaccard"))
-    sig = reps.select("key", "day", F.explode(F.array(minhash(F.col("sh")))).alias("mh"))  # evaluated once, not in every band
-    rows = P.family_hashes // bands
-    banded = sig.select("key", "day", F.posexplode(F.array(*(F.xxhash64(F.lit(b), *(F.get("mh", F.lit(b * rows + r)) for r in range(rows))) for b in range(bands)))).alias("band", "h"))
+    usable = (cut(shingle_sets(docs, ["key", "day"])) if sets is None else sets).withColumn("set", F.xxhash64("sh"))
+    same = cut(usable.select("set", "day", "key"))
+    of = cut(same.join(same.groupBy("set", "day").agg(F.min("key").alias("rep")), ["set", "day"]).where("key <> rep").select("key", "rep"))
+    copies = of.select(F.least("key", "rep").alias("a"), F.greatest("key", "rep").alias("b"), F.lit(1.0).alias("jaccard"))
+    reps = usable.join(small(of.select("key"), BROADCAST_IDS), "key", "left_anti")
+    banded = reps.select("key", "day", F.posexplode(band_hashes(bands)).alias("band", "h"))
     near = (F.abs(F.datediff("l.day", "r.day")) * 24) <= hours
     pairs = banded.alias("l").join(banded.alias("r"), (F.col("l.h") == F.col("r.h")) & (F.col("l.key") < F.col("r.key")) & near).select(F.col("l.key").alias("a"), F.col("r.key").alias("b")).distinct()
-    x, y = reps.select(F.col("key").alias("a"), F.col("sh").alias("sa")), reps.select(F.col("key").alias("b"), F.col("sh").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    scored = pairs.join(x, "a").join(y, "b").withColumn("jaccard", both / (F.size("sa") + F.size("sb") - both)).where(F.col("jaccard") >= threshold)
-    return scored.select("a", "b", "jaccard").unionByName(copies)
+    scored = scored_pairs(pairs, reps.withColumnRenamed("key", "id"), threshold)
+    return scored.select("a", "b", F.col("similarity").alias("jaccard")).unionByName(copies)
 
 
 def components(edges: DataFrame) -> DataFrame:
