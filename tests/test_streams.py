@@ -70,3 +70,52 @@ def test_sliding_counts(spark, tmp_path):
     stream = _events(spark, f"{tmp_path}/in", PARTS[:2]).withColumnRenamed("step", "phrase")
     got = {(str(r.start), r.phrase): r.n for r in A.drain(A.sliding_counts(stream), ["start", "phrase"]).collect()}
     assert got["2024-01-01", "detected"] == 2 and got["2023-12-26", "acknowledged"] == 2 and len([k for k in got if k[1] == "corrected"]) == 7
+
+
+class _Handle:
+    """Counts what goes to the JVM."""
+
+    def __init__(self):
+        self.calls, self.timers, self.value = [], set(), None
+
+    def getValueState(self, *_):
+        return self
+
+    def get(self):
+        self.calls.append("get")
+        return self.value
+
+    def exists(self):
+        self.calls.append("exists")
+        return self.value is not None
+
+    def update(self, value):
+        self.calls.append("update")
+        self.value = value
+
+    def listTimers(self):
+        self.calls.append("list")
+        return iter(self.timers)
+
+    def deleteTimer(self, t):
+        self.calls.append("delete")
+        self.timers.remove(t)
+
+    def registerTimer(self, t):
+        self.calls.append("register")
+        self.timers.add(t)
+
+
+def test_a_batch_of_a_correction_takes_few_calls():
+    from pyspark.sql import Row
+
+    hour = 3_600_000_000
+    h, one = _Handle(), LC.Lifecycle()
+    one.init(h)
+    rows = lambda *x: iter([Row(step=s, us=int(t * hour), severity=v) for s, t, v in x])
+    list(one.handleInputRows(("a",), rows(("detected", 10, "critical"), ("acknowledged", 10.5, "critical")), None))
+    assert h.calls == ["get", "register", "update"] and h.timers == {34 * hour // 1000}
+    list(one.handleInputRows(("a",), rows(("contained", 11, "critical")), None))
+    assert h.calls[3:] == ["get", "update"]
+    list(one.handleInputRows(("a",), rows(("detected", 9, "critical")), None))  # the deadline that was met is missed now
+    assert h.timers == {10 * hour // 1000, 33 * hour // 1000}

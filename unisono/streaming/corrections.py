@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from datetime import UTC, datetime, timedelta
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -15,6 +13,8 @@ STEPS = ["detected", "acknowledged", "contained", "corrected", "closed"]
 POLICY = {"critical": (1, 24), "major": (24, 72), "minor": (72, 336)}
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _TIMES = [f"{s}_at" for s in STEPS]
+RAW = "correction_id string, severity string, " + ", ".join(f"{t} long" for t in _TIMES) + ", state string, late_acknowledge boolean, late_correct boolean"
+_OUT = Row("correction_id", "severity", *_TIMES, "state", "late_acknowledge", "late_correct")
 SCHEMA = "correction_id string, severity string, " + ", ".join(f"{t} timestamp" for t in _TIMES) + ", state string, late_acknowledge boolean, late_correct boolean"
 
 
@@ -28,6 +28,14 @@ def _furthest(times: list) -> str:
     return state
 
 
+def _open(kept: list) -> list[tuple[int, int]]:
+    """(flag, deadline) of what is kept, for the deadlines that no step has met so far."""
+    if kept[1] is None or kept[0] not in POLICY:
+        return []
+    due = [(flag, step, kept[1] + hours * 3_600_000_000) for flag, step, hours in zip((6, 7), (2, 4), POLICY[kept[0]], strict=True)]
+    return [(flag, at) for flag, step, at in due if kept[step] is None or kept[step] > at]
+
+
 class Lifecycle(StatefulProcessor):
     """Keeps the first time of each step and the deadlines that have passed. Events may come in any order."""
 
@@ -36,35 +44,33 @@ class Lifecycle(StatefulProcessor):
         self._kept = handle.getValueState("kept", "severity string, " + ", ".join(f"{s} long" for s in STEPS) + ", late_a boolean, late_c boolean")
 
     def _load(self) -> list:
-        return list(self._kept.get()) if self._kept.exists() else [None] * 6 + [False, False]
+        kept = self._kept.get()
+        return [None] * 6 + [False, False] if kept is None else list(kept)
 
-    def _row(self, key: str, kept: list) -> pd.DataFrame:
-        at = [None if m is None else datetime.fromtimestamp(0, UTC) + timedelta(microseconds=m) for m in kept[1:6]]
-        row = [key, kept[0], *(None if a is None else pd.Timestamp(a.replace(tzinfo=None)) for a in at), _furthest(kept[1:6]), bool(kept[6]), bool(kept[7])]
-        out = pd.DataFrame([row], columns=["correction_id", "severity", *_TIMES, "state", "late_acknowledge", "late_correct"])
-        return out.astype({t: "datetime64[ns]" for t in _TIMES})
+    def _row(self, key: str, kept: list) -> Row:
+        return _OUT(key, kept[0], *kept[1:6], _furthest(kept[1:6]), bool(kept[6]), bool(kept[7]))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         kept = self._load()
-        for pdf in rows:
-            for step, at, severity in zip(pdf["step"], pdf["us"], pdf["severity"], strict=True):
-                i = 1 + STEPS.index(step)
-                kept[i] = int(at) if kept[i] is None else min(kept[i], int(at))
-                kept[0] = severity if kept[0] is None else min(kept[0], severity)
-        if kept[1] is not None and kept[0] in POLICY:
-            for timer in list(self._handle.listTimers()):
-                self._handle.deleteTimer(timer)
-            for hours in POLICY[kept[0]]:
-                self._handle.registerTimer((kept[1] + hours * 3_600_000_000) // 1000)
+        before = {due // 1000 for _, due in _open(kept)}
+        for r in rows:
+            i = 1 + STEPS.index(r["step"])
+            kept[i] = r["us"] if kept[i] is None else min(kept[i], r["us"])
+            kept[0] = r["severity"] if kept[0] is None else kept[0] if r["severity"] is None else min(kept[0], r["severity"])
+        # each call of the handle goes to the JVM and back: timers are touched where they change
+        after = {due // 1000 for _, due in _open(kept)}
+        for timer in before - after:
+            self._handle.deleteTimer(timer)
+        for timer in after - before:
+            self._handle.registerTimer(timer)
         self._kept.update(tuple(kept))
         yield self._row(key[0], kept)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         kept = self._load()
         now = expiredTimerInfo.getExpiryTimeInMs()
-        for flag, step, hours in ((6, 2, POLICY[kept[0]][0]), (7, 4, POLICY[kept[0]][1])):
-            due = kept[1] + hours * 3_600_000_000
-            if due // 1000 <= now and (kept[step] is None or kept[step] > due):
+        for flag, due in _open(kept):
+            if due // 1000 <= now:
                 kept[flag] = True
         self._kept.update(tuple(kept))
         yield self._row(key[0], kept)
@@ -76,7 +82,8 @@ def lifecycle_stream(events: DataFrame, late: str = "1 hour") -> DataFrame:
     when the watermark does. State is one small record for each correction."""
     events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
     rows = events.where(F.col("step").isin(*STEPS)).withWatermark("ts", late).select("correction_id", "ts", "step", "severity", F.unix_micros("ts").alias("us"))
-    return rows.groupBy("correction_id").transformWithStateInPandas(statefulProcessor=Lifecycle(), outputStructType=SCHEMA, outputMode="Update", timeMode="eventTime")
+    out = rows.groupBy("correction_id").transformWithState(statefulProcessor=Lifecycle(), outputStructType=RAW, outputMode="Update", timeMode="eventTime")
+    return out.select(*(F.timestamp_micros(c).alias(c) if c in _TIMES else c for c in out.columns))
 
 
 def lifecycle_table(events: DataFrame, now) -> DataFrame:
