@@ -35,6 +35,7 @@ FREQUENT = 4  # sets of a signature beyond which sets do without it where they c
 MEMBERS = 256  # of a leader that one copy of its set serves
 BLOCK_SETS, BLOCK_TOKENS = 1024, 1_000_000  # of a block: sets, and tokens of eight bytes
 PARTNERS = 16  # blocks that one copy of a block meets
+SKETCH = 2048  # bits that stand for a set until its pair may link
 _SEED = np.uint64(0x9FB21C651E98DF25)
 
 
@@ -261,11 +262,18 @@ def _needed(shared: DataFrame) -> DataFrame:
     return shared.join(frequent, "sig", "left_anti").select("sig", "set").unionByName(hot.join(bound, ["set", "band"], "left_semi").select("sig", "set"))
 
 
+def sketch(tokens: np.ndarray) -> np.ndarray:
+    """Bit i says whether an odd number of tokens is i modulo SKETCH: two sets differ in at least as many tokens as their sketches in bits."""
+    odd = np.bincount((tokens % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sets(shingle: int):
     def run(batches):
         for b in batches:
-            made = [tokens_of(t.as_py(), shingle).tobytes() for t in b.column("text")]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(made, pa.binary())], ["doc_id", "tokens"])
+            made = [tokens_of(t.as_py(), shingle) for t in b.column("text")]
+            cols = [pa.array([len(s) for s in made], pa.int64()), pa.array([sketch(s) for s in made], pa.list_(pa.int64())), pa.array([s.tobytes() for s in made], pa.binary())]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *cols], ["doc_id", "n", "bits", "tokens"])
 
     return run
 
@@ -332,11 +340,22 @@ def _fingerprint(e: DataFrame) -> tuple:
     return tuple(r)
 
 
+def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs without those whose sketches tell that they don't link: sets that do differ in (100 - percent) / (100 + percent) of
+    their sizes' sum at most."""
+    if pairs.count() <= BROADCAST_IDS:
+        pairs = F.broadcast(pairs)
+    x, y = (sets.select(F.col("doc_id").alias(k), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"bits{k}")) for k in "ab")
+    apart = sum((F.bit_count(F.get("bitsa", F.lit(i)).bitwiseXOR(F.get("bitsb", F.lit(i)))) for i in range(SKETCH // 64)), F.lit(0))
+    return pairs.join(x, "a").join(y, "b").where((100 + percent) * apart <= (100 - percent) * (F.col("na") + F.col("nb"))).select("a", "b")
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b) of the candidate pairs that link; a is the side that may be in very many pairs.
 
-    A leader's set is sent once for each MEMBERS of its pairs, not with every pair.
+    Sketches decide most pairs; sets go to the others alone. A leader's set is sent once for each MEMBERS of its pairs, not with every pair.
     """
+    pairs = materialize(_near(pairs, sets, percent))
     fan = pairs.groupBy("a").agg(F.ceil(F.count("*") / MEMBERS).cast("long").alias("parts"))
     small = pairs.count() <= BROADCAST_IDS
 
@@ -371,6 +390,8 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     Tokens are 64-bit hashes. doc_id is unique; a row repeated in full gives the same result again. Empty tables give empty
     results. Other columns aren't read.
     """
+    # every step is written and read again, so its exchange is needed no more when it ends
+    docs.sparkSession.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     facts = materialize(arrow_map(narrow, _describe(shingle), "doc_id long, n long, set long"))
     reps = facts.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
@@ -386,7 +407,7 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     members = materialize(shared.join(fame, "set").select("sig", "doc_id", "n", F.struct("fame", (-F.col("doc_id")).alias("id")).alias("order")))
     remove(shared)
     ids = materialize(members.select("doc_id").distinct())
-    sets = materialize(arrow_map(_only(narrow, ids).dropDuplicates(["doc_id"]) if _repeats(facts) else _only(narrow, ids), _sets(shingle), "doc_id long, tokens binary"))
+    sets = materialize(arrow_map(_only(narrow, ids).dropDuplicates(["doc_id"]) if _repeats(facts) else _only(narrow, ids), _sets(shingle), "doc_id long, n long, bits array<long>, tokens binary"))
 
     cur = members.withColumn("component", F.col("doc_id"))
     links = label = seen = None
@@ -517,10 +538,11 @@ def _blocks(cur: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     spark = cur.sparkSession
     star = cur.select("sig", "doc_id").join(cur.groupBy("sig").agg(F.min("doc_id").alias("a")), "sig").where("doc_id <> a").select("a", F.col("doc_id").alias("b")).distinct()
     cand = connected_components(star).withColumnRenamed("id", "doc_id").withColumnRenamed("component", "candidate")
-    rows = cur.select("doc_id", "component", "n").distinct().join(cand, "doc_id", "left").withColumn("candidate", F.coalesce("candidate", "doc_id"))
+    rows = materialize(cur.select("doc_id", "component", "n").distinct().join(cand, "doc_id", "left").withColumn("candidate", F.coalesce("candidate", "doc_id")))
     size = rows.groupBy("candidate").agg(F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_TOKENS)).cast("long").alias("blocks"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.join(size, "candidate").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks"))).join(sets, "doc_id").select("candidate", "block", "blocks", "doc_id", "component", "tokens")
+    placed = materialize(rows.join(size, "candidate").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks"))).drop("n"))
+    dealt = sets.join(F.broadcast(placed) if placed.count() <= BROADCAST_IDS else placed, "doc_id").select("candidate", "block", "blocks", "doc_id", "component", "tokens")
     conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
     spark.conf.set(conf, "64")
     kinds = "candidate long, block long, blocks long, ids binary, components binary, sizes binary, tokens binary"
