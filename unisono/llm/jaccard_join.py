@@ -317,7 +317,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Minima are taken by aggregation, so a component of any size burdens no task.
     """
     cur = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    while True:
+    while not _are_stars(cur):
         # large star: every larger neighbour is joined to the smallest id around the centre
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -327,17 +327,28 @@ def connected_components(edges: DataFrame) -> DataFrame:
         small = large.join(small_least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         nxt = materialize(small.unionByName(small_least.select("u", F.col("m").alias("v"))).distinct())
         remove(large)
-        same = _fingerprint(nxt) == _fingerprint(cur)
         remove(cur)
         cur = nxt
-        if same:
-            break
     return cur.select(F.col("u").alias("id"), F.col("v").alias("component"))
 
 
-def _fingerprint(e: DataFrame) -> tuple:
-    r = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % (1 << 40)), F.sum(F.xxhash64("v", "u") % (1 << 40))).first()
-    return tuple(r)
+def _are_stars(e: DataFrame) -> bool:
+    """Whether each of the edges (u, v) is the only one of its u, and no v is a u: then steps change nothing more."""
+    ends = e.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(e.select(F.col("v").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return not ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up + down > 1").count()
+
+
+def _merged(label: DataFrame | None, ids: DataFrame, links: DataFrame) -> DataFrame:
+    """(doc_id, component) of `ids` when `links` (a, b) are added to those that made `label`: components are linked, not their members again."""
+    if label is None:
+        comp = connected_components(links).withColumnRenamed("id", "doc_id")
+        return materialize(ids.join(comp, "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("component")))
+    if links.isEmpty():
+        return label
+    a, b = (label.select(F.col("doc_id").alias(k), F.col("component").alias(f"c{k}")) for k in "ab")
+    comp = connected_components(links.join(a, "a").join(b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    moved = comp.select(F.col("id").alias("component"), F.col("component").alias("to"))
+    return materialize(label.join(moved, "component", "left").select("doc_id", F.coalesce("to", "component").alias("component")))
 
 
 def _near(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -410,7 +421,7 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     sets = materialize(arrow_map(_only(narrow, ids).dropDuplicates(["doc_id"]) if _repeats(facts) else _only(narrow, ids), _sets(shingle), "doc_id long, n long, bits array<long>, tokens binary"))
 
     cur = members.withColumn("component", F.col("doc_id"))
-    links = label = seen = None
+    label = seen = None
     for step in range(LEADER_ROUNDS + 1):
         if label is not None:
             cur = members.join(label, "doc_id")
@@ -432,9 +443,7 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
             # a leader has met all of its bucket
             members = materialize(members.join(met.where("a = b").select("sig", F.col("a").alias("doc_id")), ["sig", "doc_id"], "left_anti"))
             remove(met)
-        links = new if links is None else links.unionByName(new)
-        comp = connected_components(links)
-        label = materialize(ids.join(comp.withColumnRenamed("id", "doc_id"), "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("component")))
+        label = _merged(label, ids, new)
     remove(members)
     remove(sets)
     named = reps.join(label, "doc_id", "left").select("set", F.coalesce("component", "doc_id").alias("component"))
