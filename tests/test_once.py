@@ -4,7 +4,12 @@ import random
 from contextlib import contextmanager
 
 import pytest
+from pyspark.sql import functions as F
+
+from unisono.functions.text import contains_gram
+from unisono.operators import contract as CO
 from unisono.operators import research as S
+from unisono.operators.spans import phrase_occurrences, phrases_found
 
 
 @contextmanager
@@ -50,3 +55,29 @@ def test_units_with_the_same_items_are_one_set(spark):
         if j:
             want[w] = (len(j), pytest.approx(sum(j) / len(j), abs=1e-6))
     assert got == want
+
+
+TEXTS = ["The old red fox. The old, \"RED fox's\" den; old red", None, "", "İ the old red fox — “the old red” fox", "old old red red fox fox old old red"]
+
+
+def test_phrases_of_a_text_are_found_together(spark):
+    phrases = ["old red", "the old red", "red", "fox's", "old old", "", None, "none such", "red  fox"]
+    rows = spark.createDataFrame([(i, t, phrases) for i, t in enumerate(TEXTS)], "i int, text string, phrases array<string>")
+    one = rows.withColumn("p", F.explode("phrases")).select("i", "p", "text", F.explode(phrase_occurrences(F.col("text"), F.col("p"))).alias("o"))
+    want = one.select("i", "p", "o.start", "o.end", "o.quoted", F.substr("text", F.col("o.start") + 1, F.col("o.end") - F.col("o.start"))).collect()
+    got = rows.select("i", F.explode(phrases_found(F.col("text"), F.col("phrases"))).alias("o")).select("i", "o.phrase", "o.start", "o.end", "o.quoted", "o.surface").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and want
+
+
+def test_texts_are_not_copied_for_claims(spark):
+    rows = [(i, f"id{i}", t, f"o{i % 3}", None) for i, t in enumerate(TEXTS)]
+    stm = spark.createDataFrame(rows, "doc_id int, id string, text string, bioguide string, joint_group string")
+    phrases = ["old red", "the old red", "red fox", "old old red", "fox", "old", "", "red \n fox"]
+    members = spark.createDataFrame([(f"{p}|{k}", p, i) for p in phrases for k in range(3) for i in range(len(TEXTS))], "claim_id string, phrase string, doc_id int")
+    with _plain(spark):
+        for df in (CO.occurrences(members, stm), CO.carrying_units(members, stm)):
+            assert df.collect()
+            assert all(n <= len(TEXTS) for n, names in _joined(df) if names & {"text", "_told"})
+    held = members.where("phrase <> ''").join(stm, "doc_id").where(contains_gram(F.col("text"), F.col("phrase")))
+    want = {r.claim_id: r.n for r in held.groupBy("claim_id").agg(F.count_distinct("bioguide").alias("n")).collect()}
+    assert {r.claim_id: r.carrying for r in CO.carrying_units(members, stm).collect()} == want
