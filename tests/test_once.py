@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from unisono.functions.text import contains_gram
 from unisono.operators import contract as CO
+from unisono.operators import fragments as FG
 from unisono.operators import research as S
 from unisono.operators.spans import phrase_occurrences, phrases_found
 
@@ -81,3 +82,18 @@ def test_texts_are_not_copied_for_claims(spark):
     held = members.where("phrase <> ''").join(stm, "doc_id").where(contains_gram(F.col("text"), F.col("phrase")))
     want = {r.claim_id: r.n for r in held.groupBy("claim_id").agg(F.count_distinct("bioguide").alias("n")).collect()}
     assert {r.claim_id: r.carrying for r in CO.carrying_units(members, stm).collect()} == want
+
+
+def test_sentences_do_not_meet_each_phrase(spark):
+    text = " ".join(f"The old red fox number {'x' * (9 - k)} of the old house came home." for k in range(9))
+    stm = spark.createDataFrame([(1, text, ""), (2, text.upper(), "")], "doc_id int, text string, speaker string")
+    grams = ["old red fox", "the old house", "old house came", "red fox number", "xxx of the", "not there now"]
+    wanted = spark.createDataFrame([(i, g) for i in (1, 2) for g in grams], "doc_id int, ngram string")
+    with _plain(spark):
+        df = FG.quotes(stm, wanted)
+        got = {(r.doc_id, r.ngram): r.quote for r in df.collect()}
+        assert max(n for n, _ in _joined(df)) == 2
+        frags = FG.fragments(stm, spark.createDataFrame([(g,) for g in grams], "ngram string"))
+        assert frags.count() and all(n <= 2 for n, names in _joined(frags) if "text" in names or "_form" in names)
+    shortest = lambda g: min((s for s in text[:-1].split(". ") if g in s.lower()), key=len) + "."
+    assert got == {(i, g): shortest(g) if i == 1 else shortest(g).upper() for i in (1, 2) for g in grams[:-1]}
