@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from unisono.functions.text import contains_gram
 from unisono.operators import contract as CO
 from unisono.operators import fragments as FG
+from unisono.operators import ledger as L
 from unisono.operators import research as S
 from unisono.operators.spans import phrase_occurrences, phrases_found
 
@@ -97,3 +98,31 @@ def test_sentences_do_not_meet_each_phrase(spark):
         assert frags.count() and all(n <= 2 for n, names in _joined(frags) if "text" in names or "_form" in names)
     shortest = lambda g: min((s for s in text[:-1].split(". ") if g in s.lower()), key=len) + "."
     assert got == {(i, g): shortest(g) if i == 1 else shortest(g).upper() for i in (1, 2) for g in grams[:-1]}
+
+
+def _statements(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(9)] + ["the", "of"]
+    rows = []
+    for i in range(120):
+        office = None if i % 11 == 0 else f"u{i % 7}"
+        rows.append((i, ". ".join(" ".join(rng.choices(words, k=rng.randint(3, 9))) for _ in range(3)), i % 4, "DR"[i % 2], office or f"id{i}", office, 118, 1, False))
+    stm = spark.createDataFrame(rows, "doc_id long, text string, d int, party string, unit string, bioguide string, congress int, lane int, syndicated boolean")
+    return stm.withColumn("day", F.date_add(F.lit("2024-01-01").cast("date"), F.col("d")))
+
+
+def test_a_ledger_is_made_once_and_keeps_its_ties(spark):
+    stm = _statements(spark)
+    occ = L.occurrences(stm).persist()
+    phrases, daily = L.ledger_of(stm, occ, 2, 1.0, 2)
+    for df in (phrases, daily.select("ngram", "units")):
+        assert all("HashAggregate" not in line for line in df._jdf.queryExecution().executedPlan().toString().splitlines())
+    of = {}
+    for r in occ.collect():
+        of.setdefault(r.ngram, []).append((r.day, r.doc_id, r.bioguide))
+    got = {r.ngram: (r.first_day, r.first_bioguide, r.ties) for r in phrases.collect()}
+    want = {}
+    for g in got:
+        day, _, office = min(of[g], key=lambda r: (r[0], r[1]))
+        want[g] = (day, office, sorted({b for d, _, b in of[g] if d == day and b and b != office}) if office else [])
+    assert got == want and any(t for _, _, t in got.values())
