@@ -3,12 +3,14 @@
 import random
 from contextlib import contextmanager
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from unisono.functions.text import contains_gram
 from unisono.operators import contract as CO
 from unisono.operators import fragments as FG
+from unisono.operators import grams as GR
 from unisono.operators import ledger as L
 from unisono.operators import research as S
 from unisono.operators.spans import phrase_occurrences, phrases_found
@@ -100,6 +102,16 @@ def test_sentences_do_not_meet_each_phrase(spark):
     assert got == {(i, g): shortest(g) if i == 1 else shortest(g).upper() for i in (1, 2) for g in grams[:-1]}
 
 
+def test_counts_of_ngrams_are_a_row_for_each_text():
+    sents = [[{"toks": "a red fox came home with us".split(), "templated": False}] * 2, [{"toks": "the office of old cats".split(), "templated": True}], []]
+    kind = pa.list_(pa.struct([("toks", pa.list_(pa.string())), ("templated", pa.bool_())]))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array(sents, kind)], ["k", "_s"])
+    rows = [r for b in GR._counted(["k"], 3, 6, 2)([batch]) for r in b.to_pylist()]
+    every = [r for b in GR._rows(["k"], 3, 6, 2, True, None)([batch]) for r in b.to_pylist()]
+    assert [(r["k"], r["grams"]) for r in rows if r["ngram"] is None] == [(1, sum(r["k"] == 1 for r in every))]
+    assert {(r["k"], r["ngram"], r["grams"]) for r in rows if r["ngram"]} == {(2, r["ngram"], 1) for r in every if r["k"] == 2}
+
+
 def _statements(spark):
     rng = random.Random(5)
     words = [f"w{i}" for i in range(9)] + ["the", "of"]
