@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from unisono.functions.text import contains_gram
+from unisono.operators import claims as CL
 from unisono.operators import contract as CO
 from unisono.operators import fragments as FG
 from unisono.operators import grams as GR
@@ -138,3 +139,13 @@ def test_a_ledger_is_made_once_and_keeps_its_ties(spark):
         day, _, office = min(of[g], key=lambda r: (r[0], r[1]))
         want[g] = (day, office, sorted({b for d, _, b in of[g] if d == day and b and b != office}) if office else [])
     assert got == want and any(t for _, _, t in got.values())
+
+
+def test_shared_grams_decide_their_components(spark):
+    stm = _statements(spark)
+    shared = CL.shared_grams(stm, "doc_id")
+    comp = CL.fragment_components(shared, "doc_id").persist()
+    want = CL.support_phrase(CL.cluster_grams(stm, "doc_id"), comp, stm, "doc_id", 2).collect()
+    best, rest = CL.support_of_shared(shared, comp, stm, "doc_id", 2)
+    other = CL.support_phrase(CL.cluster_grams(stm, "doc_id"), rest, stm, "doc_id", 2).collect()
+    assert sorted(map(tuple, [*best.collect(), *other])) == sorted(map(tuple, want)) and best.count()

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from unisono.functions.text import contains_gram, content_words, is_verbatim, is_weak_label, kept_ngrams, scaffold_reason, sentences
 from unisono.operators.grams import frequent
 from unisono.operators.identity import components
 from unisono.params import P
+from unisono.sources.shared import cut
 
 
 def cluster_grams(rows: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -30,13 +31,29 @@ def fragment_components(grams: DataFrame, key: str) -> DataFrame:
     return components(edges)
 
 
+def support_of_shared(shared: DataFrame, comp: DataFrame, units: DataFrame, key: str, quorum: int = P.quorum) -> tuple[DataFrame, DataFrame]:
+    """(best, rest): `support_phrase` of the components in which `shared` (see `shared_grams`) has an admissible gram of two units or more, and
+    the others (id, component). Such a gram comes before any that one statement alone has, so its component needs no other grams."""
+    best = cut(support_phrase(shared, comp, units, key, quorum).where((F.col("units") >= 2) & _admissible(F.col("gram"))))
+    rest = _enough(comp, units, key, quorum).join(best.select("component"), "component", "left_anti")
+    return best, comp.join(rest.select("component"), "component", "left_semi")
+
+
+def _enough(comp: DataFrame, units: DataFrame, key: str, quorum: int) -> DataFrame:
+    return comp.select(F.col("id").alias(key), "component").join(units.select(key, "unit"), key).groupBy("component").agg(F.count_distinct("unit").alias("n_units")).where(F.col("n_units") >= quorum)
+
+
+def _admissible(gram: Column) -> Column:
+    return ~is_weak_label(gram) & scaffold_reason(gram).isNull()
+
+
 def support_phrase(grams: DataFrame, comp: DataFrame, units: DataFrame, key: str, quorum: int = P.quorum) -> DataFrame:
     """Per component of enough units the gram that the most units support: admissible ones first, then units, statements, words, text."""
     rows = grams.join(comp.select(F.col("id").alias(key), "component"), key).join(units.select(key, "unit"), key)
     # every member of a component has a gram
-    size = comp.select(F.col("id").alias(key), "component").join(units.select(key, "unit"), key).groupBy("component").agg(F.count_distinct("unit").alias("n_units")).where(F.col("n_units") >= quorum)
+    size = _enough(comp, units, key, quorum)
     per = rows.join(size, "component").groupBy("component", "gram").agg(F.count_distinct("unit").alias("units"), F.count_distinct(key).alias("statements"))
-    ok = (~is_weak_label(F.col("gram")) & scaffold_reason(F.col("gram")).isNull()).cast("int")
+    ok = _admissible(F.col("gram")).cast("int")
     w = Window.partitionBy("component").orderBy(F.desc("ok"), F.desc("units"), F.desc("statements"), F.desc("words"), "gram")
     return per.withColumn("ok", ok).withColumn("words", F.size(F.split("gram", " "))).withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r", "ok", "words")
 
